@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+A side is broadcast only after a bounded count proves it small; beyond the bound
+the plan falls back to a shuffle join (and AQE may still convert it at run time
+from real shuffle statistics).  Literal configuration tables are bounded by
+construction and broadcast directly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def literal_table(spark, rows, schema) -> DataFrame:
+    """A small configuration table (size bounded by the literal list) marked for broadcast."""
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
