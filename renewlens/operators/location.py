@@ -92,6 +92,9 @@ def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords:
                 utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
     """The 12-column location metric table, one row per member of ``member_facility``.
 
+    Home coordinates are the unrounded centroid; the mart schema (``conform``)
+    applies the column precision at the sink.
+
     points:          user_id (string), latitude, longitude, created_at (non-null coords)
     member_facility: user_id (string), facility_name — the members to score
     facility_coords: facility_name, fac_lat, fac_lon (only facilities with coordinates)
