@@ -12,7 +12,7 @@ def parse_day_month_year(text, pattern: str = config.BIRTHDAY_PATTERN,
                          fmt: str = config.BIRTHDAY_FORMAT) -> Column:
     """Text date guarded by a shape pattern; impossible dates give null."""
     col = F.col(text) if isinstance(text, str) else text
-    return F.when(col.rlike(pattern), F.try_to_date(col, F.lit(fmt)))
+    return F.when(col.rlike(pattern), F.try_to_date(col, fmt))
 
 
 def age_years(birth, as_of) -> Column:
