@@ -1 +1,327 @@
-"""placeholder"""
+"""Declared retention marts: weekly facts, norms, deltas, data quality, drift,
+calibration, risk bands and model training / scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from renewlens import config
+from renewlens.operators import quality as Q
+from renewlens.operators import scoring as S
+from renewlens.operators import weekly as W
+from renewlens.plans import periods as P
+from renewlens.plans.catalog import register
+from renewlens.plans.oracle import with_adapters
+from renewlens.plans.q_periods import mart
+
+ALPHA = 0.3      # EWMA smoothing (a parameter; the docs name EWMA without a value)
+AS_OF = config.ACTIVITY_AS_OF
+
+FACT_CTES = """
+facts AS (
+  SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, count(*) AS sessions,
+         sum(CAST(event_type = 'purchase' AS BIGINT)) AS completed,
+         sum(CAST(event_type IN ('purchase', 'view') AS BIGINT)) AS booked,
+         sum(CAST(event_type = 'error' AS BIGINT)) AS cancelled,
+         sum(hour(ts)) AS hour_sum, round(sum(value), 6) AS value_sum
+  FROM activity GROUP BY 1, 2),
+spine AS (
+  SELECT user_id, CAST(unnest(generate_series(w0, w1, INTERVAL 7 DAY)) AS DATE) AS week
+  FROM (SELECT user_id, min(week) AS w0, max(week) AS w1 FROM facts GROUP BY user_id)),
+fw AS (
+  SELECT s.user_id, s.week, COALESCE(f.sessions, 0) AS sessions, COALESCE(f.completed, 0) AS completed,
+         COALESCE(f.booked, 0) AS booked, COALESCE(f.cancelled, 0) AS cancelled,
+         COALESCE(f.hour_sum, 0) AS hour_sum, COALESCE(f.value_sum, 0.0) AS value_sum
+  FROM spine s LEFT JOIN facts f ON f.user_id = s.user_id AND f.week = s.week)"""
+FACT_WITH = with_adapters("activity", extra=FACT_CTES)
+PREV = "OVER (PARTITION BY user_id ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def facts(t):
+    return W.fact_member_week(t.adapters.activity)
+
+
+@register("fact_member_week", FACT_WITH + "SELECT * FROM fw")
+def fact_member_week(t):
+    """Weekly counts per member including silent weeks between first and last activity."""
+    return facts(t)
+
+
+EWMA_SQL = FACT_WITH + f"""
+, idx AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY week) - 1 AS i FROM fw)
+SELECT user_id, week, sessions,
+       round(sum(pow({1 - ALPHA}, -i) * sessions) {PREV} / sum(pow({1 - ALPHA}, -i)) {PREV}, 6) AS sessions_ewma
+FROM idx""".replace("ON f.user_id = s.user_id AND f.week = s.week)\n, idx",
+                    "ON f.user_id = s.user_id AND f.week = s.week),\nidx")
+
+
+@register("ewma_norm", EWMA_SQL)
+def ewma_norm(t):
+    """Personal norm: EWMA of the member's previous weeks (alpha 0.3), null in the first week."""
+    e = W.ewma_norm(facts(t), "sessions", ALPHA)
+    return e.select("user_id", "week", "sessions", F.round("sessions_ewma", 6).alias("sessions_ewma"))
+
+
+@register("norm_delta", EWMA_SQL.replace(" AS sessions_ewma\nFROM idx", " AS sessions_ewma_r\nFROM idx").replace(
+    "SELECT user_id, week, sessions,\n       round(", "SELECT user_id, week, sessions, round(sessions - (", 1).replace(
+    ", 6) AS sessions_ewma_r", "), 6) AS sessions_delta"))
+def norm_delta(t):
+    """actual - EWMA norm of previous weeks; a drop below the norm is negative."""
+    d = W.norm_delta(facts(t), "sessions", ALPHA)
+    return d.select("user_id", "week", "sessions", F.round("sessions_delta", 6).alias("sessions_delta"))
+
+
+@register("quantile_norm", FACT_WITH + """
+SELECT user_id, quantile_cont(sessions, 0.25) AS sessions_p25, quantile_cont(sessions, 0.5) AS sessions_p50,
+       quantile_cont(sessions, 0.75) AS sessions_p75
+FROM fw GROUP BY user_id""")
+def quantile_norm(t):
+    return W.quantile_norm(facts(t), "sessions")
+
+
+@register("completion_rate", FACT_WITH + """
+SELECT user_id, week, CASE WHEN booked > 0 THEN round(completed / booked, 9) END AS completion_rate FROM fw""")
+def completion_rate(t):
+    c = W.completion_rate(facts(t))
+    return c.select("user_id", "week", F.round("completion_rate", 9).alias("completion_rate"))
+
+
+@register("rate_deltas", FACT_WITH + f"""
+, r AS (SELECT *, CASE WHEN sessions > 0 THEN cancelled / sessions END AS cancel_rate,
+               CASE WHEN booked > 0 THEN completed / booked END AS completion_rate,
+               CASE WHEN booked > 0 THEN (booked - completed) / booked END AS miss_rate FROM fw)
+SELECT user_id, week, round(cancel_rate - avg(cancel_rate) {PREV}, 9) AS cancel_rate_delta,
+       round(completion_rate - avg(completion_rate) {PREV}, 9) AS completion_rate_delta,
+       round(miss_rate - avg(miss_rate) {PREV}, 9) AS miss_rate_delta
+FROM r""".replace("f.week = s.week)\n, r", "f.week = s.week),\nr"))
+def rate_deltas(t):
+    """Cancellation / completion / miss rate this week vs the member's mean of previous weeks."""
+    r = W.rate_deltas(facts(t))
+    return r.select("user_id", "week", *[F.round(f"{c}_delta", 9).alias(f"{c}_delta")
+                                         for c in ("cancel_rate", "completion_rate", "miss_rate")])
+
+
+@register("usage_deltas", FACT_WITH + f"""
+SELECT user_id, week, round(sessions - avg(sessions) {PREV}, 9) AS sessions_vs_norm,
+       round(booked - avg(booked) {PREV}, 9) AS booked_vs_norm,
+       round(value_sum - avg(value_sum) {PREV}, 6) AS value_sum_vs_norm
+FROM fw""")
+def usage_deltas(t):
+    """Usage metrics per week vs the member's mean of previous weeks."""
+    u = W.usage_deltas(facts(t))
+    return u.select("user_id", "week", F.round("sessions_vs_norm", 9).alias("sessions_vs_norm"),
+                    F.round("booked_vs_norm", 9).alias("booked_vs_norm"),
+                    F.round("value_sum_vs_norm", 6).alias("value_sum_vs_norm"))
+
+
+@register("booking_time_shift", FACT_WITH + f"""
+SELECT user_id, week,
+       round(CASE WHEN sessions > 0 THEN hour_sum / sessions END
+             - CASE WHEN sum(sessions) {PREV} > 0 THEN sum(hour_sum) {PREV} / sum(sessions) {PREV} END, 9)
+         AS hour_shift
+FROM fw""")
+def booking_time_shift(t):
+    """Mean booking hour this week minus the mean hour of all earlier activity."""
+    b = W.booking_time_shift(facts(t))
+    return b.select("user_id", "week", F.round("hour_shift", 9).alias("hour_shift"))
+
+
+@register("idle_gap_days", with_adapters("activity") + """
+, a AS (SELECT *, CAST(ts AS DATE) AS day,
+               lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY ts, activity_id) AS prev_day FROM activity)
+SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, max(day - prev_day) AS max_idle_gap_days,
+       count(*) AS sessions
+FROM a GROUP BY 1, 2""".replace("FROM events)\n, a", "FROM events),\na"))
+def idle_gap_days(t):
+    """Longest gap (days since previous activity) per member-week; segmented lag, no hot task."""
+    return W.idle_gap_days(t.adapters.activity)
+
+
+@register("variety_counts", with_adapters("activity") + """
+, a AS (SELECT *, CAST(date_trunc('week', ts) AS DATE) AS week, CAST(ts AS DATE) AS day FROM activity),
+d AS (SELECT user_id, week, sum(CAST(n >= 2 AS BIGINT)) AS double_days FROM (
+        SELECT user_id, week, day, count(*) AS n FROM a WHERE event_type = 'purchase' GROUP BY 1, 2, 3)
+      GROUP BY 1, 2)
+SELECT v.user_id, v.week, v.trainers, v.session_types, COALESCE(d.double_days, 0) AS double_days
+FROM (SELECT user_id, week, count(DISTINCT trainer_id) AS trainers, count(DISTINCT event_type) AS session_types
+      FROM a GROUP BY 1, 2) v
+LEFT JOIN d ON d.user_id = v.user_id AND d.week = v.week""".replace("FROM events)\n, a", "FROM events),\na"))
+def variety_counts(t):
+    """Distinct trainers and session types per week; days with two or more completed sessions."""
+    return W.variety_counts(t.adapters.activity)
+
+
+@register("progress_deltas", with_adapters("body_tests") + """
+, r AS (SELECT user_id, weight, fat_pct, row_number() OVER (PARTITION BY user_id ORDER BY tested_at DESC, test_id DESC)
+               AS rn FROM body_tests WHERE tested_at IS NOT NULL)
+SELECT user_id, round(max(CASE WHEN rn = 1 THEN weight END) - max(CASE WHEN rn = 2 THEN weight END), 6)
+         AS weight_delta,
+       round(max(CASE WHEN rn = 1 THEN fat_pct END) - max(CASE WHEN rn = 2 THEN fat_pct END), 6) AS fat_pct_delta
+FROM r WHERE rn <= 2 GROUP BY user_id""".replace("FROM events WHERE event_type = 'view')\n, r",
+                                                 "FROM events WHERE event_type = 'view'),\nr"))
+def progress_deltas(t):
+    """Latest body measure minus the previous one (top-2 per member, pivoted)."""
+    from renewlens.operators.ranking import first_k_pivot
+
+    b = t.adapters.body_tests.filter(F.col("tested_at").isNotNull())
+    p = first_k_pivot(b, "user_id", [F.col("tested_at").desc(), F.col("test_id").desc()],
+                      {"weight": "weight", "fat_pct": "fat_pct"}, k=2, names=["last_", "prev_"])
+    return p.select("user_id", F.round(F.col("last_weight") - F.col("prev_weight"), 6).alias("weight_delta"),
+                    F.round(F.col("last_fat_pct") - F.col("prev_fat_pct"), 6).alias("fat_pct_delta"))
+
+
+RISK_SQL = ("CASE WHEN probability IS NULL THEN NULL WHEN probability < 0.3 THEN 'very_high' "
+            "WHEN probability < 0.5 THEN 'high' WHEN probability < 0.7 THEN 'medium' "
+            "WHEN probability < 0.85 THEN 'low' ELSE 'very_low' END")
+
+
+@register("risk_band", with_adapters("scores") + f"SELECT user_id, probability, {RISK_SQL} AS risk_band FROM scores")
+def risk_band(t):
+    s = t.adapters.scores
+    return s.select("user_id", "probability", S.risk_band("probability").alias("risk_band"))
+
+
+@register("intervention_level", with_adapters("scores") + """
+SELECT user_id, CASE WHEN probability < 0.3 THEN 'critical' WHEN probability < 0.5 THEN 'warning'
+                     WHEN probability < 0.7 THEN 'watch' ELSE 'none' END AS intervention_level
+FROM scores""")
+def intervention_level(t):
+    s = t.adapters.scores
+    return s.select("user_id", S.intervention_level("probability").alias("intervention_level"))
+
+
+@register("band_summary", with_adapters("scores") + f"""
+SELECT {RISK_SQL} AS risk_band, count(*) AS members, round(avg(probability), 9) AS mean_probability
+FROM scores GROUP BY 1""")
+def band_summary(t):
+    b = S.band_summary(t.adapters.scores)
+    return b.withColumn("mean_probability", F.round("mean_probability", 9))
+
+
+@register("calibration_table", with_adapters("scores") + """
+SELECT CAST(least(floor(probability * 10), 9) AS INTEGER) AS bin, count(*) AS n,
+       round(avg(probability), 9) AS mean_predicted, round(avg(CAST(observed AS DOUBLE)), 9) AS observed_rate
+FROM scores GROUP BY 1""")
+def calibration_table(t):
+    c = Q.calibration(t.adapters.scores, "probability", "observed")
+    return c.select("bin", "n", F.round("mean_predicted", 9).alias("mean_predicted"),
+                    F.round("observed_rate", 9).alias("observed_rate"))
+
+
+@register("dq_min_weeks", FACT_WITH + """
+SELECT user_id, count(*) AS weeks FROM fw WHERE sessions > 0 GROUP BY user_id HAVING count(*) >= 4""")
+def dq_min_weeks(t):
+    return Q.min_weeks(facts(t))
+
+
+@register("dq_outliers", with_adapters("body_tests") + """
+SELECT test_id, user_id, weight FROM body_tests
+WHERE abs(weight - (SELECT avg(weight) FROM body_tests)) > 5 * (SELECT stddev_samp(weight) FROM body_tests)""")
+def dq_outliers(t):
+    """Rows more than 5 standard deviations from the mean (global stats as scalar subqueries)."""
+    return Q.outliers(t.adapters.body_tests, "weight").select("test_id", "user_id", "weight")
+
+
+DQ_COLS = ("weight", "height", "fat_pct", "bmi")
+
+
+def _dq_sql():
+    parts = []
+    for c in DQ_COLS:
+        parts.append(f"""
+  SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls,
+         (count(*) - count({c})) / count(*) AS null_share, round(avg({c}), 6) AS mean,
+         round(stddev_samp({c}), 6) AS std, min({c}) AS min, max({c}) AS max,
+         min(CASE WHEN r >= ceil(0.25 * n) THEN {c} END) AS p25,
+         min(CASE WHEN r >= ceil(0.5 * n) THEN {c} END) AS p50,
+         min(CASE WHEN r >= ceil(0.75 * n) THEN {c} END) AS p75,
+         (count(*) - count({c})) / count(*) > {config.DQ_NULL_SHARE_MAX} AS too_many_nulls
+  FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) AS r, count({c}) OVER () AS n FROM body_tests)""")
+    return with_adapters("body_tests") + "SELECT * FROM (" + " UNION ALL ".join(parts) + ")"
+
+
+@register("dq_feature_stats", _dq_sql())
+def dq_feature_stats(t):
+    """Per column: rows, nulls, null share, mean, std, min, max, quartiles, null-share flag."""
+    s = Q.feature_stats(t.adapters.body_tests, DQ_COLS)
+    return s.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+
+
+@register("feature_drift", with_adapters("body_tests") + """
+, d AS (SELECT weight, tested_at < TIMESTAMP '2024-01-16 00:00:00' AS base FROM body_tests
+        WHERE weight IS NOT NULL AND tested_at IS NOT NULL),
+rng AS (SELECT min(weight) AS lo, max(weight) AS hi FROM d WHERE base),
+b AS (SELECT CASE WHEN (hi - lo) / 10 > 0 THEN CAST(least(greatest(floor((weight - lo) / ((hi - lo) / 10)), 0), 9)
+                  AS INTEGER) ELSE 0 END AS bin, base FROM d, rng),
+c AS (SELECT bin, sum(CAST(base AS BIGINT)) AS n_base, sum(CAST(NOT base AS BIGINT)) AS n_cur FROM b GROUP BY bin),
+tot AS (SELECT sum(n_base) AS tb, sum(n_cur) AS tc FROM c)
+SELECT 'weight' AS feature,
+       round(sum((greatest(n_cur / tc, 0.0001) - greatest(n_base / tb, 0.0001))
+                 * ln(greatest(n_cur / tc, 0.0001) / greatest(n_base / tb, 0.0001))), 9) AS psi,
+       sum(n_base) AS baseline_rows, sum(n_cur) AS current_rows
+FROM c, tot""".replace("FROM events WHERE event_type = 'view')\n, d", "FROM events WHERE event_type = 'view'),\nd"))
+def feature_drift(t):
+    """Population stability index of body weight, first half of the month vs second half."""
+    b = t.adapters.body_tests.filter(F.col("tested_at").isNotNull())
+    base = F.col("tested_at") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    return Q.psi(b, "weight", base).withColumn("psi", F.round("psi", 9))
+
+
+# ---- models (no SQL oracle: rows-only check) --------------------------------------------
+
+def _doc_features(t):
+    d = t.documents.select("doc_id", "n_chars", "lang", "text")
+    lab = t.labels.select("doc_id", "quality")
+    feats = d.select("doc_id", F.log1p("n_chars").alias("log_chars"),
+                     (F.col("lang") == "en").cast("double").alias("is_en"),
+                     F.size(F.split("text", r"\s+")).cast("double").alias("words"),
+                     (F.length(F.regexp_replace("text", r"[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1)))
+                     .alias("digit_share"))
+    return feats.join(lab, "doc_id"), ["log_chars", "is_en", "words", "digit_share"]
+
+
+def _period_features(t):
+    m = mart(t)
+    lab = P.renewal_labels(m, config.PERIOD_AS_OF).select("period_id", F.col("renewed_30d").alias("label"))
+    f = m.select("period_id", "user_id", F.col("length_days").cast("double").alias("length_days"),
+                 F.col("freeze_days").cast("double").alias("freeze_days"),
+                 F.month("start_date").cast("double").alias("start_month"))
+    return f.join(lab, "period_id").filter(F.col("label").isNotNull()), ["length_days", "freeze_days", "start_month"]
+
+
+@register("train_baseline")
+def train_baseline(t):
+    """Logistic regression, 5-fold CV, on renewal labels; returns the coefficient table."""
+    df, feats = _period_features(t)
+    model = S.train_baseline(df, feats, "label")
+    coef = model.coefficients.toArray().tolist()
+    return t.spark.createDataFrame([(f, float(c)) for f, c in zip(feats, coef)] + [("intercept", model.intercept)],
+                                   "feature string, coefficient double")
+
+
+@register("train_trees")
+def train_trees(t):
+    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping); returns feature importances."""
+    df, feats = _period_features(t)
+    model = S.train_trees(df, feats, "label")
+    return S.feature_importance(model, feats, t.spark)
+
+
+@register("train_survival")
+def train_survival(t):
+    """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals; coefficient table."""
+    iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).withColumn("week_index", F.col("week_index").cast("double"))
+    model = S.train_survival(iv, ["week_index"], reg=0.1)
+    return t.spark.createDataFrame([("week_index", float(model.coefficients[0])), ("intercept", model.intercept)],
+                                   "feature string, coefficient double")
+
+
+@register("batch_score")
+def batch_score(t):
+    """Score every labelled period with the baseline model; probability, band, score date."""
+    df, feats = _period_features(t)
+    model = S.train_baseline(df, feats, "label", folds=3)
+    return S.batch_score(model, df, feats, "period_id", config.PERIOD_AS_OF)
+
+
+__all__ = ["AS_OF"]
