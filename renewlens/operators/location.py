@@ -155,6 +155,16 @@ def geo_features(metrics: DataFrame) -> DataFrame:
     )
 
 
+def convenience_trend(snapshots: DataFrame, score: str = "commute_convenience_score",
+                      run_col: str = "run_ts") -> DataFrame:
+    """Score minus the member's score in the previous snapshot (rows per member = snapshots)."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy(run_col)
+    return snapshots.select("user_id", run_col, score,
+                            (F.col(score) - F.lag(score).over(w)).alias("convenience_trend"))
+
+
 def segment_by_convenience(score):
     s = F.col(score) if isinstance(score, str) else score
     expr = F.when(s.isNull(), config.CONVENIENCE_SEGMENT_NULL)

@@ -113,9 +113,10 @@ def test_exclusions(test_accounts: DataFrame, pass_type: str) -> DataFrame:
     return test_accounts.filter(F.col("free_pass_type") == pass_type).select("user_id").distinct()
 
 
-def location_metrics(a, cfg: DomainConfig) -> DataFrame:
-    """Geo metrics for eligible members with a known facility and any location document."""
-    points_all = a.member_locations
+def location_metrics(a, cfg: DomainConfig, locations: DataFrame | None = None) -> DataFrame:
+    """Geo metrics for eligible members with a known facility and any location document
+    (``locations`` overrides the location documents, e.g. those seen by a cut-off)."""
+    points_all = locations if locations is not None else a.member_locations
     owners = points_all.select(F.col("user_id").cast("string").alias("user_id"))
     fac = a.facilities
     mf = (eligible_members(a.members)

@@ -347,3 +347,33 @@ def segment_campaign(t):
     camp = F.broadcast(t.spark.createDataFrame(list(config.CONVENIENCE_CAMPAIGNS),
                                                "convenience_segment string, criteria string, action string"))
     return features(t).select("user_id", "convenience_segment").join(camp, "convenience_segment", "left")
+
+
+CUT = "2024-01-16 00:00:00"
+
+
+def _geo_subquery(cut: str | None, run_ts: str) -> str:
+    ctes = GEO_CTES
+    if cut is not None:
+        ctes = ("ml_cut AS (SELECT * FROM member_locations WHERE created_at < TIMESTAMP '" + cut + "'),\n"
+                + ctes.strip().replace("FROM member_locations", "FROM ml_cut"))
+    return (f"(WITH {ctes.strip()}\n SELECT user_id, '{run_ts}' AS run_ts, commute_convenience_score FROM geo)")
+
+
+@register("convenience_trend", with_adapters("members", "facilities", "member_locations") + f"""
+, snaps AS (SELECT * FROM {_geo_subquery(CUT, "20240115_000000")} a
+            UNION ALL SELECT * FROM {_geo_subquery(None, "20240131_000000")} b)
+SELECT user_id, run_ts, commute_convenience_score,
+       round(commute_convenience_score - lag(commute_convenience_score) OVER (PARTITION BY user_id ORDER BY run_ts), 6)
+         AS convenience_trend
+FROM snaps""".replace("FROM events WHERE NOT (user_id % 10 = 0 AND event_id % 40 <> 0))\n, snaps",
+                      "FROM events WHERE NOT (user_id % 10 = 0 AND event_id % 40 <> 0)),\nsnaps"))
+def convenience_trend(t):
+    """Commute score change per member between metric snapshots (mid-month cut-off vs month end)."""
+    a = t.adapters
+    early = location_metrics(a, CFG, a.member_locations.filter(
+        F.col("created_at") < F.lit(CUT).cast("timestamp_ntz"))).withColumn("run_ts", F.lit("20240115_000000"))
+    full = metrics(t).withColumn("run_ts", F.lit("20240131_000000"))
+    snaps = early.unionByName(full)
+    tr = L.convenience_trend(snaps)
+    return tr.withColumn("convenience_trend", F.round("convenience_trend", 6))
