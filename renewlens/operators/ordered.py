@@ -27,21 +27,22 @@ def neighbour_in_order(df: DataFrame, key: str, order_col: str, tie_col: str, va
     seg = segment if segment is not None else F.col(order_col)
     cols = df.columns
     d = df.withColumn("_seg", seg)
-    keyed = d.filter(F.col(key).isNotNull())
-    nullkey = d.filter(F.col(key).isNull()).withColumn(out_col, F.lit(None).cast(df.schema[value_col].dataType))
 
+    # Null keys stay in the same pass: like any hot key they spread over their
+    # segments, and their neighbour is nulled at the end (no second branch that
+    # would recompute the input).
     w = Window.partitionBy(key, "_seg").orderBy(order_col, tie_col)
     shift = F.lead if direction == "next" else F.lag
-    inner = (keyed.withColumn("_in", shift(F.col(value_col)).over(w))
+    inner = (d.withColumn("_in", shift(F.col(value_col)).over(w))
              .withColumn("_edge", shift(F.lit(1)).over(w).isNull()))
 
     edge_struct = F.struct(F.col(order_col).alias("o"), F.col(tie_col).alias("t"), F.col(value_col).alias("v"))
     pick = F.min if direction == "next" else F.max           # first row of the next / last row of the previous segment
-    heads = keyed.groupBy(key, "_seg").agg(pick(edge_struct).alias("_h"))
+    heads = d.filter(F.col(key).isNotNull()).groupBy(key, "_seg").agg(pick(edge_struct).alias("_h"))
     wseg = Window.partitionBy(key).orderBy("_seg")
     seg_nb = heads.select(key, "_seg", shift(F.col("_h.v")).over(wseg).alias("_seg_nb"))
 
-    out = (inner.join(seg_nb, [key, "_seg"], "left")
-           .withColumn(out_col, F.when(F.col("_edge"), F.col("_seg_nb")).otherwise(F.col("_in")))
-           .select(*cols, out_col))
-    return out.unionByName(nullkey.select(*cols, out_col))
+    nb = F.when(F.col(key).isNull(), F.lit(None)).when(F.col("_edge"), F.col("_seg_nb")).otherwise(F.col("_in"))
+    return (inner.join(seg_nb, [key, "_seg"], "left")
+            .withColumn(out_col, nb.cast(df.schema[value_col].dataType))
+            .select(*cols, out_col))

@@ -37,8 +37,9 @@ def correct_facility(df: DataFrame, name_col: str, date_col, rules: DataFrame, o
 
 
 def paid_plans(plans: DataFrame, names: Sequence[str]) -> DataFrame:
-    return bounded_broadcast(plans.filter(F.col("name").isin(*names))
-                             .select("plan_id", F.col("name").alias("plan_name")), 100_000)
+    """Paid rows of the plan dimension.  No static broadcast hint: the dimension may be
+    derived (a DISTINCT over a fact table), so AQE decides from its real size at run time."""
+    return plans.filter(F.col("name").isin(*names)).select("plan_id", F.col("name").alias("plan_name"))
 
 
 def freeze_days(freezes: DataFrame) -> DataFrame:
