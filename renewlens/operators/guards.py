@@ -12,12 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+_checked: dict[tuple[int, int], bool] = {}
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The bounded count (``limit(max_rows + 1).count()``) is remembered per logical
+    plan, so a dimension used by several operators is checked once per process.
+    """
+    key = (df.semanticHash(), max_rows)
+    small = _checked.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _checked[key] = small
+    return F.broadcast(df) if small else df
 
 
 def literal_table(spark, rows, schema) -> DataFrame:

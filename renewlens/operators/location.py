@@ -15,6 +15,7 @@ from renewlens.functions.bands import band_below, right_closed_bins
 from renewlens.functions.geo import haversine_km, is_night
 from renewlens.functions.scores import commute_score, geo_quality
 from renewlens.operators.ranking import top1_by, top_k_by
+from renewlens.operators.skew import skew_join
 
 
 def flatten_location(docs: DataFrame, id_col: str = "user_id", loc_col: str = "location",
@@ -100,7 +101,9 @@ def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords:
     facility_coords: facility_name, fac_lat, fac_lon (only facilities with coordinates)
     """
     mf = member_facility.join(facility_coords, "facility_name", "left")
-    pts = points.join(mf.filter(F.col("fac_lat").isNotNull()).select("user_id", "fac_lat", "fac_lon"), "user_id")
+    # points are the big side; a member with a huge share of points is salted (see skew_join)
+    pts = skew_join(points, mf.filter(F.col("fac_lat").isNotNull()).select("user_id", "fac_lat", "fac_lon"),
+                    "user_id")
     home = home_location(pts, precision, night_weight, utc_offset_hours)
     stats = distance_stats(pts).drop("n_points")
     top2 = top2_cluster_distance(pts, precision)

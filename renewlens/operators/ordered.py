@@ -46,3 +46,44 @@ def neighbour_in_order(df: DataFrame, key: str, order_col: str, tie_col: str, va
     return (inner.join(seg_nb, [key, "_seg"], "left")
             .withColumn(out_col, nb.cast(df.schema[value_col].dataType))
             .select(*cols, out_col))
+
+
+def running_in_order(df: DataFrame, key: str, order: list[str], rank_col: str | None = None,
+                     sum_col: str | None = None, sum_out: str | None = None, rank_fn: str = "row_number",
+                     segment: Column | None = None) -> DataFrame:
+    """Per-``key`` rank and running sum in ``order`` (ascending, nulls last) without sending a
+    key's rows to one task.
+
+    Inside a segment ``(key, segment)`` the window gives a local rank/sum; a per-segment
+    table (row count and total per segment, one row per (key, segment)) gives the offset
+    of all earlier segments.  ``segment`` must be a monotone function of the first order
+    column (default: that column), so ties never straddle two segments.  ``rank_fn`` is
+    ``row_number`` or ``rank``; the running sum includes peers (RANGE frame), like SQL.
+    """
+    seg = segment if segment is not None else F.col(order[0])
+    d = df.withColumn("_seg", seg)
+    ordering = [F.col(c).asc_nulls_last() for c in order]
+    w = Window.partitionBy(key, "_seg").orderBy(*ordering)
+    out = d
+    if rank_col:
+        fn = F.row_number() if rank_fn == "row_number" else F.rank()
+        out = out.withColumn("_r_in", fn.over(w))
+    if sum_col:
+        out = out.withColumn("_s_in", F.sum(sum_col).over(w.rangeBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)))
+    totals = d.groupBy(key, "_seg").agg(F.count(F.lit(1)).alias("_n"),
+                                        *( [F.sum(sum_col).alias("_t")] if sum_col else []))
+    wseg = Window.partitionBy(key).orderBy(F.col("_seg").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(key, "_seg", F.coalesce(F.sum("_n").over(wseg), F.lit(0)).alias("_n_off"),
+                            *([F.coalesce(F.sum("_t").over(wseg), F.lit(0)).alias("_t_off")] if sum_col else []))
+    # null keys form ordinary groups here (SQL semantics); the null-safe join keeps them matched
+    j = out.join(offsets, (out[key].eqNullSafe(offsets[key])) & (out["_seg"].eqNullSafe(offsets["_seg"])), "left")
+    j = j.drop(offsets[key]).drop(offsets["_seg"])
+    cols = list(df.columns)
+    if rank_col:
+        j = j.withColumn(rank_col, (F.col("_r_in") + F.col("_n_off")).cast("int"))
+        cols.append(rank_col)
+    if sum_col:
+        j = j.withColumn(sum_out or f"{sum_col}_running", F.col("_s_in") + F.col("_t_off"))
+        cols.append(sum_out or f"{sum_col}_running")
+    return j.select(*cols)

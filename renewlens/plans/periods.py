@@ -132,13 +132,12 @@ def survival_intervals(mart: DataFrame, as_of: date, window_days: int = 30) -> D
 
 
 def freeze_features(freezes: DataFrame) -> DataFrame:
-    """Per freeze: attempt number per member and running freeze days (start order, period tie)."""
-    from pyspark.sql import Window
+    """Per freeze: attempt number per member (rank by start, period, end) and running freeze
+    days including ties — segmented by start date, so a member's freezes spread over tasks."""
+    from renewlens.operators.ordered import running_in_order
 
     both = F.col("start_date").isNotNull() & F.col("end_date").isNotNull()
     days = F.when(both, F.datediff("end_date", "start_date") + 1).otherwise(0)
-    f = freezes.withColumn("days", days)
-    w = Window.partitionBy("user_id").orderBy("start_date", "period_id", "end_date")
-    return f.select("user_id", "period_id", "start_date", "end_date", "days",
-                    F.rank().over(w).alias("attempt_no"),
-                    F.sum("days").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("days_used"))
+    f = freezes.select("user_id", "period_id", "start_date", "end_date", days.alias("days"))
+    return running_in_order(f, "user_id", ["start_date", "period_id", "end_date"], rank_col="attempt_no",
+                            sum_col="days", sum_out="days_used", rank_fn="rank")

@@ -9,6 +9,7 @@ from renewlens.config import DRIVER_CONFIG as CFG
 from renewlens.functions.geo import haversine_km, is_night
 from renewlens.operators import location as L
 from renewlens.operators.guards import bounded_broadcast
+from renewlens.operators.skew import skew_join
 from renewlens.plans.catalog import register
 from renewlens.plans.oracle import with_adapters
 from renewlens.plans.profile import eligible_members, location_metrics
@@ -102,7 +103,7 @@ def points_with_facility(t):
                                        F.col("lon").alias("fac_lon")), 1_000_000)
     mf = (eligible_members(a.members).join(coords, "facility_id")
           .select(F.col("user_id").cast("string").alias("user_id"), "fac_lat", "fac_lon"))
-    return points(t).join(mf, "user_id")
+    return skew_join(points(t), mf, "user_id")
 
 
 @register("flatten_location", with_adapters("member_locations") + """

@@ -128,3 +128,29 @@ def test_ewma_matches_pandas(spark):
     ref = pd.Series(vals, dtype=float).ewm(alpha=0.3, adjust=True).mean().shift(1).tolist()
     assert got[0] is None
     assert all(abs(a - b) < 1e-12 for a, b in zip(got[1:], ref[1:]))
+
+
+@pytest.mark.parametrize("rank_fn", ["row_number", "rank"])
+def test_running_in_order_matches_window(spark, rank_fn):
+    from renewlens.operators.ordered import running_in_order
+
+    rows = [(i, k, d, (i * 7) % 11) for i, k, d in _rows(3000, 15, 3, null_every=101, hot=4) if d is not None]
+    df = spark.createDataFrame(rows, "id long, k long, d date, x long")
+    order = ["d"] if rank_fn == "rank" else ["d", "id"]
+    w = Window.partitionBy("k").orderBy(*order)
+    fn = F.row_number() if rank_fn == "row_number" else F.rank()
+    ref = df.select("id", fn.over(w).alias("r"),
+                    F.sum("x").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("s"))
+    got = running_in_order(df, "k", order, rank_col="r", sum_col="x", sum_out="s", rank_fn=rank_fn)
+    assert sorted(ref.collect()) == sorted(got.select("id", "r", "s").collect())
+
+
+def test_skew_join_matches_plain_join(spark):
+    from renewlens.operators.skew import skew_join
+
+    big = spark.createDataFrame([(i, 1 if i % 3 == 0 else i % 50) for i in range(5000)], "pid long, k long")
+    small = spark.createDataFrame([(k, f"v{k}") for k in range(0, 50, 2)], "k long, v string")
+    for how in ("inner", "left"):
+        ref = sorted(big.join(small, "k", how).select("pid", "v").collect())
+        got = sorted(skew_join(big, small, "k", how, share=0.05, salts=8).select("pid", "v").collect())
+        assert ref == got
