@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
     """Keys holding more than ``share`` of the rows (at most ``floor(1/share)`` rows)."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    total = counts.select(F.sum("_n")).scalar()          # from the per-key counts: no second scan
     return counts.filter(F.col("_n") > total * share).select(key)
 
 

@@ -29,7 +29,7 @@ facilities AS (
   FROM nation)""",
     "facility_names": """
 facility_names AS (
-  SELECT n_nationkey AS facility_id, n_name AS name FROM nation WHERE n_nationkey % 4 <> 3)""",
+  SELECT n_nationkey AS facility_id, n_name AS name FROM nation WHERE n_regionkey <> 3)""",
     "plans": """
 plans AS (
   SELECT plan_id,
@@ -104,16 +104,16 @@ test_accounts AS (
     "member_locations": """
 member_locations AS (
   SELECT event_id AS point_id, user_id,
-         CASE WHEN NOT (event_type = 'error' AND event_id % 2 = 0) THEN
+         CASE WHEN NOT ((event_type = 'error' AND event_id % 2 = 0) OR (user_id % 10 = 0 AND event_id % 40 <> 0)) THEN
            CAST(432000 + 130 * (user_id % 5) + 37 * (CASE user_id % 3 WHEN 0 THEN event_id % 2
                  WHEN 1 THEN event_id % 4 ELSE event_id % 9 END) AS DOUBLE) / 10000
              + CAST(0.00001 AS DOUBLE) * (event_id % 3) END AS latitude,
-         CASE WHEN NOT (event_type = 'error' AND event_id % 2 = 0) THEN
+         CASE WHEN NOT ((event_type = 'error' AND event_id % 2 = 0) OR (user_id % 10 = 0 AND event_id % 40 <> 0)) THEN
            CAST(769000 + 90 * (user_id % 7) + 53 * (CASE user_id % 3 WHEN 0 THEN event_id % 2
                  WHEN 1 THEN event_id % 4 ELSE event_id % 9 END) AS DOUBLE) / 10000
              + CAST(0.00001 AS DOUBLE) * (event_id % 2) END AS longitude,
          ts AS created_at
-  FROM events WHERE NOT (user_id % 10 = 0 AND event_id % 40 <> 0))""",
+  FROM events)""",
     "activity": """
 activity AS (
   SELECT event_id AS activity_id, user_id, ts, event_type, value, event_id % 7 AS trainer_id FROM events)""",

@@ -131,10 +131,10 @@ def write_csv_q(t):
 @register("read_latest_snapshot", with_adapters("posts") + """
 SELECT user_id, count(*) AS feed_posts_total FROM posts WHERE status = 'posted' GROUP BY user_id""")
 def read_latest_snapshot_q(t):
-    """Two snapshots (older partial, newer full); consumers read the newest."""
+    """Two snapshots (older with stale counts, newer current); consumers read the newest."""
     path = _scratch(t, "snapshots")
     counts = post_counts(t.adapters.posts)
-    write_snapshot(counts.filter(F.col("user_id") % 2 == 0), path, "20240101_000000")
+    write_snapshot(counts.withColumn("feed_posts_total", F.col("feed_posts_total") - 1), path, "20240101_000000")
     write_snapshot(counts, path, "20240201_000000")
     return read_latest_snapshot(t.spark, path, counts.schema)
 

@@ -66,8 +66,8 @@ class Adapters:
 
     @cached_property
     def facility_names(self) -> DataFrame:
-        """Primary (partial) facility-name table; ``facilities`` is the fallback."""
-        return self.t.nation.filter(F.col("n_nationkey") % 4 != 3).select(
+        """Primary (partial: one region missing) facility-name table; ``facilities`` is the fallback."""
+        return self.t.nation.filter(F.col("n_regionkey") != 3).select(
             F.col("n_nationkey").alias("facility_id"), F.col("n_name").alias("name"))
 
     # ---- plans, periods, freezes, trials, payments --------------------------------
@@ -191,9 +191,9 @@ class Adapters:
         cell = F.when(u % 3 == 0, e % 2).when(u % 3 == 1, e % 4).otherwise(e % 9)
         lat = (432000 + 130 * (u % 5) + 37 * cell).cast("double") / 10000.0 + F.lit(0.00001) * (e % 3)
         lon = (769000 + 90 * (u % 7) + 53 * cell).cast("double") / 10000.0 + F.lit(0.00001) * (e % 2)
-        bad = (F.col("event_type") == "error") & (e % 2 == 0)
-        keep = ~((u % 10 == 0) & (e % 40 != 0))
-        return self.t.events.filter(keep).select(
+        # coordinates missing: error events with even id, and most rows of every tenth member
+        bad = ((F.col("event_type") == "error") & (e % 2 == 0)) | ((u % 10 == 0) & (e % 40 != 0))
+        return self.t.events.select(
             e.alias("point_id"), u.alias("user_id"),
             F.when(~bad, F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("location"),
             F.col("ts").alias("created_at"),
