@@ -142,7 +142,9 @@ def merge_geo(profile: DataFrame, geo: DataFrame) -> DataFrame:
     return j.fillna(GEO_DEFAULTS)
 
 
-def member_profile(a, cfg: DomainConfig, as_of: date, spark) -> DataFrame:
+def member_profile(a, cfg: DomainConfig, as_of: date, spark, geo: DataFrame | None = None) -> DataFrame:
+    """The wide profile.  ``geo`` is a precomputed location-metric table (e.g. the newest
+    snapshot written by the location job); computed here when not given."""
     paid = cfg.paid_plans
     base = base_members(a.members, as_of)
     base = exclude(base, test_exclusions(a.test_accounts, cfg.excluded_pass_type), ["user_id"])
@@ -190,4 +192,4 @@ def member_profile(a, cfg: DomainConfig, as_of: date, spark) -> DataFrame:
              trial_before.alias("trial_before_first"),
              F.when(trial_before, F.col("trial_kind")).alias("trial_type"),
              F.when(trial_before, F.col("trial_payment")).alias("trial_payment")]
-    return merge_geo(p.select(*cols), location_metrics(a, cfg))
+    return merge_geo(p.select(*cols), geo if geo is not None else location_metrics(a, cfg))

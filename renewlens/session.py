@@ -47,7 +47,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if current:
         return current.rstrip("/")
-    path = tempfile.mkdtemp(prefix="renewlens-ckpt-")
+    # Unset (as in ad-hoc local runs): use a folder under the warehouse directory,
+    # which a cluster places on shared storage, never a machine-local temp folder.
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or tempfile.gettempdir()
+    path = warehouse.rstrip("/") + "/_renewlens_checkpoints"
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path

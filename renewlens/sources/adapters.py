@@ -32,6 +32,7 @@ def _plan_name(prio):
 class Adapters:
     def __init__(self, tables):
         self.t = tables
+        self.spark = tables.spark
 
     # ---- members and facilities -------------------------------------------------
     @cached_property
