@@ -88,9 +88,32 @@ def distance_stats(points_with_facility: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_points"), F.avg(d).alias("mean_km"), F.stddev_pop(d).alias("std_km")))
 
 
+def point_aggregates(points_with_facility: DataFrame, precision: int = config.COORD_PRECISION,
+                     night_weight: int = config.NIGHT_WEIGHT,
+                     utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
+    """One pass over the points: grouping sets (member, cell) and (member).
+
+    Cell rows (``is_cell``) carry centroid, count, night count, score and the facility
+    coordinates; member rows carry the point count and the mean / population std of the
+    point -> facility distances.  One shuffle of partial aggregates instead of one per
+    consumer.
+    """
+    d = haversine_km("latitude", "longitude", "fac_lat", "fac_lon")
+    p = with_cluster_keys(points_with_facility, precision, utc_offset_hours).withColumn("_d", d)
+    agg = p.groupingSets([["user_id", "lat_r", "lon_r"], ["user_id"]], "user_id", "lat_r", "lon_r").agg(
+        F.count(F.lit(1)).alias("n_points"),
+        F.avg("latitude").alias("c_lat"), F.avg("longitude").alias("c_lon"),
+        F.sum(F.col("is_night").cast("long")).alias("night_count"),
+        F.avg("_d").alias("mean_km"), F.stddev_pop("_d").alias("std_km"),
+        F.max("fac_lat").alias("fac_lat"), F.max("fac_lon").alias("fac_lon"),
+        F.grouping_id().alias("_gid"))
+    return (agg.withColumn("is_cell", F.col("_gid") == 0).drop("_gid")
+            .withColumn("score", F.col("n_points") + night_weight * F.col("night_count")))
+
+
 def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords: DataFrame,
                 precision: int = config.COORD_PRECISION, night_weight: int = config.NIGHT_WEIGHT,
-                utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
+                utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS, reuse: str = "checkpoint") -> DataFrame:
     """The 12-column location metric table, one row per member of ``member_facility``.
 
     Home coordinates are the unrounded centroid; the mart schema (``conform``)
@@ -99,16 +122,30 @@ def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords:
     points:          user_id (string), latitude, longitude, created_at (non-null coords)
     member_facility: user_id (string), facility_name — the members to score
     facility_coords: facility_name, fac_lat, fac_lon (only facilities with coordinates)
+    reuse:           'checkpoint' writes the per-cell/per-member aggregate to the shared
+                     checkpoint folder (three consumers read it; lineage is cut),
+                     'none' lets each consumer recompute it.
     """
     mf = member_facility.join(facility_coords, "facility_name", "left")
     # points are the big side; a member with a huge share of points is salted (see skew_join)
     pts = skew_join(points, mf.filter(F.col("fac_lat").isNotNull()).select("user_id", "fac_lat", "fac_lon"),
                     "user_id")
-    home = home_location(pts, precision, night_weight, utc_offset_hours)
-    stats = distance_stats(pts).drop("n_points")
-    top2 = top2_cluster_distance(pts, precision)
-
-    m = (mf.join(home, "user_id", "left").join(stats, "user_id", "left").join(top2, "user_id", "left"))
+    agg = point_aggregates(pts, precision, night_weight, utc_offset_hours)
+    if reuse == "checkpoint":
+        from renewlens.session import checkpoint_dir
+
+        checkpoint_dir(agg.sparkSession)
+        agg = agg.checkpoint(eager=True)
+    cells = agg.filter("is_cell")
+    stats = agg.filter(~F.col("is_cell")).select("user_id", F.col("n_points").alias("sample_size"),
+                                                 "mean_km", "std_km")
+    best = home_top1(cells).select("user_id", F.col("c_lat").alias("home_latitude"),
+                                   F.col("c_lon").alias("home_longitude"), F.col("n_points").alias("top_n"))
+    top2 = (top_k_by(cells, ["user_id"], [F.col("n_points").desc(), F.col("lat_r"), F.col("lon_r")], 2)
+            .groupBy("user_id").agg(F.min(haversine_km("c_lat", "c_lon", "fac_lat", "fac_lon")).alias("top2_min_km")))
+    home = best.join(stats, "user_id").withColumn("confidence", F.col("top_n") / F.col("sample_size") * 100.0)
+
+    m = mf.join(home, "user_id", "left").join(top2, "user_id", "left")
     has_coords = F.col("fac_lat").isNotNull()
     n = F.coalesce(F.col("sample_size"), F.lit(0))
     scored = has_coords & (n > 0)
