@@ -46,7 +46,7 @@ def train_baseline(df: DataFrame, features: Sequence[str], label: str = "label",
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-                        numFolds=folds, seed=seed)
+                        numFolds=folds, seed=seed, parallelism=4)
     return cv.fit(data).bestModel
 
 
