@@ -7,6 +7,7 @@ whatever the member's share of raw events.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -42,16 +43,36 @@ def _prev_frame(key: str = "user_id", order: str = "week"):
     return Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def ewma_norm(facts: DataFrame, metric: str, alpha: float, out: str | None = None) -> DataFrame:
-    """Exponentially weighted mean of the member's *previous* weeks (adjusted weights
-    (1-alpha)^(age)); null for the first week."""
+def ewma_norm(facts: DataFrame, metric: str, alpha: float, out: str | None = None,
+              key: str = "user_id", order: str = "week", block: int | None = None) -> DataFrame:
+    """Exponentially weighted mean of the member's *previous* weeks with adjusted weights
+    ``(1-alpha)^age``; null for the first week.
+
+    Exact and O(weeks): rows are grouped in blocks of ``block`` consecutive weeks, where
+    the numerator is a windowed prefix sum with exponents bounded by the block size (no
+    overflow for any history length); the carry from earlier blocks is a fold over the
+    per-block totals (a handful of rows per member); the denominator is closed-form.
+    """
     out = out or f"{metric}_ewma"
     w = 1.0 - alpha
-    hist = F.collect_list(F.col(metric).cast("double")).over(_prev_frame())
-    folded = F.aggregate(hist, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("n")),
-                         lambda acc, x: F.struct((acc["s"] * w + x).alias("s"), (acc["n"] * w + 1.0).alias("n")))
-    return facts.withColumn("_f", folded).withColumn(
-        out, F.when(F.col("_f.n") > 0, F.col("_f.s") / F.col("_f.n"))).drop("_f")
+    if block is None:
+        block = max(1, int(250 / max(1e-9, -math.log10(w)))) if w < 1 else 1_000_000
+    x = F.col(metric).cast("double")
+    d = (facts.withColumn("_i", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+         .withColumn("_b", F.floor(F.col("_i") / block))
+         .withColumn("_j", F.col("_i") - F.col("_b") * block))
+    scaled = F.pow(F.lit(w), -F.col("_j")) * x
+    in_block = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_p", F.coalesce(F.sum(scaled).over(in_block), F.lit(0.0)))
+    wB = w ** block
+    blocks = d.groupBy(key, "_b").agg((F.sum(scaled) * (w ** (block - 1))).alias("_T"))
+    prev_blocks = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_S", F.aggregate(F.collect_list("_T").over(prev_blocks), F.lit(0.0),
+                                                 lambda acc, t: acc * wB + t)).drop("_T")
+    d = d.join(blocks, [key, "_b"])
+    num = F.pow(F.lit(w), F.col("_j") - 1) * F.col("_p") + F.pow(F.lit(w), F.col("_j")) * F.col("_S")
+    den = (1 - F.pow(F.lit(w), F.col("_i"))) / (1 - w) if w < 1 else F.col("_i").cast("double")
+    return d.withColumn(out, F.when(F.col("_i") > 0, num / den)).drop("_i", "_b", "_j", "_p", "_S")
 
 
 def quantile_norm(facts: DataFrame, metric: str) -> DataFrame:

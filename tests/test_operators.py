@@ -154,3 +154,16 @@ def test_skew_join_matches_plain_join(spark):
         ref = sorted(big.join(small, "k", how).select("pid", "v").collect())
         got = sorted(skew_join(big, small, "k", how, share=0.05, salts=8).select("pid", "v").collect())
         assert ref == got
+
+
+@pytest.mark.parametrize("block", [None, 1, 3])
+def test_ewma_blocks_match_pandas(spark, block):
+    import pandas as pd
+
+    vals = [3, 1, 4, 1, 5, 9, 2, 6, 5, 3, 5]
+    df = spark.createDataFrame([(u, date(2024, 1, 1) + timedelta(weeks=i), v * u) for u in (1, 2)
+                                for i, v in enumerate(vals)], "user_id long, week date, sessions long")
+    got = ewma_norm(df, "sessions", 0.3, block=block).filter("user_id = 2").orderBy("week").collect()
+    ref = pd.Series([v * 2 for v in vals], dtype=float).ewm(alpha=0.3, adjust=True).mean().shift(1).tolist()
+    assert got[0].sessions_ewma is None
+    assert all(abs(r.sessions_ewma - b) < 1e-9 for r, b in zip(got[1:], ref[1:]))
