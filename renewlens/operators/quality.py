@@ -14,26 +14,71 @@ from pyspark.sql import functions as F
 from renewlens import config
 
 
-def feature_stats(df: DataFrame, cols: Sequence[str], null_share_max: float = config.DQ_NULL_SHARE_MAX) -> DataFrame:
+def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequence[float],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact nearest-rank quantiles per group: the smallest value v with at least
+    ``ceil(q * n)`` non-null values <= v.
+
+    Distributed, no single-task buffer: values are range-partitioned by (group, value);
+    a per-partition count table (one row per (group, partition)) turns each target rank
+    into (partition, local rank); a ``row_number`` inside each range partition picks the
+    value.  Returns (group_col, q, value).
+    """
+    spark = long.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    v = long.select(F.col(group_col), F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    ranged = v.repartitionByRange(parts, group_col, "_v").withColumn("_pid", F.spark_partition_id())
+    counts = ranged.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(group_col).orderBy("_pid")
+    offsets = counts.select(group_col, "_pid", "_c",
+                            (F.sum("_c").over(w) - F.col("_c")).alias("_off"),
+                            F.sum("_c").over(Window.partitionBy(group_col)).alias("_n"))
+    # one row per (group, range partition, requested quantile): explode the literal list, no join
+    targets = offsets.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+    targets = (targets.withColumn("_rank", F.greatest(F.ceil(F.col("q") * F.col("_n")), F.lit(1)))
+               .filter((F.col("_rank") > F.col("_off")) & (F.col("_rank") <= F.col("_off") + F.col("_c")))
+               .select(group_col, "_pid", "q", (F.col("_rank") - F.col("_off")).alias("_local")))
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(group_col, "_pid").orderBy("_v")))
+    return local.join(F.broadcast(targets), [group_col, "_pid", "_local"]).select(
+        group_col, "q", F.col("_v").alias("value"))
+
+
+def feature_stats(df: DataFrame, cols: Sequence[str], null_share_max: float = config.DQ_NULL_SHARE_MAX,
+                  quartiles: str = "exact") -> DataFrame:
     """Per column: rows, nulls, null share, mean, std, min, max, quartiles; flag null share > max.
 
-    One pass: a single aggregate over all columns, then ``stack`` to one row per column.
+    Moments: a single aggregate over all columns, then ``stack`` to one row per column.
+    Quartiles: ``exact`` (distributed nearest-rank, see ``exact_quantiles``) or ``approx``
+    (``percentile_approx``, one sketch per column).
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q")]
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if quartiles == "approx":
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"{c}__q"))
     wide = df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', `{c}__n`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`, `{c}__q`" for c in cols)
-    long = wide.selectExpr("_rows", f"stack({len(cols)}, {parts}) AS (column_name, non_null, mean, std, min, max, q)")
+    qcol = lambda c: f", `{c}__q`" if quartiles == "approx" else ""
+    parts = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`{qcol(c)}" for c in cols)
+    names = "column_name, non_null, mean, std, min, max" + (", q" if quartiles == "approx" else "")
+    long = wide.selectExpr("_rows", f"stack({len(cols)}, {parts}) AS ({names})")
+    if quartiles == "approx":
+        qs = [F.col("q")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
+    else:
+        vals = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double")
+                                                      .alias("x")) for c in cols])).alias("_s")).select("_s.*")
+        qt = (exact_quantiles(vals, "column_name", "x", [0.25, 0.5, 0.75])
+              .groupBy("column_name").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value")))
+        qt = qt.toDF("column_name", "p25", "p50", "p75")
+        long = long.join(qt, "column_name", "left")
+        qs = ["p25", "p50", "p75"]
     return long.select(
         "column_name", F.col("_rows").alias("rows"), (F.col("_rows") - F.col("non_null")).alias("nulls"),
         ((F.col("_rows") - F.col("non_null")) / F.col("_rows")).alias("null_share"),
-        "mean", "std", "min", "max",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"),
+        "mean", "std", "min", "max", *qs,
         (((F.col("_rows") - F.col("non_null")) / F.col("_rows")) > null_share_max).alias("too_many_nulls"))
 
 

@@ -167,3 +167,18 @@ def test_ewma_blocks_match_pandas(spark, block):
     ref = pd.Series([v * 2 for v in vals], dtype=float).ewm(alpha=0.3, adjust=True).mean().shift(1).tolist()
     assert got[0].sessions_ewma is None
     assert all(abs(r.sessions_ewma - b) < 1e-9 for r, b in zip(got[1:], ref[1:]))
+
+
+def test_exact_quantiles_nearest_rank(spark):
+    import math as _m
+
+    from renewlens.operators.quality import exact_quantiles
+
+    rows = [("a", float(v)) for v in [5, 1, 3, 3, 9, 7, 2, 8, 6, 4, 10]] + [("b", float(v)) for v in range(100)]
+    rows += [("b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.q): r.value for r in exact_quantiles(df, "g", "x", [0.25, 0.5, 0.75, 1.0], 5).collect()}
+    for g in ("a", "b"):
+        vals = sorted(x for gg, x in rows if gg == g and x is not None)
+        for q in (0.25, 0.5, 0.75, 1.0):
+            assert got[(g, q)] == vals[max(_m.ceil(q * len(vals)), 1) - 1]
