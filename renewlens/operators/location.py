@@ -14,6 +14,7 @@ from renewlens import config
 from renewlens.functions.bands import band_below, right_closed_bins
 from renewlens.functions.geo import haversine_km, is_night
 from renewlens.functions.scores import commute_score, geo_quality
+from renewlens.functions.stats import exact_mean
 from renewlens.operators.ranking import top1_by, top_k_by
 from renewlens.operators.skew import skew_join
 
@@ -40,10 +41,11 @@ def with_cluster_keys(points: DataFrame, precision: int = config.COORD_PRECISION
 def home_clusters(points: DataFrame, precision: int = config.COORD_PRECISION,
                   night_weight: int = config.NIGHT_WEIGHT,
                   utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
-    """Per (member, rounded cell): centroid of raw coords, count, night count, score."""
+    """Per (member, rounded cell): centroid of raw coords (order-independent exact mean),
+    count, night count, score."""
     return (with_cluster_keys(points, precision, utc_offset_hours)
             .groupBy("user_id", "lat_r", "lon_r")
-            .agg(F.avg("latitude").alias("c_lat"), F.avg("longitude").alias("c_lon"),
+            .agg(exact_mean("latitude").alias("c_lat"), exact_mean("longitude").alias("c_lon"),
                  F.count(F.lit(1)).alias("n_points"),
                  F.sum(F.col("is_night").cast("long")).alias("night_count"))
             .withColumn("score", F.col("n_points") + night_weight * F.col("night_count")))
@@ -73,7 +75,7 @@ def top2_cluster_distance(points_with_facility: DataFrame, precision: int = conf
     clusters = (points_with_facility
                 .withColumns({"lat_r": F.round("latitude", precision), "lon_r": F.round("longitude", precision)})
                 .groupBy("user_id", "lat_r", "lon_r")
-                .agg(F.avg("latitude").alias("c_lat"), F.avg("longitude").alias("c_lon"),
+                .agg(exact_mean("latitude").alias("c_lat"), exact_mean("longitude").alias("c_lon"),
                      F.count(F.lit(1)).alias("n_points"),
                      F.first("fac_lat").alias("fac_lat"), F.first("fac_lon").alias("fac_lon")))
     top2 = top_k_by(clusters, ["user_id"], [F.col("n_points").desc(), F.col("lat_r"), F.col("lon_r")], 2)
@@ -102,7 +104,7 @@ def point_aggregates(points_with_facility: DataFrame, precision: int = config.CO
     p = with_cluster_keys(points_with_facility, precision, utc_offset_hours).withColumn("_d", d)
     agg = p.groupingSets([["user_id", "lat_r", "lon_r"], ["user_id"]], "user_id", "lat_r", "lon_r").agg(
         F.count(F.lit(1)).alias("n_points"),
-        F.avg("latitude").alias("c_lat"), F.avg("longitude").alias("c_lon"),
+        exact_mean("latitude").alias("c_lat"), exact_mean("longitude").alias("c_lon"),
         F.sum(F.col("is_night").cast("long")).alias("night_count"),
         F.avg("_d").alias("mean_km"), F.stddev_pop("_d").alias("std_km"),
         F.max("fac_lat").alias("fac_lat"), F.max("fac_lon").alias("fac_lon"),

@@ -21,6 +21,13 @@ def hav(lat1, lon1, lat2, lon2):
     return f"(6371.0 * 2 * atan2(sqrt({a}), sqrt(1 - ({a}))))"
 
 
+def xmean(c):
+    """Exact mean: decimal sum, half-up integer division, one double division."""
+    x = f"CAST(sum(CAST({c} AS DECIMAL(20,10))) * 1000000000000 AS HUGEINT)"
+    n = f"count({c})"
+    return f"(sign({x}) * CAST((2 * abs({x}) + {n}) // (2 * {n}) AS DOUBLE) / CAST(1000000000000 AS DOUBLE))"
+
+
 NIGHT = ("COALESCE(hour(created_at + INTERVAL 5 HOUR) >= 22 OR hour(created_at + INTERVAL 5 HOUR) <= 8, false)")
 
 GEO_CTES = f"""
@@ -43,7 +50,7 @@ pts AS (
          mf2.fac_lat, mf2.fac_lon, {hav('p.latitude', 'p.longitude', 'mf2.fac_lat', 'mf2.fac_lon')} AS d
   FROM flat p JOIN mf2 ON p.user_id = mf2.user_id WHERE mf2.fac_lat IS NOT NULL),
 clusters AS (
-  SELECT user_id, lat_r, lon_r, avg(latitude) AS c_lat, avg(longitude) AS c_lon, count(*) AS n_points,
+  SELECT user_id, lat_r, lon_r, {xmean('latitude')} AS c_lat, {xmean('longitude')} AS c_lon, count(*) AS n_points,
          sum(CAST(is_night AS BIGINT)) AS night_count, count(*) + 2 * sum(CAST(is_night AS BIGINT)) AS score,
          any_value(fac_lat) AS fac_lat, any_value(fac_lon) AS fac_lon
   FROM pts GROUP BY user_id, lat_r, lon_r),
