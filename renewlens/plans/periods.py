@@ -18,6 +18,7 @@ from renewlens import config
 from renewlens.config import FacilityRule
 from renewlens.operators.guards import bounded_broadcast
 from renewlens.operators.ordered import neighbour_in_order
+from renewlens.operators.skew import skew_join
 
 
 def rules_table(spark, rules: Sequence[FacilityRule]) -> DataFrame:
@@ -67,8 +68,9 @@ def paid_periods_with_facility(periods: DataFrame, plans: DataFrame, members: Da
                                rules: DataFrame, paid: Sequence[str]) -> DataFrame:
     fac = bounded_broadcast(facilities.select("facility_id", "name"), 1_000_000)
     p = periods.join(paid_plans(plans, paid), "plan_id")
-    p = (p.join(fac.withColumnRenamed("name", "p_fac"), "facility_id", "left")
-         .join(members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", "left")
+    p = p.join(fac.withColumnRenamed("name", "p_fac"), "facility_id", "left")
+    # one member may own a large share of periods: hot members are salted (skew_join)
+    p = (skew_join(p, members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", "left")
          .join(fac.select(F.col("facility_id").alias("m_fid"), F.col("name").alias("m_fac")), "m_fid", "left"))
     p = p.withColumn("fac_name", F.coalesce("p_fac", "m_fac"))
     return correct_facility(p, "fac_name", "start_date", rules, "facility_corr")

@@ -138,7 +138,7 @@ def haversine_q(t):
     ml = a.member_locations.select("point_id", "user_id", F.col("location.latitude").alias("la"),
                                    F.col("location.longitude").alias("lo")).filter(F.col("la").isNotNull())
     fac = bounded_broadcast(a.facilities.filter(F.col("lat").isNotNull()), 1_000_000)
-    j = ml.join(a.members.select("user_id", "facility_id"), "user_id").join(fac, "facility_id")
+    j = skew_join(ml, a.members.select("user_id", "facility_id"), "user_id").join(fac, "facility_id")
     return j.select("point_id", F.round(haversine_km("la", "lo", "lat", "lon"), 6).alias("km"))
 
 
