@@ -15,34 +15,54 @@ from renewlens import config
 
 
 def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequence[float],
-                    num_partitions: int | None = None) -> DataFrame:
-    """Exact nearest-rank quantiles per group: the smallest value v with at least
-    ``ceil(q * n)`` non-null values <= v.
-
-    Distributed, no single-task buffer: values are range-partitioned by (group, value);
-    a per-partition count table (one row per (group, partition)) turns each target rank
-    into (partition, local rank); a ``row_number`` inside each range partition picks the
-    value.  Returns (group_col, q, value).
+                    num_partitions: int | None = None, method: str = "nearest") -> DataFrame:
+    """Exact quantiles per group, computed distributedly.
+
+    ``nearest``: the smallest value v with at least ``ceil(q * n)`` non-null values <= v.
+    ``linear``: interpolation between the values at 0-based positions floor/ceil of
+    ``(n - 1) * q`` (the usual continuous median / ``percentile``).
+
+    No single-task buffer: values are range-partitioned by (group, value); a per-partition
+    count table (one row per (group, partition)) turns each target rank into (partition,
+    local rank); a ``row_number`` inside each range partition picks the values.
+    Returns (group_col, q, value).
     """
+    from pyspark.sql import Window
+
     spark = long.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = long.select(F.col(group_col), F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     ranged = v.repartitionByRange(parts, group_col, "_v").withColumn("_pid", F.spark_partition_id())
     counts = ranged.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_c"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy(group_col).orderBy("_pid")
     offsets = counts.select(group_col, "_pid", "_c",
                             (F.sum("_c").over(w) - F.col("_c")).alias("_off"),
                             F.sum("_c").over(Window.partitionBy(group_col)).alias("_n"))
-    # one row per (group, range partition, requested quantile): explode the literal list, no join
-    targets = offsets.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
-    targets = (targets.withColumn("_rank", F.greatest(F.ceil(F.col("q") * F.col("_n")), F.lit(1)))
-               .filter((F.col("_rank") > F.col("_off")) & (F.col("_rank") <= F.col("_off") + F.col("_c")))
-               .select(group_col, "_pid", "q", (F.col("_rank") - F.col("_off")).alias("_local")))
+    # one row per (group, partition, quantile, bound): explode the literal lists, no join
+    t = offsets.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
+    if method == "nearest":
+        t = t.withColumn("_bound", F.explode(F.array(F.lit("lo")))).withColumn(
+            "_rank", F.greatest(F.ceil(F.col("q") * F.col("_n")), F.lit(1)))
+    elif method == "linear":
+        pos = (F.col("_n") - 1) * F.col("q")
+        t = (t.withColumn("_bound", F.explode(F.array(F.lit("lo"), F.lit("hi"))))
+             .withColumn("_rank", F.when(F.col("_bound") == "lo", F.floor(pos)).otherwise(F.ceil(pos)) + 1)
+             .withColumn("_frac", pos - F.floor(pos)))
+    else:
+        raise ValueError(method)
+    targets = (t.filter((F.col("_rank") > F.col("_off")) & (F.col("_rank") <= F.col("_off") + F.col("_c")))
+               .withColumn("_local", F.col("_rank") - F.col("_off"))
+               .select(group_col, "_pid", "_local", "q", "_bound", *(["_frac"] if method == "linear" else [])))
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(group_col, "_pid").orderBy("_v")))
-    return local.join(F.broadcast(targets), [group_col, "_pid", "_local"]).select(
-        group_col, "q", F.col("_v").alias("value"))
+    hits = local.join(F.broadcast(targets), [group_col, "_pid", "_local"])
+    if method == "nearest":
+        return hits.select(group_col, "q", F.col("_v").alias("value"))
+    picked = hits.groupBy(group_col, "q").agg(
+        F.max(F.when(F.col("_bound") == "lo", F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_bound") == "hi", F.col("_v"))).alias("_hi"),
+        F.max("_frac").alias("_frac"))
+    return picked.select(group_col, "q",
+                         (F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias("value"))
 
 
 def feature_stats(df: DataFrame, cols: Sequence[str], null_share_max: float = config.DQ_NULL_SHARE_MAX,

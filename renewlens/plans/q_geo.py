@@ -268,12 +268,27 @@ SELECT round(avg(distance_home_to_club_km), 6) AS mean_km,
        round(quantile_cont(commute_convenience_score, 0.5), 6) AS median_score
 FROM geo WHERE distance_home_to_club_km IS NOT NULL""")
 def distance_distribution(t):
-    """Mean/median distance, share within 2 km, mean/median score (exact median)."""
+    """Mean/median distance, share within 2 km, mean/median score.
+
+    Medians are exact (linear interpolation) but computed distributedly
+    (``exact_quantiles``), not by buffering every member's value in one aggregate.
+    """
+    from renewlens.operators.quality import exact_quantiles
+
+    m = metrics(t).filter(F.col("distance_home_to_club_km").isNotNull())
     d, s = F.col("distance_home_to_club_km"), F.col("commute_convenience_score")
-    return (metrics(t).filter(d.isNotNull())
-            .agg(F.round(F.avg(d), 6).alias("mean_km"), F.round(F.median(d), 6).alias("median_km"),
-                 F.round(F.avg(F.when(d < 2, 1.0).otherwise(0.0)) * 100, 6).alias("within_2km_pct"),
-                 F.round(F.avg(s), 6).alias("mean_score"), F.round(F.median(s), 6).alias("median_score")))
+    means = m.agg(F.round(F.avg(d), 6).alias("mean_km"),
+                  F.round(F.avg(F.when(d < 2, 1.0).otherwise(0.0)) * 100, 6).alias("within_2km_pct"),
+                  F.round(F.avg(s), 6).alias("mean_score"))
+    long = m.select(F.explode(F.array(F.struct(F.lit("km").alias("k"), d.cast("double").alias("x")),
+                                      F.struct(F.lit("score").alias("k"), s.cast("double").alias("x")))).alias("_s"))
+    med = exact_quantiles(long.select("_s.*"), "k", "x", [0.5], method="linear")
+    medians = med.groupBy().agg(F.round(F.max(F.when(F.col("k") == "km", F.col("value"))), 6).alias("median_km"),
+                                F.round(F.max(F.when(F.col("k") == "score", F.col("value"))), 6).alias("median_score"))
+    # two one-row results side by side: union, then one aggregate (no join)
+    cols = ["mean_km", "median_km", "within_2km_pct", "mean_score", "median_score"]
+    both = means.unionByName(medians, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in cols])
 
 
 FEATURES_SQL = GEO_WITH + """

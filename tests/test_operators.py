@@ -182,3 +182,15 @@ def test_exact_quantiles_nearest_rank(spark):
         vals = sorted(x for gg, x in rows if gg == g and x is not None)
         for q in (0.25, 0.5, 0.75, 1.0):
             assert got[(g, q)] == vals[max(_m.ceil(q * len(vals)), 1) - 1]
+
+
+def test_exact_quantiles_linear_matches_percentile(spark):
+    from renewlens.operators.quality import exact_quantiles
+
+    rows = [("a", float((i * 37) % 101) / 7) for i in range(203)] + [("b", 1.0), ("b", 4.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.q): r.value for r in exact_quantiles(df, "g", "x", [0.25, 0.5, 0.9], 6, method="linear").collect()}
+    ref = {(r.g, q): v for r in df.groupBy("g").agg(F.percentile("x", [0.25, 0.5, 0.9]).alias("p")).collect()
+           for q, v in zip((0.25, 0.5, 0.9), r.p)}
+    assert set(got) == set(ref)
+    assert all(abs(got[k] - ref[k]) < 1e-12 for k in ref)
