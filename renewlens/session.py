@@ -52,9 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     # which a cluster places on shared storage, never a machine-local temp folder.
     warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or tempfile.gettempdir()
     path = warehouse.rstrip("/") + "/_renewlens_checkpoints"
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext.getCheckpointDir().rstrip("/") if path.startswith("file:") else path
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
