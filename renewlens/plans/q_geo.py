@@ -330,14 +330,11 @@ def features(t):
 
 
 def _feature_query(name, cols, doc):
-    sql = f"SELECT user_id, {', '.join(cols)} FROM ({FEATURES_SQL}) f"
-
-    @register(name, sql)
     def q(t):
         return features(t).select("user_id", *cols)
 
     q.__doc__ = doc
-    return q
+    return register(name, f"SELECT user_id, {', '.join(cols)} FROM ({FEATURES_SQL}) f")(q)
 
 
 _feature_query("booking_vs_home_diff", ["booking_vs_home_diff", "booking_origin"],

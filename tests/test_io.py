@@ -63,3 +63,19 @@ def test_profiles(spark):
     sp = {r.field: r for r in schema_profile(df, 2, "k").collect()}
     assert sp["a"].type == "double" and sp["a"].sample_values == "null | 2.0"
     assert sp["b"].sample_values == "x | null"
+
+
+def test_json_documents_scan_and_flatten(spark):
+    from pyspark.sql import functions as F
+
+    from renewlens.operators.location import flatten_location
+    from renewlens.sources.tables import Tables, scan
+    from tests.conftest import SF001
+
+    docs = Tables(spark, SF001).adapters.member_locations
+    path = scratch_path(spark, "test", uuid.uuid4().hex)
+    docs.write.json(path)
+    back = scan(spark, path, schema=docs.schema, fmt="json", where=F.col("user_id") >= 0)
+    a = sorted(map(tuple, flatten_location(back).collect()))
+    b = sorted(map(tuple, flatten_location(docs).collect()))
+    assert a == b and len(a) > 0
