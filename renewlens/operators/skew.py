@@ -25,11 +25,17 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
 
 
 def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", share: float = 0.01,
-              salts: int = 32, salt_cols: Sequence[str] | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` for ``how`` in inner/left, with hot keys salted."""
+              salts: int = 32, salt_cols: Sequence[str] | None = None,
+              hot_source: DataFrame | None = None) -> DataFrame:
+    """``big.join(small, key, how)`` for ``how`` in inner/left, with hot keys salted.
+
+    ``hot_source`` (default ``big``) is where key shares are counted — pass the narrowest
+    frame carrying the key (e.g. the raw table before upstream joins).
+    """
     if how not in ("inner", "left"):
         raise ValueError(how)
-    hot = F.broadcast(hot_keys(big, key, share).withColumn("_hot", F.lit(True)))  # <= 1/share rows
+    src = (hot_source if hot_source is not None else big).select(key)
+    hot = F.broadcast(hot_keys(src, key, share).withColumn("_hot", F.lit(True)))  # <= 1/share rows
     cols = list(salt_cols or big.columns)
     b = (big.join(hot, key, "left")
          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*cols), F.lit(salts))).otherwise(F.lit(0)))

@@ -70,7 +70,8 @@ def paid_periods_with_facility(periods: DataFrame, plans: DataFrame, members: Da
     p = periods.join(paid_plans(plans, paid), "plan_id")
     p = p.join(fac.withColumnRenamed("name", "p_fac"), "facility_id", "left")
     # one member may own a large share of periods: hot members are salted (skew_join)
-    p = (skew_join(p, members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", "left")
+    p = (skew_join(p, members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", "left",
+                   hot_source=periods)
          .join(fac.select(F.col("facility_id").alias("m_fid"), F.col("name").alias("m_fac")), "m_fid", "left"))
     p = p.withColumn("fac_name", F.coalesce("p_fac", "m_fac"))
     return correct_facility(p, "fac_name", "start_date", rules, "facility_corr")
