@@ -194,3 +194,37 @@ def test_exact_quantiles_linear_matches_percentile(spark):
            for q, v in zip((0.25, 0.5, 0.9), r.p)}
     assert set(got) == set(ref)
     assert all(abs(got[k] - ref[k]) < 1e-12 for k in ref)
+
+
+@pytest.fixture
+def no_coalesce(spark):
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], "-1")
+    spark.conf.set(keys[2], "-1")
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_hot_key_is_spread_over_partitions(spark, no_coalesce):
+    from renewlens.operators.skew import skew_join
+
+    n = 6000
+    big = spark.createDataFrame([(i, 7 if i % 3 == 0 else i % 400) for i in range(n)], "pid long, k long")
+    small = spark.createDataFrame([(k, k * 10) for k in range(400)], "k long, v long")
+    j = skew_join(big, small, "k", salts=16).withColumn("_p", F.spark_partition_id())
+    hot_parts = j.filter("k = 7").select("_p").distinct().count()
+    assert hot_parts > 4, hot_parts           # a plain hash join puts all 2000 rows in one partition
+    assert j.count() == n
+
+    # segmented lead: the hot member's rows are windowed in (member, date) segments
+    d = spark.createDataFrame([(i, 7 if i % 3 == 0 else i % 400, date(2024, 1, 1) + timedelta(days=i % 90))
+                               for i in range(n)], "id long, k long, d date")
+    out = neighbour_in_order(d, "k", "d", "id", "d", "nb").withColumn("_p", F.spark_partition_id())
+    assert out.filter("k = 7").select("_p").distinct().count() > 4
