@@ -269,17 +269,6 @@ def feature_drift(t):
 
 # ---- models (no SQL oracle: rows-only check) --------------------------------------------
 
-def _doc_features(t):
-    d = t.documents.select("doc_id", "n_chars", "lang", "text")
-    lab = t.labels.select("doc_id", "quality")
-    feats = d.select("doc_id", F.log1p("n_chars").alias("log_chars"),
-                     (F.col("lang") == "en").cast("double").alias("is_en"),
-                     F.size(F.split("text", r"\s+")).cast("double").alias("words"),
-                     (F.length(F.regexp_replace("text", r"[^0-9]", "")) / F.greatest(F.length("text"), F.lit(1)))
-                     .alias("digit_share"))
-    return feats.join(lab, "doc_id"), ["log_chars", "is_en", "words", "digit_share"]
-
-
 def _period_features(t):
     m = mart(t)
     lab = P.renewal_labels(m, config.PERIOD_AS_OF).select("period_id", F.col("renewed_30d").alias("label"))
