@@ -59,3 +59,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
     return "/".join([checkpoint_dir(spark), "renewlens", *parts])
+
+
+def cluster_conf(input_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Recommended settings for a large cluster run (pass to the session builder / spark-submit).
+
+    Shuffle partitions are sized for ~256 MB per partition of the largest input before AQE
+    coalesces them; skew-join splitting and runtime broadcast decisions stay on; file
+    splits of 256 MB keep scan tasks large enough to amortise scheduling.
+    """
+    target = 256 * 1024 * 1024
+    shuffle = max(executor_cores * 3, input_bytes // target)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
