@@ -51,10 +51,11 @@ def home_clusters(points: DataFrame, precision: int = config.COORD_PRECISION,
             .withColumn("score", F.col("n_points") + night_weight * F.col("night_count")))
 
 
-def home_top1(clusters: DataFrame) -> DataFrame:
+def home_top1(clusters: DataFrame, extra_aggs=()) -> DataFrame:
     """Best cluster per member: score desc, then ascending (lat_r, lon_r)."""
     return top1_by(clusters, ["user_id"], [F.col("score"), -F.col("lat_r"), -F.col("lon_r")],
-                   descending=True, payload=["lat_r", "lon_r", "c_lat", "c_lon", "n_points", "night_count", "score"])
+                   descending=True, payload=["lat_r", "lon_r", "c_lat", "c_lon", "n_points", "night_count", "score"],
+                   extra_aggs=extra_aggs)
 
 
 def home_location(points: DataFrame, precision: int = config.COORD_PRECISION,
@@ -62,9 +63,9 @@ def home_location(points: DataFrame, precision: int = config.COORD_PRECISION,
                   utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
     """Home = centroid of the best cluster; confidence = 100 * cluster count / member total."""
     clusters = home_clusters(points, precision, night_weight, utc_offset_hours)
-    best = home_top1(clusters)
-    totals = points.groupBy("user_id").agg(F.count(F.lit(1)).alias("sample_size"))
-    return (best.join(totals, "user_id")
+    # the member total is the sum of its cluster counts: same aggregation, points read once
+    best = home_top1(clusters, extra_aggs=[F.sum("n_points").alias("sample_size")])
+    return (best
             .select("user_id", F.col("c_lat").alias("home_latitude"), F.col("c_lon").alias("home_longitude"),
                     (F.col("n_points") / F.col("sample_size") * 100.0).alias("confidence"),
                     "sample_size", F.col("night_count").alias("night_occurrences")))

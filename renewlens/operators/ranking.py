@@ -22,12 +22,14 @@ def _col(c) -> Column:
 
 
 def top1_by(df: DataFrame, keys: Sequence[str], order: Sequence, tie: Sequence = (),
-            descending: bool = True, nulls_last: bool = True, payload: Sequence[str] | None = None) -> DataFrame:
+            descending: bool = True, nulls_last: bool = True, payload: Sequence[str] | None = None,
+            extra_aggs: Sequence[Column] = ()) -> DataFrame:
     """One row per ``keys``: the row first in ``order`` (+ ``tie``) order.
 
     All order and tie expressions share one direction.  Rows whose order value is
     null come last (``nulls_last``) or first.  Returns ``keys`` + ``payload``
-    columns (default: all other columns).
+    columns (default: all other columns) + ``extra_aggs`` computed in the same
+    aggregation (e.g. a group total), so the input is read once.
     """
     keys = list(keys)
     payload = [c for c in (payload or df.columns) if c not in keys]
@@ -39,8 +41,10 @@ def top1_by(df: DataFrame, keys: Sequence[str], order: Sequence, tie: Sequence =
     fields += [_col(t).alias(f"_t{i}") for i, t in enumerate(tie)]
     fields.append(F.struct(*[F.col(c) for c in payload]).alias("_p"))
     agg = F.max if descending else F.min
-    return (df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("_best"))
-            .select(*keys, *[F.col(f"_best._p.{c}").alias(c) for c in payload]))
+    extra = list(extra_aggs)
+    out = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("_best"), *extra)
+    extra_cols = [c for c in out.columns if c not in keys and c != "_best"]
+    return out.select(*keys, *[F.col(f"_best._p.{c}").alias(c) for c in payload], *extra_cols)
 
 
 def latest_by(df, keys, order, tie=(), payload=None) -> DataFrame:
