@@ -62,11 +62,13 @@ SELECT count(*) AS total_days, min(dt) AS first_day, max(dt) AS last_day,
        sum(CAST(is_school_break AS BIGINT)) AS school_break_days
 FROM cal""")
 def calendar_summary_q(t):
+    """Total days, first/last day, weekend, holiday and school-break day counts."""
     return calendar_summary(calendar(t))
 
 
 @register("holiday_rows", CAL_WITH + "SELECT dt, dow, season_label FROM cal WHERE is_holiday")
 def holiday_rows(t):
+    """Calendar rows flagged as public holidays."""
     return calendar(t).filter("is_holiday").select("dt", "dow", "season_label")
 
 

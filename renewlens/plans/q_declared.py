@@ -76,12 +76,14 @@ SELECT user_id, quantile_cont(sessions, 0.25) AS sessions_p25, quantile_cont(ses
        quantile_cont(sessions, 0.75) AS sessions_p75
 FROM fw GROUP BY user_id""")
 def quantile_norm(t):
+    """25/50/75th percentile of each member's weekly sessions."""
     return W.quantile_norm(facts(t), "sessions")
 
 
 @register("completion_rate", FACT_WITH + """
 SELECT user_id, week, CASE WHEN booked > 0 THEN round(completed / booked, 9) END AS completion_rate FROM fw""")
 def completion_rate(t):
+    """Completed / booked sessions per member-week (null when nothing was booked)."""
     c = W.completion_rate(facts(t))
     return c.select("user_id", "week", F.round("completion_rate", 9).alias("completion_rate"))
 
@@ -177,6 +179,7 @@ RISK_SQL = ("CASE WHEN probability IS NULL THEN NULL WHEN probability < 0.3 THEN
 
 @register("risk_band", with_adapters("scores") + f"SELECT user_id, probability, {RISK_SQL} AS risk_band FROM scores")
 def risk_band(t):
+    """Retention probability -> left-closed risk band."""
     s = t.adapters.scores
     return s.select("user_id", "probability", S.risk_band("probability").alias("risk_band"))
 
@@ -186,6 +189,7 @@ SELECT user_id, CASE WHEN probability < 0.3 THEN 'critical' WHEN probability < 0
                      WHEN probability < 0.7 THEN 'watch' ELSE 'none' END AS intervention_level
 FROM scores""")
 def intervention_level(t):
+    """Retention probability -> critical / warning / watch / none."""
     s = t.adapters.scores
     return s.select("user_id", S.intervention_level("probability").alias("intervention_level"))
 
@@ -194,6 +198,7 @@ def intervention_level(t):
 SELECT {RISK_SQL} AS risk_band, count(*) AS members, round(avg(probability), 9) AS mean_probability
 FROM scores GROUP BY 1""")
 def band_summary(t):
+    """Members and mean probability per risk band."""
     b = S.band_summary(t.adapters.scores)
     return b.withColumn("mean_probability", F.round("mean_probability", 9))
 
@@ -203,6 +208,7 @@ SELECT CAST(least(floor(probability * 10), 9) AS INTEGER) AS bin, count(*) AS n,
        round(avg(probability), 9) AS mean_predicted, round(avg(CAST(observed AS DOUBLE)), 9) AS observed_rate
 FROM scores GROUP BY 1""")
 def calibration_table(t):
+    """Predicted vs observed rate per probability decile."""
     c = Q.calibration(t.adapters.scores, "probability", "observed")
     return c.select("bin", "n", F.round("mean_predicted", 9).alias("mean_predicted"),
                     F.round("observed_rate", 9).alias("observed_rate"))
@@ -211,6 +217,7 @@ def calibration_table(t):
 @register("dq_min_weeks", FACT_WITH + """
 SELECT user_id, count(*) AS weeks FROM fw WHERE sessions > 0 GROUP BY user_id HAVING count(*) >= 4""")
 def dq_min_weeks(t):
+    """Members with at least four active weeks."""
     return Q.min_weeks(facts(t))
 
 

@@ -124,6 +124,7 @@ def flatten_location(t):
 @register("is_night", with_adapters("member_locations") + f"""
 SELECT point_id, {NIGHT} AS is_night FROM member_locations""")
 def is_night_q(t):
+    """Local hour (UTC + 5) >= 22 or <= 8; missing time -> false."""
     ml = t.adapters.member_locations
     return ml.select("point_id", is_night("created_at").alias("is_night"))
 
@@ -165,6 +166,7 @@ SELECT h.user_id, h.c_lat AS home_latitude, h.c_lon AS home_longitude,
        h.night_count AS night_occurrences
 FROM home h JOIN stats s ON h.user_id = s.user_id""")
 def home_location(t):
+    """Home = centroid of the best cluster; confidence = 100 * cluster count / member total."""
     h = L.home_location(points_with_facility(t))
     return h.select("user_id", "home_latitude", "home_longitude",
                     F.round("confidence", 6).alias("confidence"), "sample_size", "night_occurrences")
@@ -235,17 +237,20 @@ def geo_metrics(t):
 @register("commute_score", GEO_WITH + """
 SELECT user_id, commute_convenience_score FROM geo WHERE commute_convenience_score IS NOT NULL""")
 def commute_score(t):
+    """1 - (0.7 min(1, d/10) + 0.3 min(1, sd/5)), clamped, 4 decimals."""
     return metrics(t).filter(F.col("commute_convenience_score").isNotNull()).select(
         "user_id", "commute_convenience_score")
 
 
 @register("geo_quality", GEO_WITH + "SELECT user_id, location_data_quality FROM geo")
 def geo_quality(t):
+    """Quality ladder: no_club_coords, no_user_data, insufficient, good, medium, poor."""
     return metrics(t).select("user_id", "location_data_quality")
 
 
 @register("is_home_nearby", GEO_WITH + "SELECT user_id, is_home_nearby FROM geo")
 def is_home_nearby(t):
+    """Unrounded home -> facility distance below 2 km (false when unknown)."""
     return metrics(t).select("user_id", "is_home_nearby")
 
 

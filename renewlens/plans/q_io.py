@@ -67,6 +67,7 @@ def scan_sessions_between(t):
 @register("scan_memberships", with_adapters("periods") + """
 SELECT period_id, user_id, start_date FROM periods WHERE plan_id IN ('1-URGENT', '2-HIGH')""")
 def scan_memberships(t):
+    """Membership documents with a filter and a projection."""
     return t.adapters.periods.filter(F.col("plan_id").isin("1-URGENT", "2-HIGH")).select(
         "period_id", "user_id", "start_date")
 
