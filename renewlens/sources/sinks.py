@@ -46,7 +46,7 @@ def stamp_audit(df: DataFrame, at: Column, created: bool = True) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if any key occurs twice (Postgres refuses to update one row twice in one statement)."""
+    """Raise if any key occurs twice (a SQL upsert refuses to update one row twice in one statement)."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).count()
     if dup:
         raise ValueError(f"duplicate source keys on {list(keys)}")
