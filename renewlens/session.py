@@ -38,13 +38,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
-    conf = spark.sparkContext.getConf()
-    path = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    """Return the shared checkpoint folder, setting one only if the session has none."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns checkpointing; read its setting
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return path.rstrip("/")
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if path:
         if not current:
-            spark.sparkContext.setCheckpointDir(path)
+            sc.setCheckpointDir(path)
         return path.rstrip("/")
     if current:
         return current.rstrip("/")
@@ -52,8 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     # which a cluster places on shared storage, never a machine-local temp folder.
     warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or tempfile.gettempdir()
     path = warehouse.rstrip("/") + "/_renewlens_checkpoints"
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir().rstrip("/") if path.startswith("file:") else path
+    sc.setCheckpointDir(path)
+    return path
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

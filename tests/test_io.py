@@ -80,3 +80,20 @@ def test_json_documents_scan_and_flatten(spark):
     a = sorted(map(tuple, flatten_location(back).collect()))
     b = sorted(map(tuple, flatten_location(docs).collect()))
     assert a == b and len(a) > 0
+
+
+def test_conform_decimals_defaults_and_order(spark):
+    from decimal import Decimal
+
+    from renewlens.sources import schemas
+
+    df = spark.createDataFrame([("u1", 43.123456789, None, 1.23456), ("u2", None, 5, None)],
+                               "user_id string, home_latitude double, location_sample_size int, "
+                               "commute_convenience_score double")
+    out = schemas.conform(df, schemas.GEO_METRICS, schemas.GEO_DEFAULTS)
+    assert out.columns == schemas.GEO_METRICS.fieldNames()
+    r = {x.user_id: x for x in out.collect()}
+    assert r["u1"].home_latitude == Decimal("43.1234568")            # rounded half-up at the sink
+    assert r["u1"].commute_convenience_score == Decimal("1.2346")
+    assert r["u1"].location_sample_size == 0 and r["u1"].is_home_nearby is False
+    assert r["u1"].location_data_quality == "none" and r["u2"].location_sample_size == 5
