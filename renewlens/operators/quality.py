@@ -22,9 +22,12 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
     ``linear``: interpolation between the values at 0-based positions floor/ceil of
     ``(n - 1) * q`` (the usual continuous median / ``percentile``).
 
-    No single-task buffer: values are range-partitioned by (group, value); a per-partition
-    count table (one row per (group, partition)) turns each target rank into (partition,
-    local rank); a ``row_number`` inside each range partition picks the values.
+    No single-task buffer and no hot value: rows are first collapsed to
+    (group, value) -> count with a partial aggregate (a value held by a third of the
+    rows becomes one row per map task); the distinct values are range-partitioned; a
+    per-partition total (one row per (group, partition)) turns each target rank into
+    (partition, local rank); running counts inside each partition give every distinct
+    value its rank interval, and the value whose interval holds the target is picked.
     Returns (group_col, q, value).
     """
     from pyspark.sql import Window
@@ -32,16 +35,17 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
     spark = long.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = long.select(F.col(group_col), F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranged = v.repartitionByRange(parts, group_col, "_v").withColumn("_pid", F.spark_partition_id())
-    counts = ranged.groupBy(group_col, "_pid").agg(F.count(F.lit(1)).alias("_c"))
+    vc = v.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+    ranged = vc.repartitionByRange(parts, group_col, "_v").withColumn("_pid", F.spark_partition_id())
+    totals = ranged.groupBy(group_col, "_pid").agg(F.sum("_cnt").alias("_c"))
     w = Window.partitionBy(group_col).orderBy("_pid")
-    offsets = counts.select(group_col, "_pid", "_c",
+    offsets = totals.select(group_col, "_pid", "_c",
                             (F.sum("_c").over(w) - F.col("_c")).alias("_off"),
                             F.sum("_c").over(Window.partitionBy(group_col)).alias("_n"))
     # one row per (group, partition, quantile, bound): explode the literal lists, no join
     t = offsets.withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))
     if method == "nearest":
-        t = t.withColumn("_bound", F.explode(F.array(F.lit("lo")))).withColumn(
+        t = t.withColumn("_bound", F.lit("lo")).withColumn(
             "_rank", F.greatest(F.ceil(F.col("q") * F.col("_n")), F.lit(1)))
     elif method == "linear":
         pos = (F.col("_n") - 1) * F.col("q")
@@ -53,8 +57,12 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
     targets = (t.filter((F.col("_rank") > F.col("_off")) & (F.col("_rank") <= F.col("_off") + F.col("_c")))
                .withColumn("_local", F.col("_rank") - F.col("_off"))
                .select(group_col, "_pid", "_local", "q", "_bound", *(["_frac"] if method == "linear" else [])))
-    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(group_col, "_pid").orderBy("_v")))
-    hits = local.join(F.broadcast(targets), [group_col, "_pid", "_local"])
+    # rank interval [start, end] of each distinct value inside its range partition
+    wl = Window.partitionBy(group_col, "_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumn("_end", F.sum("_cnt").over(wl)).withColumn("_start", F.col("_end") - F.col("_cnt") + 1)
+    # targets: at most 2 * len(qs) rows per (group, partition) -> broadcast, equi join on (group, partition)
+    hits = (local.join(F.broadcast(targets), [group_col, "_pid"])
+            .filter((F.col("_local") >= F.col("_start")) & (F.col("_local") <= F.col("_end"))))
     if method == "nearest":
         return hits.select(group_col, "q", F.col("_v").alias("value"))
     picked = hits.groupBy(group_col, "q").agg(

@@ -228,3 +228,17 @@ def test_hot_key_is_spread_over_partitions(spark, no_coalesce):
                                for i in range(n)], "id long, k long, d date")
     out = neighbour_in_order(d, "k", "d", "id", "d", "nb").withColumn("_p", F.spark_partition_id())
     assert out.filter("k = 7").select("_p").distinct().count() > 4
+
+
+def test_exact_quantiles_hot_value(spark):
+    from renewlens.operators.quality import exact_quantiles
+
+    vals = [0.0] * 700 + [float(i) for i in range(1, 1301)]
+    df = spark.createDataFrame([("g", x) for x in vals], "g string, x double")
+    got = {r.q: r.value for r in exact_quantiles(df, "g", "x", [0.25, 0.35, 0.5, 0.99], 8).collect()}
+    s = sorted(vals)
+    import math as _m
+    assert got == {q: s[max(_m.ceil(q * len(s)), 1) - 1] for q in (0.25, 0.35, 0.5, 0.99)}
+    lin = {r.q: r.value for r in exact_quantiles(df, "g", "x", [0.5], 8, method="linear").collect()}
+    ref = df.agg(F.percentile("x", 0.5)).first()[0]
+    assert abs(lin[0.5] - ref) < 1e-12
