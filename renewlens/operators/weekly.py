@@ -130,8 +130,9 @@ def booking_time_shift(facts: DataFrame) -> DataFrame:
 def idle_gap_days(activity: DataFrame) -> DataFrame:
     """Per (member, week): the longest gap in days since the previous activity."""
     a = activity.withColumn("day", F.to_date("ts"))
+    # segments of one hour: a member's burst of activity on one day still spreads over tasks
     prev = neighbour_in_order(a, "user_id", "ts", "activity_id", "day", "prev_day", direction="prev",
-                              segment=F.col("day"))
+                              segment=F.date_trunc("hour", F.col("ts")))
     return (prev.withColumn("gap_days", F.datediff("day", "prev_day"))
             .groupBy("user_id", week_start("ts").alias("week"))
             .agg(F.max("gap_days").alias("max_idle_gap_days"), F.count(F.lit(1)).alias("sessions")))
