@@ -13,6 +13,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+_TABLES: dict[tuple[int, str], Tables] = {}
+
+
+def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
+    """One ``Tables`` (and its lazily built adapters) per session and folder."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    t = _TABLES.get(key)
+    if t is None:
+        t = _TABLES[key] = Tables(spark, sf_dir)
+    return t
+
+
 def register(name: str, sql: str | None = None):
     """Register a query taking ``Tables`` (adapters on ``t.adapters``)."""
 
@@ -21,7 +33,7 @@ def register(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(spark, sf_dir))
+            return fn(tables_for(spark, sf_dir))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
