@@ -47,24 +47,22 @@ def fact_member_week(t):
     return facts(t)
 
 
-EWMA_SQL = FACT_WITH + f"""
-, idx AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY week) - 1 AS i FROM fw)
-SELECT user_id, week, sessions,
-       round(sum(pow({1 - ALPHA}, -i) * sessions) {PREV} / sum(pow({1 - ALPHA}, -i)) {PREV}, 6) AS sessions_ewma
-FROM idx""".replace("ON f.user_id = s.user_id AND f.week = s.week)\n, idx",
-                    "ON f.user_id = s.user_id AND f.week = s.week),\nidx")
+EWMA_CTES = FACT_WITH + f"""
+, idx AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY week) - 1 AS i FROM fw),
+e AS (SELECT user_id, week, sessions,
+             sum(pow({1 - ALPHA}, -i) * sessions) {PREV} / sum(pow({1 - ALPHA}, -i)) {PREV} AS ewma
+      FROM idx)
+"""
 
 
-@register("ewma_norm", EWMA_SQL)
+@register("ewma_norm", EWMA_CTES + "SELECT user_id, week, sessions, round(ewma, 6) AS sessions_ewma FROM e")
 def ewma_norm(t):
     """Personal norm: EWMA of the member's previous weeks (alpha 0.3), null in the first week."""
     e = W.ewma_norm(facts(t), "sessions", ALPHA)
     return e.select("user_id", "week", "sessions", F.round("sessions_ewma", 6).alias("sessions_ewma"))
 
 
-@register("norm_delta", EWMA_SQL.replace(" AS sessions_ewma\nFROM idx", " AS sessions_ewma_r\nFROM idx").replace(
-    "SELECT user_id, week, sessions,\n       round(", "SELECT user_id, week, sessions, round(sessions - (", 1).replace(
-    ", 6) AS sessions_ewma_r", "), 6) AS sessions_delta"))
+@register("norm_delta", EWMA_CTES + "SELECT user_id, week, sessions, round(sessions - ewma, 6) AS sessions_delta FROM e")
 def norm_delta(t):
     """actual - EWMA norm of previous weeks; a drop below the norm is negative."""
     d = W.norm_delta(facts(t), "sessions", ALPHA)
@@ -95,7 +93,7 @@ def completion_rate(t):
 SELECT user_id, week, round(cancel_rate - avg(cancel_rate) {PREV}, 9) AS cancel_rate_delta,
        round(completion_rate - avg(completion_rate) {PREV}, 9) AS completion_rate_delta,
        round(miss_rate - avg(miss_rate) {PREV}, 9) AS miss_rate_delta
-FROM r""".replace("f.week = s.week)\n, r", "f.week = s.week),\nr"))
+FROM r""")
 def rate_deltas(t):
     """Cancellation / completion / miss rate this week vs the member's mean of previous weeks."""
     r = W.rate_deltas(facts(t))
@@ -133,7 +131,7 @@ def booking_time_shift(t):
                lag(CAST(ts AS DATE)) OVER (PARTITION BY user_id ORDER BY ts, activity_id) AS prev_day FROM activity)
 SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, max(day - prev_day) AS max_idle_gap_days,
        count(*) AS sessions
-FROM a GROUP BY 1, 2""".replace("FROM events)\n, a", "FROM events),\na"))
+FROM a GROUP BY 1, 2""")
 def idle_gap_days(t):
     """Longest gap (days since previous activity) per member-week; segmented lag, no hot task."""
     return W.idle_gap_days(t.adapters.activity)
@@ -147,7 +145,7 @@ d AS (SELECT user_id, week, sum(CAST(n >= 2 AS BIGINT)) AS double_days FROM (
 SELECT v.user_id, v.week, v.trainers, v.session_types, COALESCE(d.double_days, 0) AS double_days
 FROM (SELECT user_id, week, count(DISTINCT trainer_id) AS trainers, count(DISTINCT event_type) AS session_types
       FROM a GROUP BY 1, 2) v
-LEFT JOIN d ON d.user_id = v.user_id AND d.week = v.week""".replace("FROM events)\n, a", "FROM events),\na"))
+LEFT JOIN d ON d.user_id = v.user_id AND d.week = v.week""")
 def variety_counts(t):
     """Distinct trainers and session types per week; days with two or more completed sessions."""
     return W.variety_counts(t.adapters.activity)
@@ -159,8 +157,7 @@ def variety_counts(t):
 SELECT user_id, round(max(CASE WHEN rn = 1 THEN weight END) - max(CASE WHEN rn = 2 THEN weight END), 6)
          AS weight_delta,
        round(max(CASE WHEN rn = 1 THEN fat_pct END) - max(CASE WHEN rn = 2 THEN fat_pct END), 6) AS fat_pct_delta
-FROM r WHERE rn <= 2 GROUP BY user_id""".replace("FROM events WHERE event_type = 'view')\n, r",
-                                                 "FROM events WHERE event_type = 'view'),\nr"))
+FROM r WHERE rn <= 2 GROUP BY user_id""")
 def progress_deltas(t):
     """Latest body measure minus the previous one (top-2 per member, pivoted)."""
     from renewlens.operators.ranking import first_k_pivot
@@ -266,7 +263,7 @@ SELECT 'weight' AS feature,
        round(sum((greatest(n_cur / tc, 0.0001) - greatest(n_base / tb, 0.0001))
                  * ln(greatest(n_cur / tc, 0.0001) / greatest(n_base / tb, 0.0001))), 9) AS psi,
        sum(n_base) AS baseline_rows, sum(n_cur) AS current_rows
-FROM c, tot""".replace("FROM events WHERE event_type = 'view')\n, d", "FROM events WHERE event_type = 'view'),\nd"))
+FROM c, tot""")
 def feature_drift(t):
     """Population stability index of body weight, first half of the month vs second half."""
     b = t.adapters.body_tests.filter(F.col("tested_at").isNotNull())

@@ -391,7 +391,7 @@ def _geo_subquery(cut: str | None, run_ts: str) -> str:
 SELECT user_id, run_ts, commute_convenience_score,
        round(commute_convenience_score - lag(commute_convenience_score) OVER (PARTITION BY user_id ORDER BY run_ts), 6)
          AS convenience_trend
-FROM snaps""".replace("FROM events)\n, snaps", "FROM events),\nsnaps"))
+FROM snaps""")
 def convenience_trend(t):
     """Commute score change per member between metric snapshots (mid-month cut-off vs month end)."""
     a = t.adapters

@@ -140,7 +140,7 @@ def read_latest_snapshot_q(t):
     return read_latest_snapshot(t.spark, path, counts.schema)
 
 
-UPSERT_SQL = CAL_WITH.replace("WITH ", "WITH ", 1) + """
+UPSERT_SQL = CAL_WITH + """
 , y AS (SELECT min(year) AS y0 FROM cal),
 tgt AS (SELECT dt, season_label, is_holiday FROM cal, y WHERE year <= y0 + 3),
 src AS (SELECT dt, upper(season_label) AS season_label, NOT is_holiday AS is_holiday FROM cal, y WHERE year >= y0 + 2)
@@ -159,7 +159,7 @@ def _halves(t):
     return tgt, src
 
 
-@register("upsert", UPSERT_SQL.replace("FROM cal)\n, y", "FROM cal),\ny"))
+@register("upsert", UPSERT_SQL)
 def upsert_q(t):
     """Insert new keys, update chosen columns of matched keys, keep the rest."""
     tgt, src = _halves(t)
@@ -176,7 +176,7 @@ SELECT COALESCE(t.dt, s.dt) AS dt,
          AS created_at,
        CASE WHEN s.dt IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END
          AS updated_at
-FROM tgt t FULL OUTER JOIN src s ON t.dt = s.dt""").replace("FROM cal)\n, y", "FROM cal),\ny")
+FROM tgt t FULL OUTER JOIN src s ON t.dt = s.dt""")
 
 
 @register("stamp_audit", STAMP_SQL)
