@@ -88,3 +88,17 @@ def test_risk_bands(spark):
     assert got == ["very_high", "very_high", "high", "medium", "low", "very_low", "very_low"]
     lv = [r.i for r in df.select(intervention_level("p").alias("i")).collect()]
     assert lv == ["critical", "critical", "warning", "watch", "none", "none", "none"]
+
+
+def test_exact_mean_half_up_and_order_independent(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from renewlens.functions.stats import exact_mean
+
+    vals = [43.2037 + 0.00001 * (i % 3) for i in range(1, 4001)] + [0.1] * 7
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got1 = df.repartition(7).agg(exact_mean("x").alias("m")).first().m
+    got2 = df.repartition(3).agg(exact_mean("x").alias("m")).first().m
+    exact = sum(Decimal(repr(v)).quantize(Decimal("1e-10")) for v in vals) / len(vals)
+    ref = float(exact.quantize(Decimal("1e-12"), rounding=ROUND_HALF_UP))
+    assert got1 == got2 == ref
