@@ -92,6 +92,37 @@ def int_array(values, mask=None, kind=None) -> pa.Array:
     return pa.array(np.asarray(values, np.int64), type=kind or pa.int64(), mask=mask)
 
 
+#: Bits of one row of a filter.
+ROW_BITS = 1 << 15
+
+
+def key_filter(keys: DataFrame, most_bits: int = 1 << 27) -> tuple[DataFrame, int]:
+    """A one-hash Bloom filter of the column ``key`` (long): rows (bucket, bits) and its number of bits.
+
+    At least 64 bits a key, but never more than ``most_bits`` (16 MB by default), which bounds what is
+    broadcast; with more keys than that is good for, the filter lets more rows through, and the exact
+    join behind it has more to do.
+    """
+    n, bits = keys.count(), ROW_BITS
+    while bits < min(64 * n, most_bits):
+        bits *= 2
+    at = keys.select(F.pmod("key", F.lit(bits)).alias("at"))
+    rows = at.select(F.floor(F.col("at") / ROW_BITS).alias("bucket"), (F.col("at") % ROW_BITS).alias("pos"))
+    return stored(rows.groupBy("bucket").agg(F.bitmap_construct_agg("pos").alias("bits")), "filter"), bits
+
+
+def with_filter(df: DataFrame, key: str, found: tuple[DataFrame, int], flag: str) -> DataFrame:
+    """``df`` with a column ``flag``: false only for rows whose ``key`` is not in the filter."""
+    table, bits = found
+    bucket, mask, at = (fresh(df, x) for x in ("filter_bucket", "filter_bits", "filter_at"))
+    table = table.select(F.col("bucket").alias(bucket), F.col("bits").alias(mask))
+    placed = df.withColumn(at, F.pmod(key, F.lit(bits)))
+    both = placed.join(F.broadcast(table), F.floor(F.col(at) / ROW_BITS) == F.col(bucket), "left")
+    byte = f"cast(conv(hex(substring(`{mask}`, cast((`{at}` % {ROW_BITS}) div 8 as int) + 1, 1)), 16, 10) as int)"
+    test = F.expr(f"coalesce((shiftright({byte}, cast(`{at}` % 8 as int)) & 1) = 1, false)")
+    return both.withColumn(flag, test).drop(bucket, mask, at)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): rows (node, root), root the least node.
 
