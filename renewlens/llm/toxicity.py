@@ -3,14 +3,14 @@
 Categories are predicted in order; each model sees the text's features and the probabilities
 of the categories before it.  While fitting, those probabilities are out-of-fold: each
 training row gets them from a model fitted on the other folds.  Features are the presence of
-words, of their starts and of character 4-grams, hashed, and coarse shares of the text; an l1
+words, of their starts and of their ends, hashed, and coarse shares of the text; an l1
 penalty leaves few of them with a weight, so that in a text of any length only telling words
 count, and scoring looks up each distinct word once.
 """
 
 from __future__ import annotations
 
-import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -34,22 +34,22 @@ CATEGORIES: tuple[tuple[str, str], ...] = (
     ("toxic_prose", "toxic = 1 and quality = 1"),
     ("toxic_junk", "toxic = 1 and quality = 0"),
 )
-_EDGE = re.compile(r"^\W+|\W+$")
+_MASK = DIMS - 1
+_MARKS = string.punctuation + "\u00a1\u00ab\u00bb\u00bf\u2018\u2019\u201c\u201d\u201e\u2026"
 
 
-def word_features(word: str) -> np.ndarray:
-    """Hashed features of one lower-case word: itself, its starts of 3 to 6 letters, its 4-grams with edges."""
-    w = _EDGE.sub("", word)
+def word_features(word: str) -> list[int]:
+    """Hashed features of one lower-case word without the marks at its edges: itself, its first 4 and 6 letters, its last 4."""
+    w = word.strip(_MARKS)
     if not w:
-        return np.empty(0, np.int64)
-    marked = f"<{w[:200]}>"
-    names = {"w" + w} | {f"p{w[:i]}" for i in range(3, 7) if len(w) >= i} | {"g" + marked[i : i + 4] for i in range(len(marked) - 3)}
-    return np.array([xxhash.xxh3_64_intdigest(x) & (DIMS - 1) for x in names], np.int64)
+        return []
+    hashed = xxhash.xxh3_64_intdigest
+    return [hashed("w" + w) & _MASK, hashed("s" + w[-4:]) & _MASK, hashed(w[:4]) & _MASK, hashed("6" + w[:6]) & _MASK]
 
 
 def share_features(words: list[str], distinct: int) -> np.ndarray:
     m = max(1, len(words))
-    shares = (sum(map(str.isupper, words)) / m, sum(map(str.isalpha, words)) / m, distinct / m, sum(not w[-1].isalnum() for w in words) / m)
+    shares = (sum(map(str.isupper, words)) / m, sum(map(str.isalpha, words)) / m, distinct / m, sum(map(str.istitle, words)) / m)
     return np.array([SHARES + i * BINS + min(BINS - 1, int(s * BINS)) for i, s in enumerate(shares)], np.int64)
 
 
@@ -59,7 +59,7 @@ class _Features(dict):
     def __missing__(self, word: str) -> np.ndarray:
         if len(self) > 100_000:
             self.clear()
-        value = self[word] = word_features(word)
+        value = self[word] = np.array(word_features(word), np.int64)
         return value
 
 
@@ -193,14 +193,15 @@ class _Telling(dict):
 
     def __init__(self, ids: np.ndarray):
         super().__init__()
-        self.ids, self.bloom = ids, np.zeros(DIMS, bool)
-        self.bloom[ids] = True
+        self.weighted = bytearray(DIMS)
+        for i in ids.tolist():
+            self.weighted[i] = 1
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) > 500_000:
             self.clear()
-        f = word_features(word)
-        value = self[word] = tuple(f[self.bloom[f]].tolist())
+        weighted = self.weighted
+        value = self[word] = tuple([i for i in word_features(word) if weighted[i]])
         return value
 
 
