@@ -65,7 +65,7 @@ def hash_below(fraction: float | Column, *cols) -> Column:
 class WordHashes(dict):
     """word -> 64-bit hash.  Emptied when it holds ``limit`` words, so its memory is bounded."""
 
-    def __init__(self, limit: int = 500_000, key=None):
+    def __init__(self, limit: int = 300_000, key=None):
         super().__init__()
         self.limit, self.key = limit, key or xxhash.xxh3_64_intdigest
 
