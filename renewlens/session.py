@@ -54,10 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return path.rstrip("/")
     if current:
         return current.rstrip("/")
-    # Unset (as in ad-hoc local runs): use a folder under the warehouse directory,
-    # which a cluster places on shared storage, never a machine-local temp folder.
-    warehouse = spark.conf.get("spark.sql.warehouse.dir", None) or tempfile.gettempdir()
-    path = warehouse.rstrip("/") + "/_renewlens_checkpoints"
+    # Unset: only a local run, whose driver is its one executor, may use a folder of its own.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    path = "file://" + tempfile.mkdtemp(prefix="renewlens-")
     sc.setCheckpointDir(path)
     return path
 
