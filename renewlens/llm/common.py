@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,7 +66,7 @@ def hash_below(fraction: float | Column, *cols) -> Column:
 class WordHashes(dict):
     """word -> 64-bit hash.  Emptied when it holds ``limit`` words, so its memory is bounded."""
 
-    def __init__(self, limit: int = 300_000, key=None):
+    def __init__(self, limit: int = 150_000, key=None):
         super().__init__()
         self.limit, self.key = limit, key or xxhash.xxh3_64_intdigest
 
@@ -79,6 +80,13 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that what a worker derives at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def utf8(column: pa.Array) -> list:
     """A string column as bytes, without decoding."""
     return column.cast(pa.binary()).to_pylist()

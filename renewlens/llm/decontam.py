@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renewlens.llm.common import WordHashes
+from renewlens.llm.common import WordHashes, pieces
 
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.99
@@ -240,7 +240,7 @@ def find(seqs: list[np.ndarray], block: Block, chunk: int = 2000) -> list[tuple[
 
 def _matches(batches: Iterator[pa.RecordBatch], block: Block, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes(key=_word_key)
-    for batch in batches:
+    for batch in pieces(batches, 2000):
         got = find([sequence(t, hashes) for t in batch.column(1).to_pylist()], block)
         of = pa.array([t for t, *_ in got], pa.int64())
         yield pa.RecordBatch.from_arrays(
@@ -250,7 +250,7 @@ def _matches(batches: Iterator[pa.RecordBatch], block: Block, kind: pa.DataType)
 
 def _clean(batches: Iterator[pa.RecordBatch], block: Block, at: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes(key=_word_key)
-    for batch in batches:
+    for batch in pieces(batches, 2000):
         hit = {t for t, *_ in find([sequence(t, hashes) for t in batch.column(at).to_pylist()], block)}
         yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from renewlens.llm.common import crc_of_id, hash_below, int_array, stored
+from renewlens.llm.common import crc_of_id, hash_below, int_array, pieces, stored
 
 BITS = 16
 DIMS = 1 << BITS
@@ -130,7 +130,7 @@ def temperature(scores: np.ndarray, y: np.ndarray) -> float:
 
 def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     df, n = np.zeros(DIMS, np.int64), 0
-    for batch in batches:
+    for batch in pieces(batches):
         for text in batch.column(0).to_pylist():
             ids, _ = grams(text)
             df[ids] += 1
@@ -140,7 +140,7 @@ def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         found = [grams(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([i.tobytes() for i, _ in found], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in found], pa.binary())], ["lang", "held", "ids", "counts"])
 
@@ -186,7 +186,7 @@ def fit(docs: DataFrame, rows_per_language: int = 1000, alpha: float = 1.0, beta
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         got = [model.predict(t) for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a for a, _ in got], pa.string()), pa.array([p for _, p in got], pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])
 
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         got = [model.predict(t) for t in batch.column(at).to_pylist()]
         yield batch.filter(pa.array([lang != UNDETERMINED and p >= least for lang, p in got], pa.bool_()))
 

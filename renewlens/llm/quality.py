@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from renewlens.llm.common import crc_of_id, hash_below, stored
+from renewlens.llm.common import crc_of_id, hash_below, pieces, stored
 
 
 def _byte_classes() -> np.ndarray:
@@ -106,7 +106,7 @@ def held_out(col: str = "doc_id") -> Column:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         x = [features(t).tobytes() for t in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], ["doc_id", "held_out", "x"])
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from renewlens.llm.common import hash_below, stored
+from renewlens.llm.common import hash_below, pieces, stored
 
 BITS = 20
 DIMS = 1 << BITS
@@ -159,7 +159,7 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, names: list[str], fold
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache = _Features()
-    for batch in batches:
+    for batch in pieces(batches):
         ids = [text_features(t, cache).astype(np.int32).tobytes() for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), batch.column(2), batch.column(3)], ["doc_id", "ids", "y", "fold"])
 
@@ -198,7 +198,7 @@ class _Telling(dict):
             self.weighted[i] = 1
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         weighted = self.weighted
         value = self[word] = tuple([i for i in word_features(word) if weighted[i]])
@@ -225,7 +225,7 @@ class Scorer:
 
 def _score(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(chain)
-    for batch in batches:
+    for batch in pieces(batches):
         p = np.array([scorer(t) for t in batch.column(1).to_pylist()]).reshape(batch.num_rows, len(chain.names))
         yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array(p[:, j], pa.float64()) for j in range(p.shape[1])], ["doc_id"] + [f"p_{c}" for c in chain.names])
 
@@ -245,7 +245,7 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
 
 def _kept(batches: Iterator[pa.RecordBatch], chain: Chain, at: int, threshold: float) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(chain)
-    for batch in batches:
+    for batch in pieces(batches):
         yield batch.filter(pa.array([scorer(t)[0] < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
 
