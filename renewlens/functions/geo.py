@@ -24,6 +24,6 @@ def is_night(ts, utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS,
     ``ts`` may be a timestamp or a string; unparseable or missing time gives false.
     """
     col = F.col(ts) if isinstance(ts, str) else ts
-    local = col + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(utc_offset_hours))
+    local = col.try_cast("timestamp_ntz") + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.lit(utc_offset_hours))
     h = F.hour(local)
     return F.coalesce((h >= from_hour) | (h <= to_hour), F.lit(False))

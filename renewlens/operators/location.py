@@ -1,8 +1,7 @@
 """Home location and commute metrics from raw coordinates.
 
-All per-member work is an aggregation keyed by member (partial, map-side
-combined) or a bounded top-k; the member -> facility coordinates side is joined
-once, broadcast when a bounded count proves it small.
+Points are aggregated per member and cell once (partial, map-side combined) and the
+cells rolled up to the member; the member -> facility coordinates side is joined once.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from renewlens.functions.geo import haversine_km, is_night
 from renewlens.functions.scores import commute_score, geo_quality
 from renewlens.functions.stats import exact_mean
 from renewlens.operators.ranking import top1_by, top_k_by
-from renewlens.operators.skew import skew_join
 
 
 def flatten_location(docs: DataFrame, id_col: str = "user_id", loc_col: str = "location",
@@ -26,7 +24,8 @@ def flatten_location(docs: DataFrame, id_col: str = "user_id", loc_col: str = "l
                         F.col(f"{loc_col}.latitude").alias("latitude"),
                         F.col(f"{loc_col}.longitude").alias("longitude"),
                         F.col(ts_col).alias("created_at"))
-            .filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()))
+            .filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+                    & ~F.isnan("latitude") & ~F.isnan("longitude")))
 
 
 def with_cluster_keys(points: DataFrame, precision: int = config.COORD_PRECISION,
@@ -91,64 +90,64 @@ def distance_stats(points_with_facility: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_points"), F.avg(d).alias("mean_km"), F.stddev_pop(d).alias("std_km")))
 
 
-def point_aggregates(points_with_facility: DataFrame, precision: int = config.COORD_PRECISION,
-                     night_weight: int = config.NIGHT_WEIGHT,
-                     utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
-    """One pass over the points: grouping sets (member, cell) and (member).
-
-    Cell rows (``is_cell``) carry centroid, count, night count, score and the facility
-    coordinates; member rows carry the point count and the mean / population std of the
-    point -> facility distances.  One shuffle of partial aggregates instead of one per
-    consumer.
-    """
+def cell_aggregates(points_with_facility: DataFrame, precision: int = config.COORD_PRECISION,
+                    night_weight: int = config.NIGHT_WEIGHT,
+                    utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
+    """One pass over the points: per (member, cell) centroid, count, night count, score, facility
+    coordinates, and count-weighted mean and squared deviations of the distances to the facility."""
     d = haversine_km("latitude", "longitude", "fac_lat", "fac_lon")
     p = with_cluster_keys(points_with_facility, precision, utc_offset_hours).withColumn("_d", d)
-    agg = p.groupingSets([["user_id", "lat_r", "lon_r"], ["user_id"]], "user_id", "lat_r", "lon_r").agg(
-        F.count(F.lit(1)).alias("n_points"),
-        exact_mean("latitude").alias("c_lat"), exact_mean("longitude").alias("c_lon"),
-        F.sum(F.col("is_night").cast("long")).alias("night_count"),
-        F.avg("_d").alias("mean_km"), F.stddev_pop("_d").alias("std_km"),
-        F.max("fac_lat").alias("fac_lat"), F.max("fac_lon").alias("fac_lon"),
-        F.grouping_id().alias("_gid"))
-    return (agg.withColumn("is_cell", F.col("_gid") == 0).drop("_gid")
+    return (p.groupBy("user_id", "lat_r", "lon_r")
+            .agg(F.count(F.lit(1)).alias("n_points"), exact_mean("latitude").alias("c_lat"),
+                 exact_mean("longitude").alias("c_lon"), F.sum(F.col("is_night").cast("long")).alias("night_count"),
+                 F.avg("_d").alias("cell_km"), F.var_pop("_d").alias("cell_var"),
+                 F.max("fac_lat").alias("fac_lat"), F.max("fac_lon").alias("fac_lon"))
             .withColumn("score", F.col("n_points") + night_weight * F.col("night_count")))
 
 
+def member_aggregates(cells: DataFrame) -> DataFrame:
+    """Cells rolled up to the member: home cell, sample size, mean and population std of the
+    distances (pooled from the cells' means and variances), least distance of the two fullest cells.
+
+    All windows share one shuffle of the cells by member.
+    """
+    from pyspark.sql import Window
+
+    member = Window.partitionBy("user_id")
+    ranked = cells.withColumns({
+        "_home": F.row_number().over(member.orderBy(F.col("score").desc(), "lat_r", "lon_r")),
+        "_full": F.row_number().over(member.orderBy(F.col("n_points").desc(), "lat_r", "lon_r")),
+        "sample_size": F.sum("n_points").over(member),
+        "mean_km": F.sum(F.col("n_points") * F.col("cell_km")).over(member) / F.sum("n_points").over(member)})
+    spread = F.col("n_points") * (F.col("cell_var") + F.pow(F.col("cell_km") - F.col("mean_km"), 2))
+    home = F.col("_home") == 1
+    km = haversine_km("c_lat", "c_lon", "fac_lat", "fac_lon")
+    return (ranked.groupBy("user_id")
+            .agg(F.max(F.when(home, F.col("c_lat"))).alias("home_latitude"), F.max(F.when(home, F.col("c_lon"))).alias("home_longitude"),
+                 F.max(F.when(home, F.col("n_points"))).alias("top_n"), F.max("sample_size").alias("sample_size"),
+                 F.max("mean_km").alias("mean_km"), F.sqrt(F.sum(spread) / F.sum("n_points")).alias("std_km"),
+                 F.min(F.when(F.col("_full") <= 2, km)).alias("top2_min_km"))
+            .withColumn("confidence", F.col("top_n") / F.col("sample_size") * 100.0))
+
+
 def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords: DataFrame,
                 precision: int = config.COORD_PRECISION, night_weight: int = config.NIGHT_WEIGHT,
-                utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS, reuse: str = "checkpoint") -> DataFrame:
+                utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
     """The 12-column location metric table, one row per member of ``member_facility``.
 
     Home coordinates are the unrounded centroid; the mart schema (``conform``)
-    applies the column precision at the sink.
+    applies the column precision at the sink.  Nothing runs until the result is used.
 
     points:          user_id (string), latitude, longitude, created_at (non-null coords)
     member_facility: user_id (string), facility_name — the members to score
     facility_coords: facility_name, fac_lat, fac_lon (only facilities with coordinates)
-    reuse:           'checkpoint' writes the per-cell/per-member aggregate to the shared
-                     checkpoint folder (three consumers read it; lineage is cut),
-                     'none' lets each consumer recompute it.
     """
     mf = member_facility.join(facility_coords, "facility_name", "left")
-    # points are the big side; a member with a huge share of points is salted (see skew_join)
-    pts = skew_join(points, mf.filter(F.col("fac_lat").isNotNull()).select("user_id", "fac_lat", "fac_lon"),
-                    "user_id")
-    agg = point_aggregates(pts, precision, night_weight, utc_offset_hours)
-    if reuse == "checkpoint":
-        from renewlens.session import checkpoint_dir
-
-        checkpoint_dir(agg.sparkSession)
-        agg = agg.checkpoint(eager=True)
-    cells = agg.filter("is_cell")
-    stats = agg.filter(~F.col("is_cell")).select("user_id", F.col("n_points").alias("sample_size"),
-                                                 "mean_km", "std_km")
-    best = home_top1(cells).select("user_id", F.col("c_lat").alias("home_latitude"),
-                                   F.col("c_lon").alias("home_longitude"), F.col("n_points").alias("top_n"))
-    top2 = (top_k_by(cells, ["user_id"], [F.col("n_points").desc(), F.col("lat_r"), F.col("lon_r")], 2)
-            .groupBy("user_id").agg(F.min(haversine_km("c_lat", "c_lon", "fac_lat", "fac_lon")).alias("top2_min_km")))
-    home = best.join(stats, "user_id").withColumn("confidence", F.col("top_n") / F.col("sample_size") * 100.0)
-
-    m = mf.join(home, "user_id", "left").join(top2, "user_id", "left")
+    # points are the big side; AQE splits a member with a large share of them
+    pts = points.join(mf.filter(F.col("fac_lat").isNotNull()).select("user_id", "fac_lat", "fac_lon"), "user_id")
+    home = member_aggregates(cell_aggregates(pts, precision, night_weight, utc_offset_hours))
+
+    m = mf.join(home, "user_id", "left")
     has_coords = F.col("fac_lat").isNotNull()
     n = F.coalesce(F.col("sample_size"), F.lit(0))
     scored = has_coords & (n > 0)

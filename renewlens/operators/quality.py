@@ -24,9 +24,9 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
 
     No single-task buffer and no hot value: rows are first collapsed to
     (group, value) -> count with a partial aggregate (a value held by a third of the
-    rows becomes one row per map task); the distinct values are range-partitioned; a
-    per-partition total (one row per (group, partition)) turns each target rank into
-    (partition, local rank); running counts inside each partition give every distinct
+    rows becomes one row per map task); the distinct values fall into equal-width buckets; a
+    per-bucket total (one row per (group, bucket)) turns each target rank into
+    (bucket, local rank); running counts inside each bucket give every distinct
     value its rank interval, and the value whose interval holds the target is picked.
     Returns (group_col, q, value).
     """
@@ -36,7 +36,14 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = long.select(F.col(group_col), F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     vc = v.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    ranged = vc.repartitionByRange(parts, group_col, "_v").withColumn("_pid", F.spark_partition_id())
+    # the bucket is a function of the value and its group's range alone, so both uses of ``ranged``
+    # agree however they are computed
+    ends = vc.groupBy(group_col).agg(F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    place = (F.col("_v") - F.col("_least")) / (F.col("_most") - F.col("_least")) * parts
+    ranged = (vc.join(F.broadcast(ends), group_col)    # one row per group, i.e. per reported column
+              .withColumn("_pid", F.when(F.col("_most") > F.col("_least"),
+                                         F.least(F.floor(place), F.lit(parts - 1))).otherwise(F.lit(0)))
+              .drop("_least", "_most"))
     totals = ranged.groupBy(group_col, "_pid").agg(F.sum("_cnt").alias("_c"))
     w = Window.partitionBy(group_col).orderBy("_pid")
     offsets = totals.select(group_col, "_pid", "_c",

@@ -36,28 +36,34 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def train_baseline(df: DataFrame, features: Sequence[str], label: str = "label", folds: int = 5, seed: int = 7):
-    """Logistic regression with k-fold cross-validation over the regularisation grid."""
+def train_baseline(df: DataFrame, features: Sequence[str], label: str = "label", folds: int = 5, seed: int = 7,
+                   key: str = "period_id", max_iter: int = 50):
+    """Logistic regression with k-fold cross-validation over the regularisation grid.
+
+    A row's fold is a hash of its ``key``, so it stays in it when a task is repeated.
+    """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
-    data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"))
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)
+    fold = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(folds)).cast("int").alias("fold")
+    data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"), fold)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-                        numFolds=folds, seed=seed, parallelism=4)
+                        numFolds=folds, foldCol="fold", seed=seed, parallelism=4)
     return cv.fit(data).bestModel
 
 
 def train_trees(df: DataFrame, features: Sequence[str], label: str = "label", max_depth: int = 6,
-                step_size: float = 0.01, max_iter: int = 500, validation_fraction: float = 0.2, seed: int = 7):
+                step_size: float = 0.01, max_iter: int = 500, validation_fraction: float = 0.2, seed: int = 7,
+                key: str = "period_id"):
     """Gradient-boosted trees (depth 6, learning rate 0.01, 500 rounds) with early stopping on a
     held-out validation split (MLlib stops when validation loss stops improving by validationTol)."""
     from pyspark.ml.classification import GBTClassifier
 
-    data = (assemble(df, features).select("features", F.col(label).cast("double").alias("label"))
-            .withColumn("is_val", F.rand(seed) < validation_fraction))
+    held = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1000)) < validation_fraction * 1000
+    data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"), held.alias("is_val"))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=max_depth, stepSize=step_size,
                         maxIter=max_iter, validationIndicatorCol="is_val", seed=seed)
     return gbt.fit(data)

@@ -1,12 +1,8 @@
-"""Skew-aware equi join.
+"""Left join whose null keys don't meet in one task.
 
-Hot keys are found with one partial-aggregated count per key: a key is hot when it
-holds more than ``share`` of all rows, so there are at most ``1 / share`` of them
-and the hot list has a proven size bound (it is broadcast).  Rows of hot keys on
-the big side get a deterministic salt in ``[0, salts)`` (hash of their own
-columns, stable under task retries); the small side's hot keys are replicated
-once per salt; everything else joins on salt 0.  A key with a third of all rows
-is spread over ``salts`` tasks instead of one.
+A hot key is left to AQE, which splits its partition of a sort-merge join at run time.  Null
+keys match nothing, yet a plain left join shuffles all of them to one partition; here they are
+spread by a hash of the row instead.
 """
 
 from __future__ import annotations
@@ -17,31 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> DataFrame:
-    """Keys holding more than ``share`` of the rows (at most ``floor(1/share)`` rows)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()          # from the per-key counts: no second scan
-    return counts.filter(F.col("_n") > total * share).select(key)
-
-
-def skew_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", share: float = 0.01,
-              salts: int = 32, salt_cols: Sequence[str] | None = None,
-              hot_source: DataFrame | None = None) -> DataFrame:
-    """``big.join(small, key, how)`` for ``how`` in inner/left, with hot keys salted.
-
-    ``hot_source`` (default ``big``) is where key shares are counted — pass the narrowest
-    frame carrying the key (e.g. the raw table before upstream joins).
-    """
-    if how not in ("inner", "left"):
-        raise ValueError(how)
-    src = (hot_source if hot_source is not None else big).select(key)
-    hot = F.broadcast(hot_keys(src, key, share).withColumn("_hot", F.lit(True)))  # <= 1/share rows
-    cols = list(salt_cols or big.columns)
-    b = (big.join(hot, key, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*cols), F.lit(salts))).otherwise(F.lit(0)))
-         .drop("_hot"))
-    s = (small.join(hot, key, "left")
-         .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                                        .otherwise(F.array(F.lit(0)))))
-         .drop("_hot"))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
+def left_join(big: DataFrame, small: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+    """``big.join(small, key, "left")``; rows of ``big`` with a null key are dealt by a hash of ``spread_by``."""
+    b = big.withColumn("_spread", F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*spread_by), F.lit(1 << 30))).otherwise(F.lit(0)))
+    s = small.withColumn("_spread", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    return b.join(s, [key, "_spread"], "left").drop("_spread")

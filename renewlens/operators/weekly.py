@@ -55,6 +55,9 @@ def ewma_norm(facts: DataFrame, metric: str, alpha: float, out: str | None = Non
     """
     out = out or f"{metric}_ewma"
     w = 1.0 - alpha
+    if w <= 0:  # all weight on the last week
+        last = F.lag(F.col(metric).cast("double")).over(Window.partitionBy(key).orderBy(order))
+        return facts.withColumn(out, last)
     if block is None:
         block = max(1, int(250 / max(1e-9, -math.log10(w)))) if w < 1 else 1_000_000
     x = F.col(metric).cast("double")
@@ -89,10 +92,6 @@ def norm_delta(facts: DataFrame, metric: str, alpha: float) -> DataFrame:
     return normed.withColumn(f"{metric}_delta", F.col(metric) - F.col(f"{metric}_ewma"))
 
 
-def mean_prev(metric, out: str):
-    return F.avg(metric).over(_prev_frame()).alias(out)
-
-
 def completion_rate(facts: DataFrame) -> DataFrame:
     return facts.withColumn("completion_rate", F.when(F.col("booked") > 0, F.col("completed") / F.col("booked")))
 

@@ -20,17 +20,13 @@ from renewlens.plans.periods import period_mart, rules_table
 from renewlens.plans.profile import location_metrics, member_profile
 from renewlens.sources import schemas
 from renewlens.sources.sinks import stamp_audit, upsert
-from renewlens.sources.snapshots import read_latest_snapshot, write_snapshot
+from renewlens.sources.snapshots import read_latest_snapshot, version, write_snapshot
 
 
 def _now_ts(as_of: datetime | None):
     return F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
 
 
-def _version(stamped_at: datetime | None) -> str:
-    return (stamped_at or datetime.now()).strftime("%Y%m%d_%H%M%S")
-
-
 def run_period_job(a, cfg: DomainConfig, out: str, stamped_at: datetime | None = None) -> DataFrame:
     """Write the mart as a new snapshot version: a failure mid-write never removes the
     previous complete version (readers take the newest)."""
@@ -38,7 +34,7 @@ def run_period_job(a, cfg: DomainConfig, out: str, stamped_at: datetime | None =
     mart = period_mart(a.periods, a.plans, a.freezes, a.members, a.facilities,
                        rules_table(spark, cfg.facility_rules), cfg.paid_plans)
     mart = stamp_audit(schemas.conform(mart, schemas.PERIOD_MART, schemas.PERIOD_MART_DEFAULTS), _now_ts(stamped_at))
-    write_snapshot(mart.sortWithinPartitions("user_id", "start_date"), out, _version(stamped_at))
+    write_snapshot(mart.sortWithinPartitions("user_id", "start_date"), out, version(stamped_at))
     return read_latest_snapshot(spark, out)
 
 
@@ -51,7 +47,7 @@ def run_calendar_job(spark, start_year: int, end_year: int, cfg: DomainConfig, p
     current = read_latest_snapshot(spark, path, fresh.schema)
     update = [c for c in fresh.columns if c not in ("dt", "created_at")]
     merged = upsert(current, fresh, ["dt"], update_cols=update, check_unique=False)
-    write_snapshot(merged, path, _version(stamped_at))
+    write_snapshot(merged, path, version(stamped_at))
     return read_latest_snapshot(spark, path, fresh.schema)
 
 
@@ -67,5 +63,5 @@ def run_profile_job(a, cfg: DomainConfig, as_of: date, location_snapshot: str |
     geo = (read_latest_snapshot(spark, location_snapshot, schemas.GEO_METRICS)
            if location_snapshot else None)
     prof = member_profile(a, cfg, as_of, spark, geo=geo)
-    write_snapshot(prof, out, _version(stamped_at))
+    write_snapshot(prof, out, version(stamped_at))
     return read_latest_snapshot(spark, out)

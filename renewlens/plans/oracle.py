@@ -55,15 +55,15 @@ freezes AS (
     "trials": """
 trials AS (
   SELECT period_id AS event_id, user_id, start_date AS trial_start,
-         CASE WHEN period_id % 3 = 0 THEN 'week_pass' WHEN period_id % 3 = 1 THEN 'basecamp'
-              ELSE 'first_step' END AS trial_kind
+         CASE WHEN period_id % 3 = 0 THEN 'full_week' WHEN period_id % 3 = 1 THEN 'intro_course'
+              ELSE 'single_visit' END AS trial_kind
   FROM periods WHERE plan_id = '5-LOW')""",
     "payments": """
 payments AS (
   SELECT o.o_custkey AS user_id, l.l_orderkey AS event_id,
          CASE WHEN l.l_linenumber <> 5 THEN l.l_discount END AS amount,
          CASE l.l_returnflag WHEN 'A' THEN 'adminAdd' WHEN 'N' THEN 'added' ELSE 'card' END AS type,
-         CASE WHEN l.l_linenumber = 1 THEN 'gift week pass' ELSE 'purchase' END AS name
+         CASE WHEN l.l_linenumber = 1 THEN 'voucher for a week' ELSE 'purchase' END AS name
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
   WHERE l.l_tax < 0.03)""",
     "body_tests": """
@@ -99,7 +99,7 @@ answers AS (
   FROM conversations WHERE role = 'user')""",
     "test_accounts": """
 test_accounts AS (
-  SELECT c_custkey AS user_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'hp' ELSE 'other' END AS free_pass_type
+  SELECT c_custkey AS user_id, CASE WHEN c_mktsegment = 'BUILDING' THEN 'internal' ELSE 'other' END AS free_pass_type
   FROM customer WHERE c_acctbal < 0)""",
     "member_locations": """
 member_locations AS (

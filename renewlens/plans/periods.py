@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from renewlens import config
 from renewlens.config import FacilityRule
-from renewlens.operators.guards import bounded_broadcast
 from renewlens.operators.ordered import neighbour_in_order
-from renewlens.operators.skew import skew_join
+from renewlens.operators.skew import left_join
 
 
 def rules_table(spark, rules: Sequence[FacilityRule]) -> DataFrame:
@@ -66,12 +65,11 @@ def renewal_fields(df: DataFrame) -> DataFrame:
 
 def paid_periods_with_facility(periods: DataFrame, plans: DataFrame, members: DataFrame, facilities: DataFrame,
                                rules: DataFrame, paid: Sequence[str]) -> DataFrame:
-    fac = bounded_broadcast(facilities.select("facility_id", "name"), 1_000_000)
+    fac = facilities.select("facility_id", "name")
     p = periods.join(paid_plans(plans, paid), "plan_id")
     p = p.join(fac.withColumnRenamed("name", "p_fac"), "facility_id", "left")
-    # one member may own a large share of periods: hot members are salted (skew_join)
-    p = (skew_join(p, members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", "left",
-                   hot_source=periods)
+    # a member with many periods is left to AQE; periods without a member are spread
+    p = (left_join(p, members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", ["period_id"])
          .join(fac.select(F.col("facility_id").alias("m_fid"), F.col("name").alias("m_fac")), "m_fid", "left"))
     p = p.withColumn("fac_name", F.coalesce("p_fac", "m_fac"))
     return correct_facility(p, "fac_name", "start_date", rules, "facility_corr")
@@ -107,16 +105,17 @@ def renewed_counts(mart: DataFrame) -> DataFrame:
 def renewal_labels(mart: DataFrame, as_of: date, windows: Sequence[int] = config.LABEL_WINDOWS_DAYS) -> DataFrame:
     """renewed_within_k: true if the next period starts (by ``as_of``) no later than corrected
     end + k days (early renewals included); null while the window is still open; else false."""
-    a = F.lit(as_of)
-    seen_next = F.when(F.col("next_start") <= a, F.col("next_start"))
-    cols = []
-    for k in windows:
-        horizon = F.date_add("end_corrected", k)
-        cols.append(F.when(seen_next <= horizon, True).when(a < horizon, F.lit(None)).otherwise(False)
-                    .alias(f"renewed_{k}d"))
+    cols = [renewed_within(as_of, k).alias(f"renewed_{k}d") for k in windows]
     return mart.select("period_id", "user_id", "end_corrected", "next_start", *cols)
 
 
+def renewed_within(as_of: date, days: int) -> F.Column:
+    """The label of one window, from columns of the mart."""
+    a, horizon = F.lit(as_of), F.date_add("end_corrected", days)
+    seen_next = F.when(F.col("next_start") <= a, F.col("next_start"))
+    return F.when(seen_next <= horizon, True).when(a < horizon, F.lit(None)).otherwise(False)
+
+
 def survival_intervals(mart: DataFrame, as_of: date, window_days: int = 30) -> DataFrame:
     """One row per (period, week) from start to min(corrected end, as_of); ``event`` is set on the
     last week of periods that ended and were not renewed within ``window_days``."""

@@ -17,7 +17,6 @@ from renewlens import config
 from renewlens.config import DomainConfig
 from renewlens.functions.bands import band_below
 from renewlens.functions.dates import age_years, parse_day_month_year
-from renewlens.operators.guards import bounded_broadcast
 from renewlens.operators.location import flatten_location, geo_metrics
 from renewlens.operators.ranking import earliest_by, first_k_pivot, latest_by
 from renewlens.operators.semijoin import exclude, exists_flag, membership_flag
@@ -44,8 +43,8 @@ def base_members(members: DataFrame, as_of: date) -> DataFrame:
 
 def facility_fallback(df: DataFrame, primary: DataFrame, secondary: DataFrame, id_col: str, out: str) -> DataFrame:
     """Name from the primary facility table, else from the secondary one."""
-    p = bounded_broadcast(primary.select(F.col("facility_id").alias(id_col), F.col("name").alias("_p")), 1_000_000)
-    s = bounded_broadcast(secondary.select(F.col("facility_id").alias(id_col), F.col("name").alias("_s")), 1_000_000)
+    p = primary.select(F.col("facility_id").alias(id_col), F.col("name").alias("_p"))
+    s = secondary.select(F.col("facility_id").alias(id_col), F.col("name").alias("_s"))
     return (df.join(p, id_col, "left").join(s, id_col, "left")
             .withColumn(out, F.coalesce("_p", "_s")).drop("_p", "_s"))
 
@@ -57,7 +56,7 @@ def paid_member_periods(periods: DataFrame, plans: DataFrame, paid: Sequence[str
 
 def latest_membership(periods: DataFrame, plans: DataFrame, facilities: DataFrame, paid: Sequence[str]) -> DataFrame:
     p = paid_member_periods(periods, plans, paid)
-    fac = bounded_broadcast(facilities.select("facility_id", F.col("name").alias("period_facility")), 1_000_000)
+    fac = facilities.select("facility_id", F.col("name").alias("period_facility"))
     p = p.join(fac, "facility_id", "left")
     return latest_by(p, ["user_id"], [F.col("created_at")], [F.col("period_id")],
                      payload=["period_id", "period_facility", "created_at"])
@@ -117,18 +116,18 @@ def location_metrics(a, cfg: DomainConfig, locations: DataFrame | None = None) -
     """Geo metrics for eligible members with a known facility and any location document
     (``locations`` overrides the location documents, e.g. those seen by a cut-off)."""
     points_all = locations if locations is not None else a.member_locations
-    owners = points_all.select(F.col("user_id").cast("string").alias("user_id"))
+    # one row per owner before the shuffle, however many points a member has
+    owners = points_all.select(F.col("user_id").cast("string").alias("user_id")).distinct()
     fac = a.facilities
     mf = (eligible_members(a.members)
-          .join(bounded_broadcast(fac.select("facility_id", F.col("name").alias("facility_name")), 1_000_000),
+          .join(fac.select("facility_id", F.col("name").alias("facility_name")),
                 "facility_id", "left")
           .withColumn("facility_name", F.coalesce("facility_name", F.lit("Unknown")))
           .filter(F.col("facility_name") != "Unknown")
           .select(F.col("user_id").cast("string").alias("user_id"), "facility_name")
           .join(owners, "user_id", "left_semi").distinct())
-    coords = bounded_broadcast(fac.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-                               .select(F.col("name").alias("facility_name"), F.col("lat").alias("fac_lat"),
-                                       F.col("lon").alias("fac_lon")), 1_000_000)
+    coords = fac.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
+        F.col("name").alias("facility_name"), F.col("lat").alias("fac_lat"), F.col("lon").alias("fac_lon"))
     return geo_metrics(flatten_location(points_all), mf, coords)
 
 

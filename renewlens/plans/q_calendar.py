@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from renewlens import config
 from renewlens.operators.calendar import calendar_for_years_of, calendar_summary
-from renewlens.operators.guards import bounded_broadcast
 from renewlens.plans.catalog import register
 from renewlens.plans.q_periods import MART_WITH, mart
 
@@ -84,7 +83,7 @@ SELECT m.period_id, m.user_id, c.season_label AS start_season, c.is_holiday AS s
 FROM mart m LEFT JOIN cal c ON m.start_date = c.dt""")
 def calendar_features(t):
     """External seasonality (calendar attributes of the period start) and internal (weeks in period)."""
-    cal = bounded_broadcast(calendar(t).select("dt", "season_label", "is_holiday", "is_school_break"), 400_000)
+    cal = calendar(t).select("dt", "season_label", "is_holiday", "is_school_break")
     m = mart(t)
     return (m.join(cal, m.start_date == cal.dt, "left")
             .select("period_id", "user_id", F.col("season_label").alias("start_season"),

@@ -3,6 +3,8 @@ calibration, risk bands and model training / scoring."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from renewlens import config
@@ -11,6 +13,7 @@ from renewlens.operators import scoring as S
 from renewlens.operators import weekly as W
 from renewlens.plans import periods as P
 from renewlens.plans.catalog import register
+from renewlens.session import scratch_path
 from renewlens.plans.oracle import with_adapters
 from renewlens.plans.q_periods import mart
 
@@ -273,20 +276,26 @@ def feature_drift(t):
 
 # ---- models (no SQL oracle: rows-only check) --------------------------------------------
 
+FEATURES = ["length_days", "freeze_days", "start_month"]
+
+
 def _period_features(t):
+    """Features and label (null while its window is open) of every paid period, from one mart, written once."""
     m = mart(t)
-    lab = P.renewal_labels(m, config.PERIOD_AS_OF).select("period_id", F.col("renewed_30d").alias("label"))
     f = m.select("period_id", "user_id", F.col("length_days").cast("double").alias("length_days"),
                  F.col("freeze_days").cast("double").alias("freeze_days"),
-                 F.month("start_date").cast("double").alias("start_month"))
-    return f.join(lab, "period_id").filter(F.col("label").isNotNull()), ["length_days", "freeze_days", "start_month"]
+                 F.month("start_date").cast("double").alias("start_month"),
+                 P.renewed_within(config.PERIOD_AS_OF, 30).alias("label"))
+    path = scratch_path(t.spark, "training", uuid.uuid4().hex)
+    f.write.parquet(path)
+    return t.spark.read.schema(f.schema).parquet(path)
 
 
 @register("train_baseline")
 def train_baseline(t):
     """Logistic regression, 5-fold CV, on renewal labels; returns the coefficient table."""
-    df, feats = _period_features(t)
-    model = S.train_baseline(df, feats, "label")
+    feats = FEATURES
+    model = S.train_baseline(_period_features(t).filter("label is not null"), feats, "label", key="period_id")
     coef = model.coefficients.toArray().tolist()
     return t.spark.createDataFrame([(f, float(c)) for f, c in zip(feats, coef)] + [("intercept", model.intercept)],
                                    "feature string, coefficient double")
@@ -295,9 +304,8 @@ def train_baseline(t):
 @register("train_trees")
 def train_trees(t):
     """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping); returns feature importances."""
-    df, feats = _period_features(t)
-    model = S.train_trees(df, feats, "label")
-    return S.feature_importance(model, feats, t.spark)
+    model = S.train_trees(_period_features(t).filter("label is not null"), FEATURES, "label", key="period_id")
+    return S.feature_importance(model, FEATURES, t.spark)
 
 
 @register("train_survival")
@@ -311,10 +319,9 @@ def train_survival(t):
 
 @register("batch_score")
 def batch_score(t):
-    """Score every labelled period with the baseline model; probability, band, score date."""
-    df, feats = _period_features(t)
-    model = S.train_baseline(df, feats, "label")
-    return S.batch_score(model, df, feats, "period_id", config.PERIOD_AS_OF)
-
+    """Score every paid period, open ones included, with the model fitted on the labelled ones;
+    probability, band, score date."""
+    df = _period_features(t)
+    model = S.train_baseline(df.filter("label is not null"), FEATURES, "label", key="period_id")
+    return S.batch_score(model, df, FEATURES, "period_id", config.PERIOD_AS_OF)
 
-__all__ = ["AS_OF"]

@@ -8,8 +8,6 @@ from renewlens import config
 from renewlens.config import DRIVER_CONFIG as CFG
 from renewlens.functions.geo import haversine_km, is_night
 from renewlens.operators import location as L
-from renewlens.operators.guards import bounded_broadcast
-from renewlens.operators.skew import skew_join
 from renewlens.plans.catalog import register
 from renewlens.plans.oracle import with_adapters
 from renewlens.plans.profile import eligible_members, location_metrics
@@ -105,12 +103,11 @@ def metrics(t):
 
 def points_with_facility(t):
     a = t.adapters
-    coords = bounded_broadcast(a.facilities.filter(F.col("lat").isNotNull())
-                               .select(F.col("facility_id"), F.col("lat").alias("fac_lat"),
-                                       F.col("lon").alias("fac_lon")), 1_000_000)
+    coords = a.facilities.filter(F.col("lat").isNotNull()).select(
+        "facility_id", F.col("lat").alias("fac_lat"), F.col("lon").alias("fac_lon"))
     mf = (eligible_members(a.members).join(coords, "facility_id")
           .select(F.col("user_id").cast("string").alias("user_id"), "fac_lat", "fac_lon"))
-    return skew_join(points(t), mf, "user_id")
+    return points(t).join(mf, "user_id")
 
 
 @register("flatten_location", with_adapters("member_locations") + """
@@ -138,8 +135,8 @@ def haversine_q(t):
     a = t.adapters
     ml = a.member_locations.select("point_id", "user_id", F.col("location.latitude").alias("la"),
                                    F.col("location.longitude").alias("lo")).filter(F.col("la").isNotNull())
-    fac = bounded_broadcast(a.facilities.filter(F.col("lat").isNotNull()), 1_000_000)
-    j = skew_join(ml, a.members.select("user_id", "facility_id"), "user_id").join(fac, "facility_id")
+    fac = a.facilities.filter(F.col("lat").isNotNull())
+    j = ml.join(a.members.select("user_id", "facility_id"), "user_id").join(fac, "facility_id")
     return j.select("point_id", F.round(haversine_km("la", "lo", "lat", "lon"), 6).alias("km"))
 
 
@@ -203,8 +200,8 @@ FROM members m LEFT JOIN facilities f ON m.facility_id = f.facility_id""")
 def facility_coords_lookup(t):
     """Facility -> coordinates as a broadcast dimension join; missing -> no_club_coords."""
     a = t.adapters
-    fac = bounded_broadcast(a.facilities.select("facility_id", F.col("lat").alias("fac_lat"),
-                                                F.col("lon").alias("fac_lon")), 1_000_000)
+    fac = a.facilities.select("facility_id", F.col("lat").alias("fac_lat"),
+                                                F.col("lon").alias("fac_lon"))
     j = a.members.select("user_id", "facility_id").join(fac, "facility_id", "left")
     return j.select("user_id", "fac_lat", "fac_lon",
                     F.when(F.col("fac_lat").isNull(), "no_club_coords").otherwise("ok").alias("coords_status"))
@@ -214,8 +211,8 @@ def facility_coords_lookup(t):
 def cross_store_semi(t):
     """Eligible members with a known facility that have any location document (left semi join)."""
     a = t.adapters
-    owners = a.member_locations.select(F.col("user_id").cast("string").alias("user_id"))
-    fac = bounded_broadcast(a.facilities.select("facility_id", F.col("name").alias("facility_name")), 1_000_000)
+    owners = a.member_locations.select(F.col("user_id").cast("string").alias("user_id")).distinct()
+    fac = a.facilities.select("facility_id", F.col("name").alias("facility_name"))
     m = (eligible_members(a.members).join(fac, "facility_id", "left")
          .select(F.col("user_id").cast("string").alias("user_id"),
                  F.coalesce("facility_name", F.lit("Unknown")).alias("facility_name")))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRIORITY_PLAN = (("1-URGENT", "annual"), ("2-HIGH", "annual"), ("3-MEDIUM", "half_year"), ("5-LOW", "trial"))
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 PLAN_DAYS = (("annual", 364), ("half_year", 181))
 OTHER_PLAN_DAYS = 13
 
@@ -74,9 +75,9 @@ class Adapters:
     # ---- plans, periods, freezes, trials, payments --------------------------------
     @cached_property
     def plans(self) -> DataFrame:
-        prio = F.col("plan_id")
-        return (self.t.orders.select(F.col("o_orderpriority").alias("plan_id")).distinct()
-                .select("plan_id", _plan_name(prio).alias("name")))
+        """The plan dimension: a table of its own, not a DISTINCT over the periods."""
+        return self.spark.createDataFrame([(p,) for p in PRIORITIES], "plan_id string").select(
+            "plan_id", _plan_name(F.col("plan_id")).alias("name"))
 
     @cached_property
     def periods(self) -> DataFrame:
@@ -111,7 +112,7 @@ class Adapters:
     def trials(self) -> DataFrame:
         p = self.periods.filter(F.col("plan_id") == "5-LOW")
         pid = F.col("period_id")
-        kind = F.when(pid % 3 == 0, "week_pass").when(pid % 3 == 1, "basecamp").otherwise("first_step")
+        kind = F.when(pid % 3 == 0, "full_week").when(pid % 3 == 1, "intro_course").otherwise("single_visit")
         return p.select(pid.alias("event_id"), "user_id", F.col("start_date").alias("trial_start"),
                         kind.alias("trial_kind"))
 
@@ -123,7 +124,7 @@ class Adapters:
                 .select("user_id", F.col("l_orderkey").alias("event_id"),
                         F.when(F.col("l_linenumber") != 5, F.col("l_discount")).alias("amount"),
                         F.when(flag == "A", "adminAdd").when(flag == "N", "added").otherwise("card").alias("type"),
-                        F.when(F.col("l_linenumber") == 1, "gift week pass").otherwise("purchase").alias("name")))
+                        F.when(F.col("l_linenumber") == 1, "voucher for a week").otherwise("purchase").alias("name")))
 
     # ---- member activity tables ----------------------------------------------------
     def _events(self, event_type: str) -> DataFrame:
@@ -184,7 +185,7 @@ class Adapters:
     def test_accounts(self) -> DataFrame:
         return self.t.customer.filter(F.col("c_acctbal") < 0).select(
             F.col("c_custkey").alias("user_id"),
-            F.when(F.col("c_mktsegment") == "BUILDING", "hp").otherwise("other").alias("free_pass_type"))
+            F.when(F.col("c_mktsegment") == "BUILDING", "internal").otherwise("other").alias("free_pass_type"))
 
     @cached_property
     def member_locations(self) -> DataFrame:

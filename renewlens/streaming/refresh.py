@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from renewlens.sources.sinks import upsert
-from renewlens.sources.snapshots import read_latest_snapshot, write_snapshot
+from renewlens.sources.snapshots import read_latest_snapshot, version, write_snapshot
 
 
 def refresh_location_metrics(spark: SparkSession, source_dir: str, source_schema, snapshot_path: str,
@@ -20,7 +20,8 @@ def refresh_location_metrics(spark: SparkSession, source_dir: str, source_schema
     For every micro-batch: the touched member ids (distinct, from the batch) are
     passed to ``metrics_for(member_ids)``, which must return fresh metric rows for
     those members computed from the full history; they are upserted on
-    ``user_id`` into the newest snapshot and written as snapshot ``batch_<id>``.
+    ``user_id`` into the newest snapshot and written as a new version; a repeated
+    batch upserts the same rows again.
     ``checkpoint`` must live in the shared checkpoint folder so a restarted driver
     resumes exactly where the last committed batch ended.
     """
@@ -30,7 +31,7 @@ def refresh_location_metrics(spark: SparkSession, source_dir: str, source_schema
         fresh = metrics_for(touched)
         current = read_latest_snapshot(spark, snapshot_path, metric_schema)
         merged = upsert(current, fresh.select(*metric_schema.fieldNames()), ["user_id"])
-        write_snapshot(merged, snapshot_path, f"batch_{batch_id:012d}")
+        write_snapshot(merged, snapshot_path, version(tie=f"{batch_id:012d}"))
 
     reader = spark.readStream.schema(source_schema).parquet(source_dir)
     writer = reader.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -16,7 +16,7 @@ def test_fixture_counts_sf001(spark):
     assert paid.select("user_id").distinct().count() == 1497
     assert earliest_trial(a.trials).count() == 1280
     types = {r.free_pass_type: r["count"] for r in a.test_accounts.groupBy("free_pass_type").count().collect()}
-    assert types == {"hp": 26, "other": 96}
+    assert types == {"internal": 26, "other": 96}
     status = {r.status: r["count"] for r in a.posts.groupBy("status").count().collect()}
     assert status == {"draft": 366, "posted": 1640}
     # 25 birthdays have the right shape but are impossible dates

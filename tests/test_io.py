@@ -1,11 +1,13 @@
 import uuid
+from datetime import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from renewlens.session import scratch_path
 from renewlens.sources.profile import null_profile, schema_profile
 from renewlens.sources.sinks import upsert, write_table
-from renewlens.sources.snapshots import read_latest_snapshot, write_snapshot
+from renewlens.sources.snapshots import read_latest_snapshot, version, write_snapshot
 from renewlens.sources.tables import scan_between
 
 
@@ -35,6 +37,15 @@ def test_snapshots_latest_and_empty(spark):
     write_snapshot(spark.createDataFrame([(1, "new"), (2, "new")], schema), base, "20240201_000000")
     got = read_latest_snapshot(spark, base)
     assert sorted(r.v for r in got.collect()) == ["new", "new"]
+    write_snapshot(spark.createDataFrame([(3, "newest")], schema), base, version(datetime(2024, 2, 1, 0, 0, 0), tie="000000000001"))
+    assert [r.v for r in read_latest_snapshot(spark, base).collect()] == ["newest"]
+    # a version that was never published doesn't count; a folder that holds no versions is an error
+    spark.createDataFrame([(4, "half")], schema).write.parquet(f"{base}/run_ts=20990101_000000")
+    assert [r.v for r in read_latest_snapshot(spark, base).collect()] == ["newest"]
+    other = scratch_path(spark, "test", uuid.uuid4().hex)
+    spark.createDataFrame([(1, "x", "r")], schema + ", run_ts string").write.parquet(other)
+    with pytest.raises(AnalysisException):
+        read_latest_snapshot(spark, other, got.schema).collect()
 
 
 def test_write_modes(spark):

@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from renewlens.plans.catalog import ORACLE, QUERIES, load_all
 from tests.conftest import SF001
 from tools.check_oracle import TABLES, loose_equal, rows_of
 
-ORACLE = E.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +21,7 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLE[name])
     d_cols, d_rows = [c[0] for c in res.description], res.fetchall()
