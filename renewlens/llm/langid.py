@@ -150,7 +150,7 @@ def held_out(col: str = "doc_id") -> Column:
     return F.coalesce(crc_of_id(col) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, rows_per_language: int = 1000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 4) -> Model:
+def fit(docs: DataFrame, rows_per_language: int = 2000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6) -> Model:
     """Learn from ``docs`` (doc_id, text, lang) with a non-null lang and an id that isn't held out.
 
     At most about ``rows_per_language`` rows of each language are fitted on, chosen by a hash of the
@@ -204,6 +204,9 @@ def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, least: float
         yield batch.filter(pa.array([lang != UNDETERMINED and p >= least for lang, p in got], pa.bool_()))
 
 
-def identified(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` whose language is determined with a probability of ``least_score`` or more, all columns."""
+def identified(docs: DataFrame, model: Model, least_score: float = 0.0) -> DataFrame:
+    """Rows of ``docs`` whose language is determined, with a probability of ``least_score`` or more, all columns.
+
+    By default only ``und`` is rejected: short texts are often right with a low probability.
+    """
     return docs.mapInArrow(partial(_kept, model=model, at=docs.columns.index("text"), least=least_score), docs.schema)

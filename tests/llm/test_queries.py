@@ -37,7 +37,7 @@ def test_pipeline_equals_its_operators_one_by_one(spark):
     a = corpus_pipeline.drop_toxic(spark, docs, SF)
     assert a.columns == first and sorted(r.doc_id for r in a.collect()) == sorted(r.doc_id for r in docs.collect() if r.doc_id not in toxic)
     model = langid.fit(a)
-    sure = {r.doc_id for r in langid.predict(a, model).collect() if r.lang_pred != "und" and r.score >= 0.5}
+    sure = {r.doc_id for r in langid.predict(a, model).collect() if r.lang_pred != "und"}
     b = corpus_pipeline.identify_language(spark, a, SF)
     assert b.columns == first and {r.doc_id for r in b.collect()} == sure
     heads = {r.doc_id for r in jaccard.link_documents(b).collect() if r.n == 0 or r.doc_id == r.component_id}
