@@ -134,22 +134,22 @@ def min_weeks(facts: DataFrame, n: int = config.DQ_MIN_WEEKS, active_col: str =
 def psi(df: DataFrame, col: str, is_baseline: F.Column, bins: int = 10, eps: float = 1e-4) -> DataFrame:
     """Population stability index of ``col`` between baseline and current rows.
 
-    Equal-width bins over the baseline [min, max] (values outside are clamped into
-    the edge bins); shares below ``eps`` are floored at ``eps``.
+    Bins are cut at the baseline's exact quantiles (deciles, by default); a value on a cut belongs to the
+    bin below it.  Shares below ``eps`` are floored at ``eps``; a bin without rows counts for nothing.
+    Null where the baseline or the current side has no rows.
     """
     d = df.filter(F.col(col).isNotNull()).withColumn("_base", is_baseline)
-    rng = d.filter("_base").agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    lo = rng.select("lo").scalar()
-    hi = rng.select("hi").scalar()
-    width = (hi - lo) / bins
-    b = F.least(F.greatest(F.floor((F.col(col) - lo) / width), F.lit(0)), F.lit(bins - 1)).cast("int")
-    counts = d.withColumn("bin", F.when(width > 0, b).otherwise(F.lit(0))).groupBy("bin").agg(
+    both = exact_quantiles(d.select("_base", col), "_base", col, [i / bins for i in range(1, bins)])
+    cuts = both.agg(F.collect_list(F.when(F.col("_base"), F.col("value"))).alias("cuts")).select("cuts").scalar()
+    x = F.col(col).cast("double")
+    b = F.array_position(F.sort_array(F.array_append(cuts, x)), x)    # cuts below x, and one
+    counts = d.withColumn("bin", b).groupBy("bin").agg(
         F.sum(F.col("_base").cast("long")).alias("n_base"), F.sum((~F.col("_base")).cast("long")).alias("n_cur"))
     totals = counts.agg(F.sum("n_base").alias("tb"), F.sum("n_cur").alias("tc"))
     tb = totals.select("tb").scalar()
     tc = totals.select("tc").scalar()
-    pb = F.greatest(F.col("n_base") / tb, F.lit(eps))
-    pc = F.greatest(F.col("n_cur") / tc, F.lit(eps))
+    pb = F.when(tb > 0, F.greatest(F.try_divide("n_base", tb), F.lit(eps)))
+    pc = F.when(tc > 0, F.greatest(F.try_divide("n_cur", tc), F.lit(eps)))
     return (counts.withColumn("part", (pc - pb) * F.log(pc / pb))
             .agg(F.lit(col).alias("feature"), F.sum("part").alias("psi"),
                  F.sum("n_base").alias("baseline_rows"), F.sum("n_cur").alias("current_rows")))

@@ -79,12 +79,26 @@ def survival_training_frame(intervals: DataFrame) -> DataFrame:
     return intervals.withColumn("label", F.col("event").cast("double"))
 
 
-def train_survival(intervals: DataFrame, features: Sequence[str], reg: float = 0.1):
+def train_survival(intervals: DataFrame, features: Sequence[str], reg: float = 0.1, max_iter: int = 50):
     """Pooled logistic hazard (discrete-time survival) with L2 penalty ``reg``; Cox PH is not in MLlib."""
     from pyspark.ml.classification import LogisticRegression
 
     data = assemble(survival_training_frame(intervals), features)
-    return LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=50).fit(data)
+    return LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter).fit(data)
+
+
+def train_aft(spells: DataFrame, features: Sequence[str], duration: str, event: str, max_iter: int = 200):
+    """Weibull accelerated-failure-time regression; ``event`` is false for censored rows."""
+    from pyspark.ml.regression import AFTSurvivalRegression
+
+    data = assemble(spells, features).select("features", F.col(duration).cast("double").alias("label"),
+                                             F.col(event).cast("double").alias("censor"))
+    return AFTSurvivalRegression(maxIter=max_iter, tol=1e-8).fit(data)
+
+
+def write_scores(scores: DataFrame, path: str) -> None:
+    """Write scores partitioned by their date; a rerun replaces that date alone."""
+    (scores.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("score_date").parquet(path))
 
 
 def batch_score(model, df: DataFrame, features: Sequence[str], key: str, as_of: date) -> DataFrame:

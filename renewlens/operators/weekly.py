@@ -21,8 +21,11 @@ def week_start(ts_col: str = "ts"):
 
 
 def fact_member_week(activity: DataFrame, completed: str = "purchase", booked: Sequence[str] = ("purchase", "view"),
-                     cancelled: str = "error") -> DataFrame:
-    """Weekly counts per member, with zero rows for silent weeks between first and last activity."""
+                     cancelled: str = "error", late_minutes: int = 15) -> DataFrame:
+    """Weekly counts per member, with zero rows for silent weeks between first and last activity.
+
+    Sessions begin on the full hour; a completed one counts as late from ``late_minutes`` after it.
+    """
     et = F.col("event_type")
     facts = (activity.withColumn("week", week_start("ts"))
              .groupBy("user_id", "week")
@@ -30,11 +33,12 @@ def fact_member_week(activity: DataFrame, completed: str = "purchase", booked: S
                   F.sum((et == completed).cast("long")).alias("completed"),
                   F.sum(et.isin(*booked).cast("long")).alias("booked"),
                   F.sum((et == cancelled).cast("long")).alias("cancelled"),
+                  F.sum(((et == completed) & (F.minute("ts") >= late_minutes)).cast("long")).alias("late"),
                   F.sum(F.hour("ts")).alias("hour_sum"),
                   F.round(F.sum("value"), 6).alias("value_sum")))
     spine = (facts.groupBy("user_id").agg(F.min("week").alias("w0"), F.max("week").alias("w1"))
              .select("user_id", F.explode(F.sequence("w0", "w1", F.expr("INTERVAL 7 DAYS"))).alias("week")))
-    zero = {c: 0 for c in ("sessions", "completed", "booked", "cancelled", "hour_sum")}
+    zero = {c: 0 for c in ("sessions", "completed", "booked", "cancelled", "late", "hour_sum")}
     zero["value_sum"] = 0.0
     return spine.join(facts, ["user_id", "week"], "left").fillna(zero)
 
@@ -97,15 +101,16 @@ def completion_rate(facts: DataFrame) -> DataFrame:
 
 
 def rate_deltas(facts: DataFrame) -> DataFrame:
-    """Cancellation, completion and miss rates this week vs the member's mean of previous weeks."""
+    """Cancellation, completion, miss and late-arrival rates this week vs the member's mean of previous weeks."""
     s = F.col("sessions")
     rates = facts.withColumns({
         "cancel_rate": F.when(s > 0, F.col("cancelled") / s),
         "completion_rate": F.when(F.col("booked") > 0, F.col("completed") / F.col("booked")),
         "miss_rate": F.when(F.col("booked") > 0, (F.col("booked") - F.col("completed")) / F.col("booked")),
+        "late_rate": F.when(F.col("completed") > 0, F.col("late") / F.col("completed")),
     })
     out = rates
-    for r in ("cancel_rate", "completion_rate", "miss_rate"):
+    for r in ("cancel_rate", "completion_rate", "miss_rate", "late_rate"):
         out = out.withColumn(f"{r}_delta", F.col(r) - F.avg(r).over(_prev_frame()))
     return out
 
@@ -149,6 +154,14 @@ def variety_counts(activity: DataFrame, completed: str = "purchase") -> DataFram
     return distinct.join(per_day, ["user_id", "week"], "left").fillna({"double_days": 0})
 
 
+def measure_progress(measures: DataFrame) -> DataFrame:
+    """Latest value minus the one before it per (member, kind of measure); null with a single value."""
+    w = Window.partitionBy("user_id", "kind").orderBy(F.col("measured_at").desc(), F.col("measure_id").desc())
+    top = measures.filter(F.col("measured_at").isNotNull()).withColumn("rn", F.row_number().over(w)).filter("rn <= 2")
+    last, before = (F.max(F.when(F.col("rn") == i, F.col("value"))) for i in (1, 2))
+    return top.groupBy("user_id", "kind").agg((last - before).alias("value_delta"))
+
+
 def social_factors(profile: DataFrame, friends_col: str = "friends_cnt", posts_col: str = "feed_posts_total",
                    extrovert_min_friends: int = 10, committed_min_posts: int = 5) -> DataFrame:
     """Personality from friend count, social commitment from post count (cut-offs are parameters)."""

@@ -62,6 +62,6 @@ def run_profile_job(a, cfg: DomainConfig, as_of: date, location_snapshot: str |
     spark = a.t.spark
     geo = (read_latest_snapshot(spark, location_snapshot, schemas.GEO_METRICS)
            if location_snapshot else None)
-    prof = member_profile(a, cfg, as_of, spark, geo=geo)
-    write_snapshot(prof, out, version(stamped_at))
+    prof = schemas.conform(member_profile(a, cfg, as_of, spark, geo=geo), schemas.PROFILE, schemas.PROFILE_DEFAULTS)
+    write_snapshot(stamp_audit(prof, _now_ts(stamped_at)), out, version(stamped_at))
     return read_latest_snapshot(spark, out)

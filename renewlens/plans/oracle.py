@@ -10,6 +10,8 @@ ADAPTERS = {
     "members": """
 members AS (
   SELECT c_custkey AS user_id, c_name AS nickname, c_nationkey AS facility_id,
+         split_part(c_name, '#', 1) AS firstname, split_part(c_name, '#', -1) AS lastname,
+         CASE WHEN c_custkey % 8 <> 0 THEN '+' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') END AS phone,
          CASE WHEN c_custkey % 13 = 0 THEN 'staff' ELSE 'user' END AS role,
          CASE WHEN c_custkey % 17 = 0 THEN 'partner' END AS partnership,
          CASE WHEN c_custkey % 9 = 0 THEN '1990/01/02'
@@ -58,6 +60,11 @@ trials AS (
          CASE WHEN period_id % 3 = 0 THEN 'full_week' WHEN period_id % 3 = 1 THEN 'intro_course'
               ELSE 'single_visit' END AS trial_kind
   FROM periods WHERE plan_id = '5-LOW')""",
+    "measures": """
+measures AS (
+  SELECT event_id AS measure_id, user_id, IF(event_type = 'click', 'assessment', 'lifted_weight') AS kind,
+         ts AS measured_at, value
+  FROM events WHERE event_type IN ('click', 'purchase'))""",
     "payments": """
 payments AS (
   SELECT o.o_custkey AS user_id, l.l_orderkey AS event_id,

@@ -37,8 +37,7 @@ def correct_facility(df: DataFrame, name_col: str, date_col, rules: DataFrame, o
 
 
 def paid_plans(plans: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Paid rows of the plan dimension.  No static broadcast hint: the dimension may be
-    derived (a DISTINCT over a fact table), so AQE decides from its real size at run time."""
+    """Paid rows of the plan dimension.  No static broadcast hint: its size decides."""
     return plans.filter(F.col("name").isin(*names)).select("plan_id", F.col("name").alias("plan_name"))
 
 
@@ -65,7 +64,7 @@ def renewal_fields(df: DataFrame) -> DataFrame:
 
 def paid_periods_with_facility(periods: DataFrame, plans: DataFrame, members: DataFrame, facilities: DataFrame,
                                rules: DataFrame, paid: Sequence[str]) -> DataFrame:
-    fac = facilities.select("facility_id", "name")
+    fac = facilities.groupBy("facility_id").agg(F.min("name").alias("name"))
     p = periods.join(paid_plans(plans, paid), "plan_id")
     p = p.join(fac.withColumnRenamed("name", "p_fac"), "facility_id", "left")
     # a member with many periods is left to AQE; periods without a member are spread
@@ -116,17 +115,43 @@ def renewed_within(as_of: date, days: int) -> F.Column:
     return F.when(seen_next <= horizon, True).when(a < horizon, F.lit(None)).otherwise(False)
 
 
+def spells(mart: DataFrame, as_of: date, window_days: int = 30) -> DataFrame:
+    """Periods begun by ``as_of``: weeks held until min(corrected end, as_of), and whether the member is known
+    not to have renewed within ``window_days``."""
+    a = F.lit(as_of)
+    horizon = F.date_add("end_corrected", window_days)
+    churned = (horizon <= a) & ~F.coalesce((F.col("next_start") <= horizon) & (F.col("next_start") <= a), F.lit(False))
+    weeks = F.floor(F.datediff(F.least(F.col("end_corrected"), a), "start_date") / 7).cast("int") + 1
+    return mart.filter(F.col("start_date") <= a).select(
+        "period_id", "user_id", F.month("start_date").cast("double").alias("start_month"), weeks.alias("weeks"), churned.alias("churned"))
+
+
+def week_in_period(day: F.Column) -> F.Column:
+    """Whole weeks from the period's start to ``day``; null before its start and after its corrected end."""
+    return F.when(day.between(F.col("start_date"), F.col("end_corrected")), F.floor(F.datediff(day, "start_date") / 7).cast("int"))
+
+
+def completion_per_period(activity: DataFrame, mart: DataFrame, completed: str = "purchase",
+                          booked: Sequence[str] = ("purchase", "view")) -> DataFrame:
+    """Completed / booked sessions of each period: an activity belongs to the member's period started last by
+    its day (by period id, if several start then).  Null where nothing was booked.
+
+    Activity is reduced to one row per (member, day) before the join.
+    """
+    et = F.col("event_type")
+    days = (activity.groupBy("user_id", F.to_date("ts").alias("day"))
+            .agg(F.count_if(et.isin(*booked)).alias("n_booked"), F.count_if(et == completed).alias("n_completed")).filter("n_booked > 0"))
+    p = mart.select("period_id", "user_id", "start_date", "next_start")
+    held = days.join(p, "user_id").filter("day >= start_date and (next_start is null or day < next_start)")
+    sums = held.groupBy("period_id").agg(F.sum("n_booked").alias("booked"), F.sum("n_completed").alias("completed"))
+    rate = F.when(F.col("booked") > 0, F.col("completed") / F.col("booked"))
+    return mart.select("period_id", "user_id").join(sums, "period_id", "left").withColumn("completion_rate", rate)
+
+
 def survival_intervals(mart: DataFrame, as_of: date, window_days: int = 30) -> DataFrame:
     """One row per (period, week) from start to min(corrected end, as_of); ``event`` is set on the
     last week of periods that ended and were not renewed within ``window_days``."""
-    a = F.lit(as_of)
-    stop = F.least(F.col("end_corrected"), a)
-    n_weeks = F.floor(F.datediff(stop, "start_date") / 7).cast("int") + 1
-    horizon = F.date_add("end_corrected", window_days)
-    churned = (F.date_add("end_corrected", window_days) <= a) & ~F.coalesce(
-        (F.col("next_start") <= horizon) & (F.col("next_start") <= a), F.lit(False))
-    base = mart.filter(F.col("start_date") <= a).select(
-        "period_id", "user_id", "start_date", n_weeks.alias("n_weeks"), churned.alias("churned"))
+    base = spells(mart, as_of, window_days).withColumnRenamed("weeks", "n_weeks")
     return (base.select("period_id", "user_id", "n_weeks", "churned",
                         F.posexplode(F.sequence(F.lit(0), F.col("n_weeks") - 1)).alias("week_index", "_w"))
             .select("period_id", "user_id", "week_index",

@@ -22,6 +22,7 @@ from renewlens.operators.ranking import earliest_by, first_k_pivot, latest_by
 from renewlens.operators.semijoin import exclude, exists_flag, membership_flag
 from renewlens.operators.survey import answer_classify
 from renewlens.plans.periods import correct_facility, paid_plans, rules_table
+from renewlens.sources.schemas import GEO_DEFAULTS
 
 ORDINALS = ("first", "second", "third", "fourth", "fifth")
 
@@ -43,12 +44,22 @@ def base_members(members: DataFrame, as_of: date) -> DataFrame:
 
 def facility_fallback(df: DataFrame, primary: DataFrame, secondary: DataFrame, id_col: str, out: str) -> DataFrame:
     """Name from the primary facility table, else from the secondary one."""
-    p = primary.select(F.col("facility_id").alias(id_col), F.col("name").alias("_p"))
-    s = secondary.select(F.col("facility_id").alias(id_col), F.col("name").alias("_s"))
+    p = primary.groupBy(F.col("facility_id").alias(id_col)).agg(F.min("name").alias("_p"))
+    s = secondary.groupBy(F.col("facility_id").alias(id_col)).agg(F.min("name").alias("_s"))
     return (df.join(p, id_col, "left").join(s, id_col, "left")
             .withColumn(out, F.coalesce("_p", "_s")).drop("_p", "_s"))
 
 
+def asked_answers(answers: DataFrame, questions: DataFrame) -> DataFrame:
+    """Answers with the text of their question; answers to unknown questions go."""
+    return answers.join(questions.groupBy("question_id").agg(F.min("question").alias("question")), "question_id")
+
+
+def attended_trials(attendance: DataFrame, events: DataFrame) -> DataFrame:
+    """Trial events with who attended them; attendance of unknown events goes."""
+    return attendance.join(events, "event_id")
+
+
 def paid_member_periods(periods: DataFrame, plans: DataFrame, paid: Sequence[str]) -> DataFrame:
     """Inner join with the paid-plan dimension (the plan-name filter makes the left join inner)."""
     return periods.join(paid_plans(plans, paid), "plan_id")
@@ -56,7 +67,7 @@ def paid_member_periods(periods: DataFrame, plans: DataFrame, paid: Sequence[str
 
 def latest_membership(periods: DataFrame, plans: DataFrame, facilities: DataFrame, paid: Sequence[str]) -> DataFrame:
     p = paid_member_periods(periods, plans, paid)
-    fac = facilities.select("facility_id", F.col("name").alias("period_facility"))
+    fac = facilities.groupBy("facility_id").agg(F.min("name").alias("period_facility"))
     p = p.join(fac, "facility_id", "left")
     return latest_by(p, ["user_id"], [F.col("created_at")], [F.col("period_id")],
                      payload=["period_id", "period_facility", "created_at"])
@@ -120,30 +131,34 @@ def location_metrics(a, cfg: DomainConfig, locations: DataFrame | None = None) -
     owners = points_all.select(F.col("user_id").cast("string").alias("user_id")).distinct()
     fac = a.facilities
     mf = (eligible_members(a.members)
-          .join(fac.select("facility_id", F.col("name").alias("facility_name")),
+          .join(fac.groupBy("facility_id").agg(F.min("name").alias("facility_name")),
                 "facility_id", "left")
           .withColumn("facility_name", F.coalesce("facility_name", F.lit("Unknown")))
           .filter(F.col("facility_name") != "Unknown")
           .select(F.col("user_id").cast("string").alias("user_id"), "facility_name")
           .join(owners, "user_id", "left_semi").distinct())
-    coords = fac.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
-        F.col("name").alias("facility_name"), F.col("lat").alias("fac_lat"), F.col("lon").alias("fac_lon"))
+    at = F.min(F.struct("lat", "lon"))
+    coords = (fac.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+              .groupBy(F.col("name").alias("facility_name"))
+              .agg(at["lat"].alias("fac_lat"), at["lon"].alias("fac_lon")))
     return geo_metrics(flatten_location(points_all), mf, coords)
 
 
-GEO_DEFAULTS = {"location_sample_size": 0, "is_home_nearby": False, "location_data_quality": "none"}
-
-
 def merge_geo(profile: DataFrame, geo: DataFrame) -> DataFrame:
     """Left join geo metrics; members without a row get sample 0, nearby false, quality 'none'."""
-    g = geo.withColumnRenamed("user_id", "_gid")
-    j = profile.join(g, profile.user_id.cast("string") == g._gid, "left").drop("_gid")
-    return j.fillna(GEO_DEFAULTS)
+    # the narrow side's key is cast, so that the wide profile keeps its partitioning
+    g = geo.withColumn("user_id", F.col("user_id").try_cast(profile.schema["user_id"].dataType))
+    return profile.join(g, "user_id", "left").fillna(GEO_DEFAULTS)
 
 
 def member_profile(a, cfg: DomainConfig, as_of: date, spark, geo: DataFrame | None = None) -> DataFrame:
     """The wide profile.  ``geo`` is a precomputed location-metric table (e.g. the newest
     snapshot written by the location job); computed here when not given."""
+    return merge_geo(profile_without_location(a, cfg, as_of, spark), geo if geo is not None else location_metrics(a, cfg))
+
+
+def profile_without_location(a, cfg: DomainConfig, as_of: date, spark) -> DataFrame:
+    """All columns of the profile that need no location point."""
     paid = cfg.paid_plans
     base = base_members(a.members, as_of)
     base = exclude(base, test_exclusions(a.test_accounts, cfg.excluded_pass_type), ["user_id"])
@@ -154,9 +169,9 @@ def member_profile(a, cfg: DomainConfig, as_of: date, spark, geo: DataFrame | No
     body = latest_body_test(a.body_tests).drop("test_id")
     friends = latest_friend_count(a.friend_counts).drop("row_id")
     posts = post_counts(a.posts)
-    answers = answer_classify(a.answers, cfg.answer_rules)
+    answers = answer_classify(asked_answers(a.answers, a.questions), cfg.answer_rules)
     five = first_five_periods(a.periods, a.plans, paid)
-    trial = trial_payment(earliest_trial(a.trials), a.payments, cfg).drop("event_id")
+    trial = trial_payment(earliest_trial(attended_trials(a.trial_attendance, a.trial_events)), a.payments, cfg).drop("event_id")
 
     p = base
     for side in (body.withColumnsRenamed({"weight": "test_weight", "height": "test_height"}), hp, friends, posts,
@@ -175,7 +190,7 @@ def member_profile(a, cfg: DomainConfig, as_of: date, spark, geo: DataFrame | No
     lifestyle = cfg.answer_rules[0].name
     others = [r.name for r in cfg.answer_rules[1:]]
     cols = [
-        "user_id", "nickname", "gender", "birthday", "age", "created_date",
+        "user_id", "nickname", "firstname", "lastname", "phone", "gender", "birthday", "age", "created_date",
         F.coalesce("test_weight", "weight").alias("weight_kg"),
         F.coalesce("test_height", "height").alias("height_cm"),
         age_band(F.col("age")).alias("age_band"),
@@ -191,4 +206,4 @@ def member_profile(a, cfg: DomainConfig, as_of: date, spark, geo: DataFrame | No
              trial_before.alias("trial_before_first"),
              F.when(trial_before, F.col("trial_kind")).alias("trial_type"),
              F.when(trial_before, F.col("trial_payment")).alias("trial_payment")]
-    return merge_geo(p.select(*cols), geo if geo is not None else location_metrics(a, cfg))
+    return p.select(*cols)

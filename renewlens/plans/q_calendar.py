@@ -3,10 +3,13 @@ so it is derived from the given tables."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from renewlens import config
 from renewlens.operators.calendar import calendar_for_years_of, calendar_summary
+from renewlens.plans.periods import week_in_period
 from renewlens.plans.catalog import register
 from renewlens.plans.q_periods import MART_WITH, mart
 
@@ -79,14 +82,18 @@ def first_holidays(t):
 
 @register("calendar_features", MART_WITH.replace("WITH ", "WITH " + CAL_CTES.strip() + ",\n", 1) + """
 SELECT m.period_id, m.user_id, c.season_label AS start_season, c.is_holiday AS start_is_holiday,
-       c.is_school_break AS start_in_school_break, CAST(floor(m.length_days / 7) AS INTEGER) AS weeks_in_period
+       c.is_school_break AS start_in_school_break, CAST(floor(m.length_days / 7) AS INTEGER) AS weeks_in_period,
+       CASE WHEN DATE '1998-01-01' BETWEEN m.start_date AND m.end_corrected
+            THEN CAST((DATE '1998-01-01' - m.start_date) // 7 AS INTEGER) END AS week_in_period
 FROM mart m LEFT JOIN cal c ON m.start_date = c.dt""")
 def calendar_features(t):
-    """External seasonality (calendar attributes of the period start) and internal (weeks in period)."""
+    """External seasonality (calendar attributes of the period start) and internal (weeks in period, and the
+    week within it on a day: null outside)."""
     cal = calendar(t).select("dt", "season_label", "is_holiday", "is_school_break")
     m = mart(t)
     return (m.join(cal, m.start_date == cal.dt, "left")
             .select("period_id", "user_id", F.col("season_label").alias("start_season"),
                     F.col("is_holiday").alias("start_is_holiday"),
                     F.col("is_school_break").alias("start_in_school_break"),
-                    F.floor(F.col("length_days") / 7).cast("int").alias("weeks_in_period")))
+                    F.floor(F.col("length_days") / 7).cast("int").alias("weeks_in_period"),
+                    week_in_period(F.lit(date(1998, 1, 1))).alias("week_in_period")))

@@ -15,7 +15,7 @@ from renewlens.plans import periods as P
 from renewlens.plans.catalog import register
 from renewlens.session import scratch_path
 from renewlens.plans.oracle import with_adapters
-from renewlens.plans.q_periods import mart
+from renewlens.plans.q_periods import MART_WITH, mart
 
 ALPHA = 0.3      # EWMA smoothing (a parameter; the docs name EWMA without a value)
 AS_OF = config.ACTIVITY_AS_OF
@@ -26,6 +26,7 @@ facts AS (
          sum(CAST(event_type = 'purchase' AS BIGINT)) AS completed,
          sum(CAST(event_type IN ('purchase', 'view') AS BIGINT)) AS booked,
          sum(CAST(event_type = 'error' AS BIGINT)) AS cancelled,
+         count(*) FILTER (event_type = 'purchase' AND minute(ts) >= 15) AS late,
          sum(hour(ts)) AS hour_sum, round(sum(value), 6) AS value_sum
   FROM activity GROUP BY 1, 2),
 spine AS (
@@ -33,7 +34,7 @@ spine AS (
   FROM (SELECT user_id, min(week) AS w0, max(week) AS w1 FROM facts GROUP BY user_id)),
 fw AS (
   SELECT s.user_id, s.week, COALESCE(f.sessions, 0) AS sessions, COALESCE(f.completed, 0) AS completed,
-         COALESCE(f.booked, 0) AS booked, COALESCE(f.cancelled, 0) AS cancelled,
+         COALESCE(f.booked, 0) AS booked, COALESCE(f.cancelled, 0) AS cancelled, COALESCE(f.late, 0) AS late,
          COALESCE(f.hour_sum, 0) AS hour_sum, COALESCE(f.value_sum, 0.0) AS value_sum
   FROM spine s LEFT JOIN facts f ON f.user_id = s.user_id AND f.week = s.week)"""
 FACT_WITH = with_adapters("activity", extra=FACT_CTES)
@@ -89,19 +90,36 @@ def completion_rate(t):
     return c.select("user_id", "week", F.round("completion_rate", 9).alias("completion_rate"))
 
 
+@register("completion_per_period", MART_WITH + """,
+activity AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type FROM events),
+owned AS (
+  SELECT a.event_type, (SELECT arg_max(m.period_id, (m.start_date, m.period_id)) FROM mart m
+                        WHERE m.user_id = a.user_id AND m.start_date <= a.day) AS period_id
+  FROM activity a WHERE a.event_type IN ('purchase', 'view')),
+n AS (SELECT period_id, count(*) AS booked, count(*) FILTER (event_type = 'purchase') AS completed FROM owned GROUP BY ALL)
+SELECT m.period_id, m.user_id, n.booked, n.completed, round(n.completed / n.booked, 9) AS completion_rate
+FROM mart m LEFT JOIN n USING (period_id)""")
+def completion_per_period(t):
+    """Completed / booked sessions of each membership period."""
+    c = P.completion_per_period(t.adapters.activity, mart(t))
+    return c.withColumn("completion_rate", F.round("completion_rate", 9))
+
+
 @register("rate_deltas", FACT_WITH + f"""
 , r AS (SELECT *, CASE WHEN sessions > 0 THEN cancelled / sessions END AS cancel_rate,
                CASE WHEN booked > 0 THEN completed / booked END AS completion_rate,
-               CASE WHEN booked > 0 THEN (booked - completed) / booked END AS miss_rate FROM fw)
+               CASE WHEN booked > 0 THEN (booked - completed) / booked END AS miss_rate,
+               CASE WHEN completed > 0 THEN late / completed END AS late_rate FROM fw)
 SELECT user_id, week, round(cancel_rate - avg(cancel_rate) {PREV}, 9) AS cancel_rate_delta,
        round(completion_rate - avg(completion_rate) {PREV}, 9) AS completion_rate_delta,
-       round(miss_rate - avg(miss_rate) {PREV}, 9) AS miss_rate_delta
+       round(miss_rate - avg(miss_rate) {PREV}, 9) AS miss_rate_delta,
+       round(late_rate - avg(late_rate) {PREV}, 9) AS late_rate_delta
 FROM r""")
 def rate_deltas(t):
     """Cancellation / completion / miss rate this week vs the member's mean of previous weeks."""
     r = W.rate_deltas(facts(t))
     return r.select("user_id", "week", *[F.round(f"{c}_delta", 9).alias(f"{c}_delta")
-                                         for c in ("cancel_rate", "completion_rate", "miss_rate")])
+                                         for c in ("cancel_rate", "completion_rate", "miss_rate", "late_rate")])
 
 
 @register("usage_deltas", FACT_WITH + f"""
@@ -172,6 +190,15 @@ def progress_deltas(t):
                     F.round(F.col("last_fat_pct") - F.col("prev_fat_pct"), 6).alias("fat_pct_delta"))
 
 
+@register("measure_progress", with_adapters("measures") + """
+SELECT user_id, kind, round(last[1] - last[2], 6) AS value_delta FROM (
+  SELECT user_id, kind, list(value ORDER BY measured_at DESC, measure_id DESC) AS last
+  FROM measures WHERE measured_at IS NOT NULL GROUP BY ALL)""")
+def measure_progress(t):
+    """Latest assessment and lifted weight minus the previous ones."""
+    return W.measure_progress(t.adapters.measures).withColumn("value_delta", F.round("value_delta", 6))
+
+
 RISK_SQL = ("CASE WHEN probability IS NULL THEN NULL WHEN probability < 0.3 THEN 'very_high' "
             "WHEN probability < 0.5 THEN 'high' WHEN probability < 0.7 THEN 'medium' "
             "WHEN probability < 0.85 THEN 'low' ELSE 'very_low' END")
@@ -257,9 +284,9 @@ def dq_feature_stats(t):
 @register("feature_drift", with_adapters("body_tests") + """
 , d AS (SELECT weight, tested_at < TIMESTAMP '2024-01-16 00:00:00' AS base FROM body_tests
         WHERE weight IS NOT NULL AND tested_at IS NOT NULL),
-rng AS (SELECT min(weight) AS lo, max(weight) AS hi FROM d WHERE base),
-b AS (SELECT CASE WHEN (hi - lo) / 10 > 0 THEN CAST(least(greatest(floor((weight - lo) / ((hi - lo) / 10)), 0), 9)
-                  AS INTEGER) ELSE 0 END AS bin, base FROM d, rng),
+o AS (SELECT weight, row_number() OVER (ORDER BY weight) AS r, count(*) OVER () AS n FROM d WHERE base),
+cut AS (SELECT min(weight) AS edge FROM o, range(1, 10) q(i) WHERE r >= greatest(ceil(CAST(i AS DOUBLE) / 10 * n), 1) GROUP BY i),
+b AS (SELECT (SELECT count(*) FROM cut WHERE edge < weight) AS bin, base FROM d),
 c AS (SELECT bin, sum(CAST(base AS BIGINT)) AS n_base, sum(CAST(NOT base AS BIGINT)) AS n_cur FROM b GROUP BY bin),
 tot AS (SELECT sum(n_base) AS tb, sum(n_cur) AS tc FROM c)
 SELECT 'weight' AS feature,
@@ -274,7 +301,9 @@ def feature_drift(t):
     return Q.psi(b, "weight", base).withColumn("psi", F.round("psi", 9))
 
 
-# ---- models (no SQL oracle: rows-only check) --------------------------------------------
+# ---- models ---------------------------------------------------------------------------
+# A fit is checked by what holds for every right one: the rows and positives it was given, and that
+# its optimality conditions leave no residual.  Scores themselves have no SQL.
 
 FEATURES = ["length_days", "freeze_days", "start_month"]
 
@@ -291,37 +320,93 @@ def _period_features(t):
     return t.spark.read.schema(f.schema).parquet(path)
 
 
-@register("train_baseline")
+LABELLED_SQL = MART_WITH + f"""
+, lab AS (
+  SELECT period_id, CASE WHEN next_start <= DATE '{config.PERIOD_AS_OF}' AND next_start <= end_corrected + 30 THEN true
+                         WHEN DATE '{config.PERIOD_AS_OF}' < end_corrected + 30 THEN NULL ELSE false END AS label
+  FROM mart)"""
+SPELL_SQL = MART_WITH + f"""
+, spell AS (
+  SELECT start_date, CAST(floor((least(end_corrected, DATE '{config.PERIOD_AS_OF}') - start_date) / 7) AS INTEGER) + 1 AS weeks,
+         end_corrected + 30 <= DATE '{config.PERIOD_AS_OF}'
+           AND NOT COALESCE(next_start <= least(end_corrected + 30, DATE '{config.PERIOD_AS_OF}'), false) AS churned
+  FROM mart WHERE start_date <= DATE '{config.PERIOD_AS_OF}')"""
+COUNTS = "count(*) AS rows, count(*) FILTER (label) AS positives"
+
+
+def _counts(label):
+    return F.count("*").alias("rows"), F.count_if(label).alias("positives")
+
+
+def _residual(scored, label):
+    """|mean probability - mean label|: zero at the optimum of a model with a free intercept."""
+    from pyspark.ml.functions import vector_to_array
+
+    p = vector_to_array(F.col("probability"))[1]
+    return scored.agg(*_counts(label == 1), F.abs(F.round(F.avg(p - label), 3)).alias("residual"))
+
+
+@register("train_baseline", LABELLED_SQL + f"SELECT {COUNTS}, 0.0::DOUBLE AS residual FROM lab WHERE label IS NOT NULL")
 def train_baseline(t):
-    """Logistic regression, 5-fold CV, on renewal labels; returns the coefficient table."""
-    feats = FEATURES
-    model = S.train_baseline(_period_features(t).filter("label is not null"), feats, "label", key="period_id")
-    coef = model.coefficients.toArray().tolist()
-    return t.spark.createDataFrame([(f, float(c)) for f, c in zip(feats, coef)] + [("intercept", model.intercept)],
-                                   "feature string, coefficient double")
+    """Logistic regression, 5-fold CV, on renewal labels: rows, positives, residual of the intercept's condition."""
+    df = _period_features(t).filter("label is not null")
+    model = S.train_baseline(df, FEATURES, "label", key="period_id")
+    return _residual(model.transform(S.assemble(df, FEATURES)), F.col("label").cast("double"))
 
 
-@register("train_trees")
+@register("train_trees", LABELLED_SQL + f"SELECT {COUNTS}, 1.0::DOUBLE AS importance FROM lab WHERE label IS NOT NULL")
 def train_trees(t):
-    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping); returns feature importances."""
-    model = S.train_trees(_period_features(t).filter("label is not null"), FEATURES, "label", key="period_id")
-    return S.feature_importance(model, FEATURES, t.spark)
+    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping): rows, positives, sum of importances."""
+    df = _period_features(t).filter("label is not null")
+    model = S.train_trees(df, FEATURES, "label", key="period_id")
+    total = round(float(model.featureImportances.toArray().sum()), 6)
+    return df.agg(*_counts(F.col("label")), F.lit(total).alias("importance"))
 
 
-@register("train_survival")
+@register("train_survival", SPELL_SQL + "SELECT sum(weeks)::BIGINT AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
 def train_survival(t):
-    """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals; coefficient table."""
-    iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).withColumn("week_index", F.col("week_index").cast("double"))
+    """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals: rows, events, residual."""
+    iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).select(F.col("week_index").cast("double").alias("week_index"), "event")
+    path = scratch_path(t.spark, "training", uuid.uuid4().hex)
+    iv.write.parquet(path)
+    iv = t.spark.read.schema(iv.schema).parquet(path)
     model = S.train_survival(iv, ["week_index"], reg=0.1)
-    return t.spark.createDataFrame([("week_index", float(model.coefficients[0])), ("intercept", model.intercept)],
-                                   "feature string, coefficient double")
+    return _residual(model.transform(S.assemble(iv, ["week_index"])), F.col("event").cast("double"))
 
 
-@register("batch_score")
-def batch_score(t):
-    """Score every paid period, open ones included, with the model fitted on the labelled ones;
-    probability, band, score date."""
+@register("train_aft", SPELL_SQL + "SELECT count(*) AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
+def train_aft(t):
+    """Accelerated failure time (Weibull) on weeks held by season of the start: rows, events, residual of the intercept."""
+    spells = P.spells(mart(t), config.PERIOD_AS_OF)
+    path = scratch_path(t.spark, "training", uuid.uuid4().hex)
+    spells.write.parquet(path)
+    spells = t.spark.read.schema(spells.schema).parquet(path)
+    model = S.train_aft(spells, ["start_month"], "weeks", "churned")
+    z = (F.log("weeks") - F.log(F.col("prediction"))) / F.lit(model.scale)
+    fitted = model.transform(S.assemble(spells, ["start_month"]))
+    return fitted.agg(*_counts(F.col("churned")),
+                      F.abs(F.round(F.avg(F.col("churned").cast("double") - F.exp(z)), 2)).alias("residual"))
+
+
+def _scores(t):
     df = _period_features(t)
     model = S.train_baseline(df.filter("label is not null"), FEATURES, "label", key="period_id")
     return S.batch_score(model, df, FEATURES, "period_id", config.PERIOD_AS_OF)
 
+
+@register("batch_score")
+def batch_score(t):
+    """Score every paid period, open ones included, with the model fitted on the labelled ones;
+    probability, band, score date."""
+    return _scores(t)
+
+
+@register("batch_score_snapshot", LABELLED_SQL + f"""
+SELECT period_id, DATE '{config.PERIOD_AS_OF}' AS score_date, true AS is_probability, true AS in_band FROM mart""")
+def batch_score_snapshot(t):
+    """Scores written as a dated snapshot and read back: each period once, its score a probability within its band."""
+    path = scratch_path(t.spark, "scores", uuid.uuid4().hex)
+    S.write_scores(_scores(t), path)
+    p = F.col("probability")
+    return t.spark.read.parquet(path).select(
+        "period_id", "score_date", p.between(0, 1).alias("is_probability"), S.risk_band(p).eqNullSafe(F.col("risk_band")).alias("in_band"))

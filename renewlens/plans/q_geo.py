@@ -262,6 +262,15 @@ def geo_quality_summary(t):
     return g.withColumn("share_pct", F.round(F.col("members") * 100.0 / total, 6))
 
 
+@register("geo_totals", GEO_WITH + """
+SELECT count(*) AS members, count(*) FILTER (location_sample_size > 0) AS with_data,
+       count(*) FILTER (location_data_quality = 'good') AS good FROM geo""")
+def geo_totals(t):
+    """Members in all, with location data, with good data."""
+    return metrics(t).agg(F.count("*").alias("members"), F.count_if(F.col("location_sample_size") > 0).alias("with_data"),
+                          F.count_if(F.col("location_data_quality") == "good").alias("good"))
+
+
 @register("distance_distribution", GEO_WITH + """
 SELECT round(avg(distance_home_to_club_km), 6) AS mean_km,
        round(quantile_cont(distance_home_to_club_km, 0.5), 6) AS median_km,
@@ -360,6 +369,20 @@ def geo_ml_filter(t):
     return L.geo_ml_filter(metrics(t), "strict").select("user_id", "location_data_quality")
 
 
+def _filter_query(mode, cond):
+    def q(t):
+        return L.geo_ml_filter(metrics(t), mode).select("user_id", "location_data_quality", "location_sample_size")
+
+    q.__doc__ = f"Members whose location data serve the {mode} use."
+    return register(f"geo_ml_filter_{mode}", GEO_WITH + f"""
+SELECT user_id, location_data_quality, location_sample_size FROM geo WHERE {cond}""")(q)
+
+
+_filter_query("analytic", "location_data_quality <> 'insufficient'")
+_filter_query("segment", "location_sample_size > 0")
+_filter_query("exploratory", "location_sample_size > 0 AND location_data_quality <> 'no_user_data'")
+
+
 @register("segment_campaign", f"""
 SELECT f.user_id, f.convenience_segment, c.criteria, c.action
 FROM ({FEATURES_SQL}) f LEFT JOIN (VALUES {", ".join(f"('{s}', '{c}', '{a}')" for s, c, a in config.CONVENIENCE_CAMPAIGNS)})

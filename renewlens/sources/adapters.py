@@ -17,6 +17,8 @@ PRIORITY_PLAN = (("1-URGENT", "annual"), ("2-HIGH", "annual"), ("3-MEDIUM", "hal
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 PLAN_DAYS = (("annual", 364), ("half_year", 181))
 OTHER_PLAN_DAYS = 13
+QUESTIONS = ("Do you keep an active lifestyle?", "Which body type describes you?", "What is your primary goal?",
+             "Your body type and primary goal?")
 
 
 def _mod(c, m):
@@ -45,6 +47,9 @@ class Adapters:
         return self.t.customer.select(
             k.alias("user_id"),
             F.col("c_name").alias("nickname"),
+            F.substring_index("c_name", "#", 1).alias("firstname"),
+            F.substring_index("c_name", "#", -1).alias("lastname"),
+            F.when(k % 8 != 0, F.concat(F.lit("+"), F.lpad(k.cast("string"), 9, "0"))).alias("phone"),
             F.col("c_nationkey").alias("facility_id"),
             F.when(k % 13 == 0, "staff").otherwise("user").alias("role"),
             F.when(k % 17 == 0, F.lit("partner")).alias("partnership"),
@@ -109,12 +114,17 @@ class Adapters:
                         F.when(F.col("l_linenumber") != 7, end).alias("end_date")))
 
     @cached_property
-    def trials(self) -> DataFrame:
+    def trial_events(self) -> DataFrame:
         p = self.periods.filter(F.col("plan_id") == "5-LOW")
         pid = F.col("period_id")
         kind = F.when(pid % 3 == 0, "full_week").when(pid % 3 == 1, "intro_course").otherwise("single_visit")
-        return p.select(pid.alias("event_id"), "user_id", F.col("start_date").alias("trial_start"),
-                        kind.alias("trial_kind"))
+        return p.select(pid.alias("event_id"), F.col("start_date").alias("trial_start"), kind.alias("trial_kind"))
+
+    @cached_property
+    def trial_attendance(self) -> DataFrame:
+        """Who attended which trial event; some attend events that no table describes."""
+        p = self.periods.filter(F.col("plan_id").isin("5-LOW", "4-NOT SPECIFIED"))
+        return p.select(F.col("period_id").alias("event_id"), "user_id")
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -142,6 +152,13 @@ class Adapters:
             F.round(F.col("value") / 2.5, 1).alias("bmi"),
         )
 
+    @cached_property
+    def measures(self) -> DataFrame:
+        """Further measures of a member: assessments and lifted weights."""
+        kind = F.when(F.col("event_type") == "click", "assessment").otherwise("lifted_weight")
+        return self.t.events.filter(F.col("event_type").isin("click", "purchase")).select(
+            F.col("event_id").alias("measure_id"), "user_id", kind.alias("kind"), F.col("ts").alias("measured_at"), "value")
+
     @cached_property
     def friend_counts(self) -> DataFrame:
         return self._events("signup").select(
@@ -164,18 +181,20 @@ class Adapters:
             F.when(k % 2 != 0, F.array(5 * k)).alias("mentors"),
         )
 
+    @cached_property
+    def questions(self) -> DataFrame:
+        """The questionnaire: a table of its own."""
+        return self.spark.createDataFrame(list(enumerate(QUESTIONS)), "question_id int, question string")
+
     @cached_property
     def answers(self) -> DataFrame:
         turn, conv = F.col("turn"), F.col("conv_id")
-        question = (F.when(turn % 5 == 4, "Your body type and primary goal?")
-                    .when(turn % 3 == 0, "Do you keep an active lifestyle?")
-                    .when(turn % 3 == 1, "Which body type describes you?")
-                    .otherwise("What is your primary goal?"))
+        question = F.when(turn % 5 == 4, 3).otherwise(turn % 3).cast("int")
         created = turn * 1_000_000 + conv
         return self.t.conversations.filter(F.col("role") == "user").select(
             (conv * 1000 + turn).alias("answer_id"),
             (conv % 150).alias("user_id"),
-            question.alias("question"),
+            question.alias("question_id"),
             F.col("text").alias("answer"),
             created.alias("created_seq"),
             F.when(conv % 4 == 0, created + 500_000).alias("updated_seq"),

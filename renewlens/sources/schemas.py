@@ -53,6 +53,26 @@ GEO_METRICS = T.StructType([
 ])
 GEO_DEFAULTS = {"location_sample_size": 0, "is_home_nearby": False, "location_data_quality": "none"}
 
+PROFILE = T.StructType(
+    [T.StructField("user_id", T.StringType(), False)]
+    + [T.StructField(c, T.StringType()) for c in ("nickname", "firstname", "lastname", "gender", "birthday")]
+    + [T.StructField("age", T.IntegerType()), T.StructField("age_band", T.StringType()),
+       T.StructField("phone", T.StringType()), T.StructField("created_date", T.DateType()),
+       T.StructField("weight_kg", T.DecimalType(6, 2)), T.StructField("height_cm", T.DecimalType(6, 2)),
+       T.StructField("fat_pct_latest", T.DecimalType(5, 2)), T.StructField("bmi_latest", T.DecimalType(5, 2)),
+       T.StructField("facility_corr", T.StringType()), T.StructField("city", T.StringType()),
+       T.StructField("in_group", T.BooleanType()), T.StructField("friends_cnt", T.IntegerType()),
+       T.StructField("feed_posts_total", T.IntegerType()), T.StructField("lifestyle_flag", T.BooleanType()),
+       T.StructField("bodytype", T.StringType()), T.StructField("goal", T.StringType())]
+    + [T.StructField(f"{o}_{part}", kind) for o in ("first", "second", "third", "fourth", "fifth")
+       for part, kind in (("start", T.DateType()), ("end", T.DateType()), ("plan", T.StringType()))]
+    + [T.StructField("ever_member", T.BooleanType()), T.StructField("trial_before_first", T.BooleanType()),
+       T.StructField("trial_type", T.StringType()), T.StructField("trial_payment", T.StringType())]
+    + GEO_METRICS.fields[1:]
+    + [T.StructField("created_at", T.TimestampNTZType()), T.StructField("updated_at", T.TimestampNTZType())])
+PROFILE_DEFAULTS = {"in_group": False, "friends_cnt": 0, "feed_posts_total": 0, "ever_member": False,
+                    "trial_before_first": False, **GEO_DEFAULTS}
+
 
 def conform(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
     """Project ``df`` onto ``schema``: missing columns become null (or their default),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from renewlens.config import DRIVER_CONFIG
 from renewlens.plans.catalog import tables_for
-from renewlens.plans.profile import earliest_trial, eligible_members, paid_member_periods
+from renewlens.plans.profile import attended_trials, earliest_trial, eligible_members, paid_member_periods
 from tests.conftest import SF01
 
 
@@ -14,7 +14,7 @@ def test_fixture_counts_sf001(spark):
     paid = paid_member_periods(a.periods, a.plans, DRIVER_CONFIG.paid_plans)
     assert paid.count() == 8984
     assert paid.select("user_id").distinct().count() == 1497
-    assert earliest_trial(a.trials).count() == 1280
+    assert earliest_trial(attended_trials(a.trial_attendance, a.trial_events)).count() == 1280
     types = {r.free_pass_type: r["count"] for r in a.test_accounts.groupBy("free_pass_type").count().collect()}
     assert types == {"internal": 26, "other": 96}
     status = {r.status: r["count"] for r in a.posts.groupBy("status").count().collect()}

@@ -17,6 +17,7 @@ def test_jobs_end_to_end(spark):
     geo = jobs.run_location_job(a, DRIVER_CONFIG, f"{base}/geo", "20240201_000000")
     assert dict(geo.dtypes)["home_latitude"] == "decimal(10,7)"
     prof = jobs.run_profile_job(a, DRIVER_CONFIG, config.PERIOD_AS_OF, f"{base}/geo", f"{base}/profile")
+    assert len(prof.columns) == 54 and dict(prof.dtypes)["weight_kg"] == "decimal(6,2)" and "updated_at" in prof.columns
     assert prof.count() == prof.select("user_id").distinct().count() > 0
     cal1 = jobs.run_calendar_job(spark, 2020, 2021, DRIVER_CONFIG, f"{base}/cal", datetime(2024, 1, 1))
     cal2 = jobs.run_calendar_job(spark, 2021, 2022, DRIVER_CONFIG, f"{base}/cal", datetime(2024, 2, 1))

@@ -268,3 +268,52 @@ def test_points_with_nan_coordinates_are_dropped(spark):
     df = spark.createDataFrame([(1, (1.0, 2.0), None), (2, (float("nan"), 2.0), None), (3, (1.0, None), None)],
                                "user_id long, location struct<latitude:double,longitude:double>, created_at timestamp_ntz")
     assert [r.user_id for r in flatten_location(df).collect()] == ["1"]
+
+
+def test_repeated_dimension_rows_do_not_fan_out(spark):
+    from renewlens.plans.profile import asked_answers, facility_fallback
+
+    members = spark.createDataFrame([(1, 7), (2, 8)], "user_id int, facility_id int")
+    names = spark.createDataFrame([(7, "b"), (7, "a")], "facility_id int, name string")
+    other = spark.createDataFrame([(8, "c"), (8, "c")], "facility_id int, name string")
+    got = facility_fallback(members, names, other, "facility_id", "club").select("user_id", "club").collect()
+    assert sorted(map(tuple, got)) == [(1, "a"), (2, "c")]
+    asked = spark.createDataFrame([(1, "q"), (1, "q")], "question_id int, question string")
+    answers = spark.createDataFrame([(5, 1), (6, 9)], "answer_id int, question_id int")
+    assert [r.answer_id for r in asked_answers(answers, asked).collect()] == [5]
+
+
+def test_drift_on_deciles(spark):
+    from renewlens.operators.quality import psi
+
+    same = spark.range(1000).select((F.col("id") / 2).cast("long").cast("double").alias("x"), (F.col("id") % 2 == 0).alias("b"))
+    assert abs(psi(same, "x", F.col("b")).first().psi) < 1e-12
+    moved = spark.range(1000).select(F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(5000.0).cast("double").alias("x"), (F.col("id") % 2 == 0).alias("b"))
+    assert psi(moved, "x", F.col("b")).first().psi > 5
+    none = spark.createDataFrame([(1.0, False), (None, True)], "x double, b boolean")
+    got = psi(none, "x", F.col("b")).first()
+    assert got.current_rows == 1 and got.psi is None
+
+
+def test_completion_per_period_ties_and_gaps(spark):
+    from renewlens.plans.periods import completion_per_period
+
+    mart = spark.sql("""select * from values (1, 9, date'2024-01-01', date'2024-02-01'), (2, 9, date'2024-02-01', date'2024-02-01'),
+                        (3, 9, date'2024-02-01', null), (4, null, date'2024-01-01', null) as t(period_id, user_id, start_date, next_start)""")
+    seen = spark.sql("""select * from values (9, timestamp'2024-01-31 23:00:00', 'purchase'), (9, timestamp'2024-02-01 00:00:00', 'view'),
+                        (9, timestamp'2024-02-02 00:00:00', 'purchase'), (9, timestamp'2023-01-01 00:00:00', 'view'),
+                        (null, timestamp'2024-02-02 00:00:00', 'purchase') as t(user_id, ts, event_type)""")
+    got = {r.period_id: (r.booked, r.completed, r.completion_rate) for r in completion_per_period(seen, mart).collect()}
+    assert got == {1: (1, 1, 1.0), 2: (None, None, None), 3: (2, 1, 0.5), 4: (None, None, None)}
+
+
+def test_scores_of_a_date_are_replaced(spark):
+    import uuid
+    from renewlens.operators.scoring import write_scores
+    from renewlens.session import scratch_path
+
+    path = scratch_path(spark, "scores", uuid.uuid4().hex)
+    frame = lambda v, d: spark.sql(f"select 1 as period_id, {v} as probability, date'{d}' as score_date")
+    for v, d in ((0.1, "2024-01-01"), (0.2, "2024-01-02"), (0.3, "2024-01-02")):
+        write_scores(frame(v, d), path)
+    assert sorted(float(r.probability) for r in spark.read.parquet(path).collect()) == [0.1, 0.3]
