@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -39,9 +40,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def release(df: DataFrame) -> None:
     """Let Spark's cleaner drop the shuffle files of steps that are stored by now: it does so once the
-    driver's JVM has collected the plans.  Without a JVM at hand (Spark Connect), nothing happens."""
+    driver's JVM has collected the plans, which Python's frames may still hold.  Without a JVM at hand (Spark Connect), nothing happens."""
     jvm = getattr(getattr(df.sparkSession, "_sc", None), "_jvm", None)
     if jvm is not None:
+        gc.collect()
         jvm.System.gc()
 
 
