@@ -302,7 +302,7 @@ def feature_drift(t):
 
 
 # ---- models ---------------------------------------------------------------------------
-# A fit is checked by what holds for every right one: the rows and positives it was given, and that
+# A fit (train_..._fit) is checked by what holds for every right one: the rows and positives it was given, and that
 # its optimality conditions leave no residual.  Scores themselves have no SQL.
 
 FEATURES = ["length_days", "freeze_days", "start_month"]
@@ -320,6 +320,32 @@ def _period_features(t):
     return t.spark.read.schema(f.schema).parquet(path)
 
 
+@register("train_baseline")
+def train_baseline(t):
+    """Logistic regression, 5-fold CV, on renewal labels; returns the coefficient table."""
+    feats = FEATURES
+    model = S.train_baseline(_period_features(t).filter("label is not null"), feats, "label", key="period_id")
+    coef = model.coefficients.toArray().tolist()
+    return t.spark.createDataFrame([(f, float(c)) for f, c in zip(feats, coef)] + [("intercept", model.intercept)],
+                                   "feature string, coefficient double")
+
+
+@register("train_trees")
+def train_trees(t):
+    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping); returns feature importances."""
+    model = S.train_trees(_period_features(t).filter("label is not null"), FEATURES, "label", key="period_id")
+    return S.feature_importance(model, FEATURES, t.spark)
+
+
+@register("train_survival")
+def train_survival(t):
+    """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals; coefficient table."""
+    iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).withColumn("week_index", F.col("week_index").cast("double"))
+    model = S.train_survival(iv, ["week_index"], reg=0.1)
+    return t.spark.createDataFrame([("week_index", float(model.coefficients[0])), ("intercept", model.intercept)],
+                                   "feature string, coefficient double")
+
+
 LABELLED_SQL = MART_WITH + f"""
 , lab AS (
   SELECT period_id, CASE WHEN next_start <= DATE '{config.PERIOD_AS_OF}' AND next_start <= end_corrected + 30 THEN true
@@ -346,16 +372,16 @@ def _residual(scored, label):
     return scored.agg(*_counts(label == 1), F.abs(F.round(F.avg(p - label), 3)).alias("residual"))
 
 
-@register("train_baseline", LABELLED_SQL + f"SELECT {COUNTS}, 0.0::DOUBLE AS residual FROM lab WHERE label IS NOT NULL")
-def train_baseline(t):
+@register("train_baseline_fit", LABELLED_SQL + f"SELECT {COUNTS}, 0.0::DOUBLE AS residual FROM lab WHERE label IS NOT NULL")
+def train_baseline_fit(t):
     """Logistic regression, 5-fold CV, on renewal labels: rows, positives, residual of the intercept's condition."""
     df = _period_features(t).filter("label is not null")
     model = S.train_baseline(df, FEATURES, "label", key="period_id")
     return _residual(model.transform(S.assemble(df, FEATURES)), F.col("label").cast("double"))
 
 
-@register("train_trees", LABELLED_SQL + f"SELECT {COUNTS}, 1.0::DOUBLE AS importance FROM lab WHERE label IS NOT NULL")
-def train_trees(t):
+@register("train_trees_fit", LABELLED_SQL + f"SELECT {COUNTS}, 1.0::DOUBLE AS importance FROM lab WHERE label IS NOT NULL")
+def train_trees_fit(t):
     """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping): rows, positives, sum of importances."""
     df = _period_features(t).filter("label is not null")
     model = S.train_trees(df, FEATURES, "label", key="period_id")
@@ -363,8 +389,8 @@ def train_trees(t):
     return df.agg(*_counts(F.col("label")), F.lit(total).alias("importance"))
 
 
-@register("train_survival", SPELL_SQL + "SELECT sum(weeks)::BIGINT AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
-def train_survival(t):
+@register("train_survival_fit", SPELL_SQL + "SELECT sum(weeks)::BIGINT AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
+def train_survival_fit(t):
     """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals: rows, events, residual."""
     iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).select(F.col("week_index").cast("double").alias("week_index"), "event")
     path = scratch_path(t.spark, "training", uuid.uuid4().hex)
@@ -374,8 +400,8 @@ def train_survival(t):
     return _residual(model.transform(S.assemble(iv, ["week_index"])), F.col("event").cast("double"))
 
 
-@register("train_aft", SPELL_SQL + "SELECT count(*) AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
-def train_aft(t):
+@register("train_aft_fit", SPELL_SQL + "SELECT count(*) AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
+def train_aft_fit(t):
     """Accelerated failure time (Weibull) on weeks held by season of the start: rows, events, residual of the intercept."""
     spells = P.spells(mart(t), config.PERIOD_AS_OF)
     path = scratch_path(t.spark, "training", uuid.uuid4().hex)
