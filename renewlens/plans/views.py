@@ -15,10 +15,10 @@ from renewlens.config import DomainConfig
 from renewlens.operators.calendar import calendar_for_years_of
 from renewlens.plans.catalog import tables_for
 from renewlens.plans.periods import period_mart, rules_table
-from renewlens.plans.profile import location_metrics, member_profile
+from renewlens.plans.profile import asked_answers, attended_trials, location_metrics, member_profile
 
-RAW = ("members", "facilities", "facility_names", "plans", "periods", "freezes", "trials", "payments",
-       "body_tests", "friend_counts", "posts", "groups", "answers", "test_accounts", "member_locations",
+RAW = ("members", "facilities", "facility_names", "plans", "periods", "freezes", "trial_events", "trial_attendance", "payments",
+       "body_tests", "measures", "friend_counts", "posts", "groups", "questions", "test_accounts", "member_locations",
        "activity", "scores")
 
 
@@ -32,6 +32,8 @@ def register_views(spark: SparkSession, sf_dir: str, cfg: DomainConfig = config.
         getattr(a, n).createOrReplaceTempView(prefix + n)
         names.append(prefix + n)
     marts = {
+        "trials": attended_trials(a.trial_attendance, a.trial_events),
+        "answers": asked_answers(a.answers, a.questions),
         "period_mart": period_mart(a.periods, a.plans, a.freezes, a.members, a.facilities,
                                    rules_table(spark, cfg.facility_rules), cfg.paid_plans),
         "calendar": calendar_for_years_of(t.orders, "o_orderdate"),
