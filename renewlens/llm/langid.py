@@ -23,6 +23,8 @@ BITS = 16
 DIMS = 1 << BITS
 ORDERS = (1, 2, 3)
 UNDETERMINED = "und"
+#: Texts with fewer n-grams (three or four letters) are too short to be called foreign.
+FEWEST = 12
 _LETTERS: np.ndarray | None = None
 
 
@@ -63,6 +65,52 @@ def tfidf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / norm if norm else x
 
 
+def surprises(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int) -> np.ndarray:
+    """(DIMS, k): minus the log of each n-gram's smoothed frequency in the rows (ids, counts) of each language.
+    A row counts by its relative frequencies, so that no long text speaks for its language."""
+    total = np.full((DIMS, k), 0.0)
+    for (ids, counts), c in zip(rows, y):
+        total[ids, c] += counts / counts.sum()
+    share = total / np.maximum(total.sum(0), 1e-9)
+    return -np.log(0.999 * share + 0.001 / DIMS).astype(np.float32)
+
+
+@dataclass
+class Limits:
+    """What of a language a text may be: its mean surprise lies at most ``most`` deviations over its language's,
+    deviations of a text of n n-grams having variance a + b / n; texts of ``long`` n-grams or more must
+    also have the probability ``least``, which short ones often lack."""
+
+    mean: np.ndarray
+    a: float
+    b: float
+    most: float
+    long: float
+    least: float
+
+    def reject(self, surprise: float, n: int, i: int, p: float) -> bool:
+        if n < FEWEST:
+            return False
+        return surprise - self.mean[i] > self.most * math.sqrt(self.a + self.b / n) or (n >= self.long and p < self.least)
+
+
+def limits(surprise: np.ndarray, n: np.ndarray, i: np.ndarray, p: np.ndarray, k: int, loss: float) -> Limits | None:
+    """Limits that reject at most about ``loss`` of rows like these: mean surprise, n-grams, likeliest language and
+    its probability.  None without rows of FEWEST n-grams, when nothing is known of what is usual."""
+    enough = n >= FEWEST
+    surprise, n, i, p = surprise[enough], n[enough], i[enough], p[enough]
+    if not len(n):
+        return None
+    # a language without rows here is taken to be as usual as all are
+    mean = np.array([np.median(surprise[i == c]) if (i == c).any() else np.median(surprise) for c in range(k)])
+    r = surprise - mean[i]
+    b, a = np.polyfit(1 / n, r * r, 1) if len(np.unique(n)) > 1 else (0.0, float((r * r).mean()))
+    a, b = max(float(a), 1e-3), max(float(b), 1.0)
+    most = max(8.0, float(np.quantile(r / np.sqrt(a + b / n), 1 - loss, method="higher")))
+    long = float(np.median(n))
+    return Limits(mean, a, b, most, long, min(0.5, float(np.quantile(p[n >= long], loss, method="lower"))))
+
+
 @dataclass
 class Model:
     classes: list[str]
@@ -70,9 +118,11 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
+    surprise: np.ndarray | None = None  # (DIMS, k): minus the log frequency of an n-gram in a language
+    limits: Limits | None = None
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its calibrated probability; (und, 0) without a letter."""
+        """The likeliest language and its calibrated probability; (und, 0) without a letter or if rejected."""
         ids, counts = grams(text)
         if not len(ids):
             return UNDETERMINED, 0.0
@@ -81,7 +131,12 @@ class Model:
         z = (tfidf(counts, self.idf[ids]) @ self.weights[ids] + self.bias) / self.temperature
         z = np.exp(z - z.max())
         i = int(z.argmax())
-        return self.classes[i], float(z[i] / z.sum())
+        p = float(z[i] / z.sum())
+        if self.limits is not None:
+            n = int(counts.sum())
+            if self.limits.reject(float(counts @ self.surprise[ids, i]) / n, n, i, p):
+                return UNDETERMINED, 0.0
+        return self.classes[i], p
 
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, alpha: float, beta: float, l1: float, l2: float, epochs: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -150,12 +205,13 @@ def held_out(col: str = "doc_id") -> Column:
     return F.coalesce(crc_of_id(col) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, rows_per_language: int = 2000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6) -> Model:
+def fit(docs: DataFrame, rows_per_language: int = 2000, alpha: float = 1.0, beta: float = 1.0, l1: float = 0.02, l2: float = 0.01, epochs: int = 6, loss: float = 0.0005) -> Model:
     """Learn from ``docs`` (doc_id, text, lang) with a non-null lang and an id that isn't held out.
 
     At most about ``rows_per_language`` rows of each language are fitted on, chosen by a hash of the
     id; the driver gets their n-gram counts, one row per language and the document frequencies
-    (2**16 numbers at most).  Without a training row the model predicts ``und``.
+    (2**16 numbers at most).  Without a training row the model predicts ``und``.  It also does for texts
+    unlike their likeliest language; the limits lose about ``loss`` of the rows that are kept out of the fit.
     """
     train = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & (crc_of_id() % 4 != 2))
     per = stored(train.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
@@ -182,7 +238,14 @@ def fit(docs: DataFrame, rows_per_language: int = 2000, alpha: float = 1.0, beta
     w, b = ftrl([x for x, i in zip(rows, inside) if i], y[inside], len(classes), alpha, beta, l1, l2, epochs)
     outside = np.flatnonzero(~inside)
     scores = np.array([rows[i][1] @ w[rows[i][0]] + b for i in outside]).reshape(len(outside), len(classes))
-    return Model(classes, idf, w.astype(np.float32), b, temperature(scores, y[outside]))
+    t = temperature(scores, y[outside])
+    raw = [(np.frombuffer(r["ids"], np.uint16), np.frombuffer(r["counts"], np.uint32).astype(float)) for r in got]
+    strange = surprises([x for x, i in zip(raw, inside) if i], y[inside], len(classes))
+    best = scores.argmax(1) if len(outside) else np.empty(0, int)
+    p = np.exp((scores - scores.max(1, keepdims=True)) / t) if len(outside) else scores
+    n = np.array([raw[i][1].sum() for i in outside])
+    usual = np.array([raw[i][1] @ strange[raw[i][0], c] for i, c in zip(outside, best)]) / np.maximum(n, 1)
+    return Model(classes, idf, w.astype(np.float32), b, t, strange, limits(usual, n, best, 1 / p.sum(1) if len(outside) else n, len(classes), loss))
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -192,8 +255,8 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row of ``docs``; ``und`` with score 0 if the text is null or
-    has no letter.  Repeated rows give repeated results; other columns aren't read; no rows in, none out."""
+    """doc_id, held_out, lang_pred, score for every row of ``docs``; ``und`` with score 0 if the text is null, has
+    no letter or is unlike every learned language.  Repeated rows give repeated results; other columns aren't read; no rows in, none out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(partial(_predict, model=model), "doc_id long, held_out boolean, lang_pred string, score double")
 
@@ -207,6 +270,6 @@ def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, least: float
 def identified(docs: DataFrame, model: Model, least_score: float = 0.0) -> DataFrame:
     """Rows of ``docs`` whose language is determined, with a probability of ``least_score`` or more, all columns.
 
-    By default only ``und`` is rejected: short texts are often right with a low probability.
+    By default the model's own limits decide: what it calls ``und`` goes, short texts may have a low probability.
     """
     return docs.mapInArrow(partial(_kept, model=model, at=docs.columns.index("text"), least=least_score), docs.schema)
