@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.llm import ann, chat, decontam, html_text, jaccard, langid, mixing, quality, toxicity, warc
-from renewlens.llm.common import read
+from renewlens.llm import ann, chat, decontam, html_text, jaccard, langid, mixing, quality, runs, toxicity, warc
+from renewlens.llm.common import WORD_PATTERN, crc_of_id, read
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,9 +63,31 @@ def op10_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_preferences(chat.neighbour_pairs(read(spark, sf_dir, "conversations")))
 
 
+def _planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, text, in which every tenth document (by the crc32 of its id) repeats a stretch of its words to the end."""
+    words = docs.select("doc_id", "text", crc_of_id().alias("h"), F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    return words.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, and digests of them and of the texts without repeats."""
+    found = runs.collapse_runs(_planted_runs(read(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("s"), (-r.period).alias("q"))))
+    lines = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n")))
+    length, period = F.col("best.length"), -F.col("best.q")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_quality, op3_nearest, op4_warc, op5_html_text, op6_jaccard_join, op7_toxicity, op8_mixing, op9_language, op10_preferences)
+    for f in (op1_decontamination, op2_quality, op3_nearest, op4_warc, op5_html_text, op6_jaccard_join, op7_toxicity, op8_mixing, op9_language, op10_preferences, op11_runs)
 }
 
 ORACLE: dict[str, str] = {"op4_warc": warc.SQL, "op8_mixing": mixing.SQL, "op10_preferences": chat.SQL}
