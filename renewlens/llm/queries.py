@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.llm import ann, chat, decontam, html_text, jaccard, langid, mixing, quality, runs, toxicity, warc
+from renewlens.llm import ann, chat, decontam, html_text, jaccard, langid, mixing, quality, runs, toxicity, warc, whiten
 from renewlens.llm.common import WORD_PATTERN, crc_of_id, read
 
 
@@ -85,9 +85,17 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * length / period).alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors whitened on their first four components."""
+    found = whiten.whiten(read(spark, sf_dir, "embeddings"))
+    each = found.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "value"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", F.expr("try_cast(deviation as bigint)").alias("deviation"),
+                       F.col("value.whitened").alias("whitened"), F.col("value.explained").alias("explained"), "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_quality, op3_nearest, op4_warc, op5_html_text, op6_jaccard_join, op7_toxicity, op8_mixing, op9_language, op10_preferences, op11_runs)
+    for f in (op1_decontamination, op2_quality, op3_nearest, op4_warc, op5_html_text, op6_jaccard_join, op7_toxicity, op8_mixing, op9_language, op10_preferences, op11_runs, op12_whitening)
 }
 
 ORACLE: dict[str, str] = {"op4_warc": warc.SQL, "op8_mixing": mixing.SQL, "op10_preferences": chat.SQL}
