@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.llm import ann, chat, decontam, html_text, jaccard, langid, mixing, quality, runs, toxicity, warc, whiten
+from renewlens.llm import ann, chat, decontam, html_text, jaccard, langid, mixing, quality, repeats, runs, toxicity, warc, whiten
 from renewlens.llm.common import WORD_PATTERN, crc_of_id, read
 
 
@@ -93,9 +93,16 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("value.whitened").alias("whitened"), F.col("value.explained").alias("explained"), "identity_error")
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without strings of 200 bytes that also start elsewhere."""
+    found = repeats.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_quality, op3_nearest, op4_warc, op5_html_text, op6_jaccard_join, op7_toxicity, op8_mixing, op9_language, op10_preferences, op11_runs, op12_whitening)
+    for f in (op1_decontamination, op2_quality, op3_nearest, op4_warc, op5_html_text, op6_jaccard_join, op7_toxicity, op8_mixing, op9_language, op10_preferences, op11_runs, op12_whitening, op13_repeats)
 }
 
 ORACLE: dict[str, str] = {"op4_warc": warc.SQL, "op8_mixing": mixing.SQL, "op10_preferences": chat.SQL}
