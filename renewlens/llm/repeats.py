@@ -235,7 +235,8 @@ def merge(a: Shard, b: Shard, depth: int) -> Shard:
     parted[:1] = 0
     count, mine, theirs = 1, None, None
     for t in range(1, depth + 1):
-        keys = [w | np.append(c, 0)[s.follow] for w, c, s in zip(word, classes, (a, b))]
+        end = int(t == 1)  # no words yet: an ended suffix is like any other; later it comes first
+        keys = [w | np.append(c, end)[s.follow] for w, c, s in zip(word, classes, (a, b))]
         theirs = np.searchsorted(keys[0], keys[1], "right") + np.arange(len(keys[1]))
         free = np.ones(n, bool)
         free[theirs] = False

@@ -66,6 +66,16 @@ def test_merged_transforms_against_all_windows(cuts, span, shards):
     assert got.tolist() == [seen[k] > 1 for k in keys]
 
 
+def test_pieces_that_end_at_the_depth_merged_by():
+    source = bytes(range(97, 97 + 26)) * 2
+    pieces = [source[:n] for n in (40, 24, 32, 24, 25, 24)] * 3
+    data, offsets = laid(pieces)
+    for shards in (1, 2, 3, 5):
+        got = repeats.repeats_of(data, offsets, np.zeros(len(pieces), int), np.zeros(len(pieces), bool), 24, shards)
+        starts = np.concatenate([np.arange(len(p) - 23) for p in pieces])
+        assert got.all() and len(got) == len(starts)
+
+
 def made(rng, n=120):
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
     prose = lambda k: " ".join(rng.choice(words) for _ in range(k))
