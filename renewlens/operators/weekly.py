@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from renewlens.operators.ordered import neighbour_in_order
@@ -21,11 +21,13 @@ def week_start(ts_col: str = "ts"):
 
 
 def fact_member_week(activity: DataFrame, completed: str = "purchase", booked: Sequence[str] = ("purchase", "view"),
-                     cancelled: str = "error", late_minutes: int = 15) -> DataFrame:
+                     cancelled: str = "error", late_minutes: int = 15, extra: dict[str, Column] | None = None) -> DataFrame:
     """Weekly counts per member, with zero rows for silent weeks between first and last activity.
 
     Sessions begin on the full hour; a completed one counts as late from ``late_minutes`` after it.
+    ``extra`` names further sums of doubles, zero in silent weeks.
     """
+    extra = extra or {}
     et = F.col("event_type")
     facts = (activity.withColumn("week", week_start("ts"))
              .groupBy("user_id", "week")
@@ -35,11 +37,11 @@ def fact_member_week(activity: DataFrame, completed: str = "purchase", booked: S
                   F.sum((et == cancelled).cast("long")).alias("cancelled"),
                   F.sum(((et == completed) & (F.minute("ts") >= late_minutes)).cast("long")).alias("late"),
                   F.sum(F.hour("ts")).alias("hour_sum"),
-                  F.round(F.sum("value"), 6).alias("value_sum")))
+                  F.round(F.sum("value"), 6).alias("value_sum"), *(F.sum(c).alias(k) for k, c in extra.items())))
     spine = (facts.groupBy("user_id").agg(F.min("week").alias("w0"), F.max("week").alias("w1"))
              .select("user_id", F.explode(F.sequence("w0", "w1", F.expr("INTERVAL 7 DAYS"))).alias("week")))
     zero = {c: 0 for c in ("sessions", "completed", "booked", "cancelled", "late", "hour_sum")}
-    zero["value_sum"] = 0.0
+    zero |= {c: 0.0 for c in ("value_sum", *extra)}
     return spine.join(facts, ["user_id", "week"], "left").fillna(zero)
 
 
@@ -122,13 +124,40 @@ def usage_deltas(facts: DataFrame, metrics: Sequence[str] = ("sessions", "booked
     return out
 
 
+#: Clock time as a direction: one turn a day.
+_TURN = 2 * math.pi / 24
+#: Directions that cancel out to less than this share of their number have no mean.
+_NO_DIRECTION = 1e-9
+
+
+def clock_sums(hour: Column) -> dict[str, Column]:
+    """Sums that give the mean of clock times (``extra`` of ``fact_member_week``)."""
+    return {"hour_sin": F.sin(hour * _TURN), "hour_cos": F.cos(hour * _TURN)}
+
+
+def mean_hour(sin: Column, cos: Column, n: Column) -> Column:
+    """Mean clock time (0 to 24) out of summed directions, so that 23 and 1 o'clock average to midnight; null for
+    no rows and for times that cancel out (noon and midnight)."""
+    hour = F.pmod(F.atan2(sin, cos) / _TURN, F.lit(24.0))
+    hour = F.when(hour > 24 - 1e-9, 0.0).otherwise(hour)
+    return F.when((n > 0) & (F.sqrt(sin * sin + cos * cos) > _NO_DIRECTION * n), hour)
+
+
+def clock_shift(a: Column, b: Column) -> Column:
+    """``a - b`` the shorter way round the clock, over -12 up to 12."""
+    d = a - b
+    short = d - 24 * F.ceil((d - 12) / 24)
+    return F.when(F.abs(F.abs(short) - 12) < 1e-9, 12.0).otherwise(short)
+
+
 def booking_time_shift(facts: DataFrame) -> DataFrame:
-    """Mean booking hour this week minus the mean hour of all earlier activity."""
-    prev_h = F.sum("hour_sum").over(_prev_frame())
-    prev_n = F.sum("sessions").over(_prev_frame())
-    this = F.when(F.col("sessions") > 0, F.col("hour_sum") / F.col("sessions"))
-    before = F.when(prev_n > 0, prev_h / prev_n)
-    return facts.withColumn("mean_hour", this).withColumn("hour_shift", this - before)
+    """Mean booking time of the week minus that of all earlier activity, in hours the shorter way round.
+
+    ``facts`` has the sums of ``clock_sums``.  Null where either mean has no direction.
+    """
+    before = mean_hour(*(F.sum(c).over(_prev_frame()) for c in ("hour_sin", "hour_cos", "sessions")))
+    this = mean_hour(F.col("hour_sin"), F.col("hour_cos"), F.col("sessions"))
+    return facts.withColumn("mean_hour", this).withColumn("hour_shift", clock_shift(F.col("mean_hour"), before))
 
 
 def idle_gap_days(activity: DataFrame) -> DataFrame:

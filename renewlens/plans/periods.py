@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from renewlens import config
 from renewlens.config import FacilityRule
+from renewlens.operators.asof import asof_join
+from renewlens.operators.intervals import covered_days
 from renewlens.operators.ordered import neighbour_in_order
 from renewlens.operators.skew import left_join
 
@@ -51,6 +53,18 @@ def freeze_days(freezes: DataFrame) -> DataFrame:
     return freezes.groupBy("user_id", "period_id").agg(F.sum(days).cast("int").alias("freeze_days"))
 
 
+def freeze_days_merged(freezes: DataFrame, periods: DataFrame) -> DataFrame:
+    """Per (member, period): days of the period on which at least one freeze lies.
+
+    Freezes are clipped to the period's days; overlapping ones count once, those without an end or with another
+    member's period not at all.  Periods without such a day have no row.
+    """
+    dates = periods.select("user_id", "period_id", F.col("start_date").alias("_from"), F.col("end_date").alias("_to"))
+    held = (freezes.filter(F.col("end_date").isNotNull()).join(dates, ["user_id", "period_id"])
+            .select("user_id", "period_id", F.greatest("start_date", "_from").alias("start_date"), F.least("end_date", "_to").alias("end_date")))
+    return covered_days(held, ["user_id", "period_id"], "start_date", "end_date", "freeze_days")
+
+
 def next_period_start(df: DataFrame, key: str = "user_id") -> DataFrame:
     """``lead(start_date) over (partition by member order by start_date, period_id)``; null for null member."""
     return neighbour_in_order(df, key, "start_date", "period_id", "start_date", "next_start", direction="next")
@@ -75,9 +89,12 @@ def paid_periods_with_facility(periods: DataFrame, plans: DataFrame, members: Da
 
 
 def period_mart(periods: DataFrame, plans: DataFrame, freezes: DataFrame, members: DataFrame,
-                facilities: DataFrame, rules: DataFrame, paid: Sequence[str]) -> DataFrame:
+                facilities: DataFrame, rules: DataFrame, paid: Sequence[str], merge_overlaps: bool = False) -> DataFrame:
+    """One row per paid period.  ``merge_overlaps`` counts each frozen day of the period once; else the lengths of
+    its freezes are added up, as they are."""
     p = paid_periods_with_facility(periods, plans, members, facilities, rules, paid)
-    p = (p.join(freeze_days(freezes), ["user_id", "period_id"], "left")
+    frozen = freeze_days_merged(freezes, periods) if merge_overlaps else freeze_days(freezes)
+    p = (p.join(frozen, ["user_id", "period_id"], "left")
          .withColumn("freeze_days", F.coalesce("freeze_days", F.lit(0))))
     p = p.select("period_id", "user_id", "plan_name", "facility_corr", "start_date", "end_date", "freeze_days",
                  F.date_add("end_date", F.col("freeze_days")).alias("end_corrected"),
@@ -136,13 +153,13 @@ def completion_per_period(activity: DataFrame, mart: DataFrame, completed: str =
     """Completed / booked sessions of each period: an activity belongs to the member's period started last by
     its day (by period id, if several start then).  Null where nothing was booked.
 
-    Activity is reduced to one row per (member, day) before the join.
+    Activity is reduced to one row per (member, day); the period begun last is carried forward to each day
+    (``operators.asof``), so days don't meet all periods of their member.
     """
     et = F.col("event_type")
     days = (activity.groupBy("user_id", F.to_date("ts").alias("day"))
             .agg(F.count_if(et.isin(*booked)).alias("n_booked"), F.count_if(et == completed).alias("n_completed")).filter("n_booked > 0"))
-    p = mart.select("period_id", "user_id", "start_date", "next_start")
-    held = days.join(p, "user_id").filter("day >= start_date and (next_start is null or day < next_start)")
+    held = asof_join(days, mart, "user_id", "day", "start_date", ["period_id"], tie=["period_id"]).filter("period_id is not null")
     sums = held.groupBy("period_id").agg(F.sum("n_booked").alias("booked"), F.sum("n_completed").alias("completed"))
     rate = F.when(F.col("booked") > 0, F.col("completed") / F.col("booked"))
     return mart.select("period_id", "user_id").join(sums, "period_id", "left").withColumn("completion_rate", rate)

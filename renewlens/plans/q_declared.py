@@ -136,15 +136,20 @@ def usage_deltas(t):
 
 
 @register("booking_time_shift", FACT_WITH + f"""
-SELECT user_id, week,
-       round(CASE WHEN sessions > 0 THEN hour_sum / sessions END
-             - CASE WHEN sum(sessions) {PREV} > 0 THEN sum(hour_sum) {PREV} / sum(sessions) {PREV} END, 9)
-         AS hour_shift
-FROM fw""")
+, hours AS (SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, sum(sin(radians(15 * hour(ts)))) AS y,
+                   sum(cos(radians(15 * hour(ts)))) AS x FROM activity GROUP BY ALL),
+ways AS (SELECT fw.user_id, week, sessions, COALESCE(y, 0) AS y, COALESCE(x, 0) AS x, sum(sessions) {PREV} AS n0,
+                sum(y) {PREV} AS y0, sum(x) {PREV} AS x0
+         FROM fw LEFT JOIN hours USING (user_id, week)),
+turned AS (SELECT user_id, week, CASE WHEN sessions > 0 AND sqrt(x * x + y * y) > 1e-9 * sessions
+                                       AND sqrt(x0 * x0 + y0 * y0) > 1e-9 * n0
+                                      THEN degrees(atan2(y, x) - atan2(y0, x0)) / 15 END AS d FROM ways)
+SELECT user_id, week, CASE WHEN abs(abs(w) - 12) < 1e-7 THEN 12.0 ELSE round(w, 7) + 0.0 END AS hour_shift
+FROM (SELECT *, CASE WHEN d > 12 THEN d - 24 WHEN d <= -12 THEN d + 24 ELSE d END AS w FROM turned)""")
 def booking_time_shift(t):
-    """Mean booking hour this week minus the mean hour of all earlier activity."""
-    b = W.booking_time_shift(facts(t))
-    return b.select("user_id", "week", F.round("hour_shift", 9).alias("hour_shift"))
+    """Mean booking time this week minus the mean of all earlier activity, by directions on the clock."""
+    b = W.booking_time_shift(W.fact_member_week(t.adapters.activity, extra=W.clock_sums(F.hour("ts"))))
+    return b.select("user_id", "week", (F.round("hour_shift", 7) + 0.0).alias("hour_shift"))
 
 
 @register("idle_gap_days", with_adapters("activity") + """
