@@ -109,25 +109,32 @@ def member_aggregates(cells: DataFrame) -> DataFrame:
     """Cells rolled up to the member: home cell, sample size, mean and population std of the
     distances (pooled from the cells' means and variances), least distance of the two fullest cells.
 
-    All windows share one shuffle of the cells by member.
-    """
-    from pyspark.sql import Window
+    Home, totals and spread are partial aggregates, combined below the shuffle; the two fullest cells are
+    limited to two per member and task below theirs.  No task gets all cells of a member.
 
-    member = Window.partitionBy("user_id")
-    ranked = cells.withColumns({
-        "_home": F.row_number().over(member.orderBy(F.col("score").desc(), "lat_r", "lon_r")),
-        "_full": F.row_number().over(member.orderBy(F.col("n_points").desc(), "lat_r", "lon_r")),
-        "sample_size": F.sum("n_points").over(member),
-        "mean_km": F.sum(F.col("n_points") * F.col("cell_km")).over(member) / F.sum("n_points").over(member)})
-    spread = F.col("n_points") * (F.col("cell_var") + F.pow(F.col("cell_km") - F.col("mean_km"), 2))
-    home = F.col("_home") == 1
-    km = haversine_km("c_lat", "c_lon", "fac_lat", "fac_lon")
-    return (ranked.groupBy("user_id")
-            .agg(F.max(F.when(home, F.col("c_lat"))).alias("home_latitude"), F.max(F.when(home, F.col("c_lon"))).alias("home_longitude"),
-                 F.max(F.when(home, F.col("n_points"))).alias("top_n"), F.max("sample_size").alias("sample_size"),
-                 F.max("mean_km").alias("mean_km"), F.sqrt(F.sum(spread) / F.sum("n_points")).alias("std_km"),
-                 F.min(F.when(F.col("_full") <= 2, km)).alias("top2_min_km"))
-            .withColumn("confidence", F.col("top_n") / F.col("sample_size") * 100.0))
+    The spread between cells is summed about zero, so means are split into whole metres, whose sums of products are exact,
+    and the rest, whose products are small.
+    """
+    n, metres = F.col("n_points"), F.col("cell_km") * 1000
+    whole = F.round(metres).cast("decimal(20,0)")
+    rest = metres - whole.cast("double")
+    count, exact = n.cast("decimal(20,0)"), lambda c: F.sum(c).cast("decimal(38,0)")
+    first = F.min(F.struct((-F.col("score")).alias("rank"), "lat_r", "lon_r", "c_lat", "c_lon", "n_points"))
+    sums = cells.groupBy("user_id").agg(
+        first.alias("home"), F.sum("n_points").alias("sample_size"), F.sum(n * F.col("cell_var")).alias("_inner"),
+        exact(count * whole).alias("_w"), exact(count * whole * whole).alias("_ww"), F.sum(n * rest).alias("_r"),
+        F.sum(n * rest * rest).alias("_rr"), F.sum(n * rest * whole.cast("double")).alias("_wr"))
+    total, w, r = F.col("sample_size").cast("double"), F.col("_w").cast("double"), F.col("_r")
+    squares = (F.col("sample_size").cast("decimal(20,0)") * F.col("_ww") - F.col("_w") * F.col("_w")).cast("double") / total / total
+    mixed = (F.col("_wr") - w * r / total) / total
+    between = (squares + 2 * mixed + F.col("_rr") / total - F.pow(r / total, 2)) / 1e6
+    top2 = top_k_by(cells, ["user_id"], [F.col("n_points").desc(), F.col("lat_r"), F.col("lon_r")], 2)
+    near = top2.groupBy("user_id").agg(F.min(haversine_km("c_lat", "c_lon", "fac_lat", "fac_lon")).alias("top2_min_km"))
+    return (sums.join(near, "user_id", "left")
+            .select("user_id", F.col("home.c_lat").alias("home_latitude"), F.col("home.c_lon").alias("home_longitude"),
+                    F.col("home.n_points").alias("top_n"), "sample_size", ((w + r) / total / 1000).alias("mean_km"),
+                    F.sqrt(F.greatest(F.col("_inner") / total + between, F.lit(0.0))).alias("std_km"), "top2_min_km",
+                    (F.col("home.n_points") / F.col("sample_size") * 100.0).alias("confidence")))
 
 
 def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords: DataFrame,

@@ -14,6 +14,31 @@ from pyspark.sql import functions as F
 from renewlens import config
 
 
+#: Buckets of distinct values, and sampled values per bucket: what a cut costs per value and task stays bounded.
+MOST_BUCKETS = 64
+SAMPLE_PER_BUCKET = 32
+
+
+def balanced_buckets(distinct: DataFrame, group_col: str, value_col: str, parts: int, out: str = "_pid") -> DataFrame:
+    """``distinct`` (one row per group and value) with the number of the value's bucket in its group.
+
+    Buckets are ranges of about equally many distinct values, whatever the values' spread, cut at a sample of
+    them: those with the least hashes.  The sample depends on the set of values alone, so a value's bucket
+    is the same however often and wherever it is computed.
+    """
+    from pyspark.sql import Window
+
+    least = Window.partitionBy(group_col).orderBy("_hash", value_col)
+    sample = (distinct.select(group_col, value_col, F.xxhash64(value_col).alias("_hash")).withColumn("_i", F.row_number().over(least))
+              .filter(F.col("_i") <= parts * SAMPLE_PER_BUCKET).groupBy(group_col).agg(F.sort_array(F.collect_list(value_col)).alias("_sample")))
+    each = F.sequence(F.lit(1), F.lit(parts - 1)) if parts > 1 else F.array().cast("array<int>")
+    cut = lambda i: F.get("_sample", F.floor(i * F.size("_sample") / parts).cast("int"))
+    cuts = sample.select(group_col, F.array_distinct(F.transform(each, cut)).alias("_cuts"))
+    # one row per group, i.e. per reported column
+    both = distinct.join(F.broadcast(cuts), group_col)
+    return both.withColumn(out, F.size(F.filter("_cuts", lambda c: c <= F.col(value_col)))).drop("_cuts")
+
+
 def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequence[float],
                     num_partitions: int | None = None, method: str = "nearest") -> DataFrame:
     """Exact quantiles per group, computed distributedly.
@@ -24,8 +49,8 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
 
     No single-task buffer and no hot value: rows are first collapsed to
     (group, value) -> count with a partial aggregate (a value held by a third of the
-    rows becomes one row per map task); the distinct values fall into equal-width buckets; a
-    per-bucket total (one row per (group, bucket)) turns each target rank into
+    rows becomes one row per map task); the distinct values fall into buckets of about equal numbers of them,
+    cut at a sample of them; a per-bucket total (one row per (group, bucket)) turns each target rank into
     (bucket, local rank); running counts inside each bucket give every distinct
     value its rank interval, and the value whose interval holds the target is picked.
     Returns (group_col, q, value).
@@ -33,17 +58,10 @@ def exact_quantiles(long: DataFrame, group_col: str, value_col: str, qs: Sequenc
     from pyspark.sql import Window
 
     spark = long.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
     v = long.select(F.col(group_col), F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     vc = v.groupBy(group_col, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-    # the bucket is a function of the value and its group's range alone, so both uses of ``ranged``
-    # agree however they are computed
-    ends = vc.groupBy(group_col).agg(F.min("_v").alias("_least"), F.max("_v").alias("_most"))
-    place = (F.col("_v") - F.col("_least")) / (F.col("_most") - F.col("_least")) * parts
-    ranged = (vc.join(F.broadcast(ends), group_col)    # one row per group, i.e. per reported column
-              .withColumn("_pid", F.when(F.col("_most") > F.col("_least"),
-                                         F.least(F.floor(place), F.lit(parts - 1))).otherwise(F.lit(0)))
-              .drop("_least", "_most"))
+    ranged = balanced_buckets(vc, group_col, "_v", parts)
     totals = ranged.groupBy(group_col, "_pid").agg(F.sum("_cnt").alias("_c"))
     w = Window.partitionBy(group_col).orderBy("_pid")
     offsets = totals.select(group_col, "_pid", "_c",
@@ -138,21 +156,22 @@ def psi(df: DataFrame, col: str, is_baseline: F.Column, bins: int = 10, eps: flo
     bin below it.  Shares below ``eps`` are floored at ``eps``; a bin without rows counts for nothing.
     Null where the baseline or the current side has no rows.
     """
-    d = df.filter(F.col(col).isNotNull()).withColumn("_base", is_baseline)
-    both = exact_quantiles(d.select("_base", col), "_base", col, [i / bins for i in range(1, bins)])
-    cuts = both.agg(F.collect_list(F.when(F.col("_base"), F.col("value"))).alias("cuts")).select("cuts").scalar()
-    x = F.col(col).cast("double")
-    b = F.array_position(F.sort_array(F.array_append(cuts, x)), x)    # cuts below x, and one
-    counts = d.withColumn("bin", b).groupBy("bin").agg(
-        F.sum(F.col("_base").cast("long")).alias("n_base"), F.sum((~F.col("_base")).cast("long")).alias("n_cur"))
-    totals = counts.agg(F.sum("n_base").alias("tb"), F.sum("n_cur").alias("tc"))
-    tb = totals.select("tb").scalar()
-    tc = totals.select("tc").scalar()
-    pb = F.when(tb > 0, F.greatest(F.try_divide("n_base", tb), F.lit(eps)))
-    pc = F.when(tc > 0, F.greatest(F.try_divide("n_cur", tc), F.lit(eps)))
-    return (counts.withColumn("part", (pc - pb) * F.log(pc / pb))
-            .agg(F.lit(col).alias("feature"), F.sum("part").alias("psi"),
-                 F.sum("n_base").alias("baseline_rows"), F.sum("n_cur").alias("current_rows")))
+    d = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"), is_baseline.alias("_base"))
+    base = d.filter("_base").select(F.lit(True).alias("_base"), "_x")
+    cuts = exact_quantiles(base, "_base", "_x", [i / bins for i in range(1, bins)])
+    cuts = cuts.agg(F.collect_list("value").alias("cuts")).scalar()
+    bin_of = F.array_position(F.sort_array(F.array_append(cuts, F.col("_x"))), F.col("_x"))    # cuts below x, and one
+    counts = d.groupBy(bin_of.alias("bin")).agg(F.sum(F.col("_base").cast("long")).alias("n_base"), F.sum((~F.col("_base")).cast("long")).alias("n_cur"))
+    # as many rows as bins
+    one = counts.agg(F.sum("n_base").alias("tb"), F.sum("n_cur").alias("tc"), F.sort_array(F.collect_list(F.struct("bin", "n_base", "n_cur"))).alias("each"))
+
+    def share(n, total):
+        return F.greatest(F.try_divide(n, total), F.lit(eps))
+
+    part = F.transform("each", lambda r: (share(r.n_cur, F.col("tc")) - share(r.n_base, F.col("tb")))
+                       * F.log(share(r.n_cur, F.col("tc")) / share(r.n_base, F.col("tb"))))
+    psi_sum = F.when((F.col("tb") > 0) & (F.col("tc") > 0), F.aggregate(part, F.lit(0.0), lambda a, x: a + x))
+    return one.select(F.lit(col).alias("feature"), psi_sum.alias("psi"), F.col("tb").alias("baseline_rows"), F.col("tc").alias("current_rows"))
 
 
 def calibration(df: DataFrame, p: str, y: str, bins: int = 10) -> DataFrame:

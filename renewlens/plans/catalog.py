@@ -47,5 +47,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     from renewlens.plans import (  # noqa: F401
-        q_calendar, q_declared, q_geo, q_history, q_io, q_periods, q_profile,
+        q_calendar, q_declared, q_geo, q_history, q_io, q_models, q_periods, q_profile,
     )

@@ -140,7 +140,8 @@ def spells(mart: DataFrame, as_of: date, window_days: int = 30) -> DataFrame:
     churned = (horizon <= a) & ~F.coalesce((F.col("next_start") <= horizon) & (F.col("next_start") <= a), F.lit(False))
     weeks = F.floor(F.datediff(F.least(F.col("end_corrected"), a), "start_date") / 7).cast("int") + 1
     return mart.filter(F.col("start_date") <= a).select(
-        "period_id", "user_id", F.month("start_date").cast("double").alias("start_month"), weeks.alias("weeks"), churned.alias("churned"))
+        "period_id", "user_id", F.month("start_date").cast("double").alias("start_month"), F.col("length_days").cast("double").alias("length_days"),
+        F.col("freeze_days").cast("double").alias("freeze_days"), weeks.alias("weeks"), churned.alias("churned"))
 
 
 def week_in_period(day: F.Column) -> F.Column:

@@ -8,11 +8,14 @@ complete version (``read_latest_snapshot``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from renewlens.session import scratch_path
+
 MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append",
          "errorifexists": "errorifexists", "overwrite": "overwrite"}
 
@@ -31,6 +34,14 @@ def write_table(df: DataFrame, path: str, mode: str = "replace", fmt: str = "par
     w.save(path)
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder and read it back: what follows reads the files, and a lost
+    executor doesn't repeat what came before."""
+    path = scratch_path(df.sparkSession, label, uuid.uuid4().hex)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "replace") -> None:
     write_table(df, path, mode, fmt="csv", options={"header": "true"})
 
