@@ -9,10 +9,10 @@ and keeps its Burrows-Wheeler transform; two transforms are merged by refining t
 sorting suffixes again.  The depth at which neighbours part is their common prefix; rows of an interval with a long
 enough common prefix whose preceding bytes (the transform's own words) also agree are equal windows.
 
-An anchor with more than ``most_pieces`` pieces (a passage of a third of all texts, say) doesn't go to one task:
-its windows are counted one by one, by their 128-bit hashes, as a grouped sum.  Equal texts count as one that
-occurs twice.  Keys that many rows share are joined by a broadcast list that can't hold more than
-``MOST_HOT`` of them, as each of them takes at least that part of all rows.
+Equal texts count as one that occurs twice, and so do equal pieces: of those one is merged with the anchor's other
+pieces, if it has any.  An anchor with more than ``most_pieces`` different pieces (a passage that a third of all texts
+hold in other surroundings) doesn't go to one task: its windows are counted one by one, by their 128-bit hashes,
+as a grouped sum.  Where rows meet the count of their key, keys of many rows are spread over several salts.
 """
 
 from __future__ import annotations
@@ -31,11 +31,14 @@ from renewlens.llm.common import int_array, pieces, signed, stored
 
 SPAN = 200
 GRAM = 40
-#: Pieces of one anchor that a task merges at most (some 1.5 MB).
+#: Different pieces of one anchor that a task merges at most (some 1.5 MB).
 MOST_PIECES = 4096
 #: Bytes of pieces that a task merges at once, at least one anchor.
 CHUNK_BYTES = 1 << 21
 SHARDS = 2
+#: Keys with more rows than this are spread; a broadcast table holds at most MOST_HOT of them, as the bound rises with
+#: the number of all rows.
+SPREAD_ROWS = 1000
 MOST_HOT = 50_000
 WORD = 8
 _BLOCK = 1 << 18
@@ -113,12 +116,17 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch], span: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """One row a piece: its anchor's hash, and two halves of a hash of its bytes."""
     for batch in pieces(batches, 500):
         data, offsets = _buffers(batch.column(1))
         t, h, first, last, place = anchors(data, offsets, span, gram)
+        raw, begin = memoryview(data), offsets[t] + first
+        whole = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(begin.tolist(), (offsets[t] + last + span).tolist())]
+        halves = np.frombuffer(b"".join(whole), np.int64).reshape(-1, 2)
+        of = pa.array(t)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(t)), int_array(signed(h)), int_array(first), int_array(last), int_array(place)],
-            ["tid", "h", "first", "last", "place"])
+            [batch.column(0).take(of), batch.column(2).take(of), int_array(signed(h)), int_array(halves[:, 0]), int_array(halves[:, 1]),
+             int_array(first), int_array(last), int_array(place)], ["tid", "weight", "h", "p1", "p2", "first", "last", "place"])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
@@ -126,16 +134,16 @@ def _pieces(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordB
     names = ["k1", "k2", "tid", "first", "place", "twice", "piece"]
     for batch in pieces(batches, 200):
         out, size = [[] for _ in names], 0
-        for tid, text, twice, found in zip(*(c.to_pylist() for c in batch.columns)):
+        for tid, text, found in zip(*(c.to_pylist() for c in batch.columns)):
             for f in found:
                 a, b = f["first"], f["last"]
                 if not f["hot"]:
-                    rows = [(f["h"], 0, tid, a, f["place"], twice, text[a : b + span])]
+                    rows = [(f["h"], 0, tid, a, f["place"], f["twice"], text[a : b + span])]
                 else:
                     rows = []
                     for p in range(a, b + 1):
                         high, low = divmod(xxhash.xxh3_128_intdigest(text[p : p + span]), 1 << 64)
-                        rows.append((high - (1 << 63), low - (1 << 63), tid, p, None, twice, None))
+                        rows.append((high - (1 << 63), low - (1 << 63), tid, p, None, f["twice"], None))
                 for row in rows:
                     for column, value in zip(out, row):
                         column.append(value)
@@ -363,21 +371,22 @@ def _merged(batches: Iterator[pa.RecordBatch], span: int, chunk: int) -> Iterato
 
 # --- tables -------------------------------------------------------------------------------------------
 
-def recurring(rows: DataFrame, keys: list[str], hot_above: int, weight: str | None = None) -> DataFrame:
-    """The stored ``rows`` whose ``keys`` occur twice at least (by the sum of ``weight``), with a flag ``hot``: in more than ``hot_above`` rows.
+def recurring(rows: DataFrame, keys: list[str], spread_rows: int, weight: str | None = None) -> DataFrame:
+    """The stored ``rows`` whose ``keys`` occur twice at least (by the sum of ``weight``), with ``rows_``, the rows of their keys.
 
-    Hot keys are broadcast: there are at most MOST_HOT of them, as the bound rises with the number of rows.
-    The others meet their counts in an equi-join.
+    Keys of many rows are dealt over salts, so that no task gets more than about ``spread_rows`` of them (more
+    only where there are over MOST_HOT times as many rows).
     """
-    n = rows.count()
-    limit = max(hot_above, n // MOST_HOT)
+    limit = max(spread_rows, rows.count() // MOST_HOT)
     total = F.count("*") if weight is None else F.sum(weight)
     counts = stored(rows.groupBy(*keys).agg(F.count("*").alias("rows_"), total.alias("times_")).where("times_ > 1"), "counts")
-    hot = counts.where(F.col("rows_") > limit).select(*keys, F.lit(True).alias("hot"))
-    rest = counts.where(F.col("rows_") <= limit).select(*keys)
-    flagged = rows.join(F.broadcast(hot), keys, "left")
-    cold = flagged.where("hot is null").drop("hot").join(rest, keys, "left_semi").withColumn("hot", F.lit(False))
-    return flagged.where("hot").unionByName(cold)
+    salts = F.ceil(F.col("rows_") / limit).cast("int")
+    hot = counts.where(F.col("rows_") > limit).select(*keys, salts.alias("salts_"))
+    salted = counts.select(*keys, "rows_", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt_"))
+    dealt = rows.join(F.broadcast(hot), keys, "left")
+    # a row's number tells repeated rows apart, and is the same when a task reads its files again
+    dealt = dealt.withColumn("salt_", F.pmod(F.monotonically_increasing_id(), F.coalesce("salts_", F.lit(1))).cast("int"))
+    return dealt.join(salted, [*keys, "salt_"]).select(*rows.columns, "rows_")
 
 
 def _union(found: list[dict], span: int) -> list[tuple[int, int]]:
@@ -405,15 +414,16 @@ def _kept(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([batch.column(0), int_array(sizes), pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int | None = None, most_pieces: int = MOST_PIECES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int | None = None, most_pieces: int = MOST_PIECES, chunk_bytes: int = CHUNK_BYTES,
+                   spread_rows: int = SPREAD_ROWS) -> DataFrame:
     """doc_id, n_bytes, spans (start, end) and kept (binary) of each row.
 
     docs: (doc_id, text).  Texts count as UTF-8 bytes; ``spans`` are the maximal runs of bytes that lie under a
     string of ``span`` bytes that also starts elsewhere, in this or another row, overlapping or not; ``kept``
     are the others.  Null and empty texts, and those shorter than ``span``, have no spans (null: no bytes).  Rows with
     equal texts, repeated ids and rows included, repeat each other; ids may be null.  An empty table gives
-    no rows.  Other columns aren't read.  Strings are compared byte by byte but under hot anchors, where
-    equal 128-bit hashes count as equal strings; texts are equal if their SHA-256 is.
+    no rows.  Other columns aren't read.  Strings are compared byte by byte, but whole pieces, and strings under
+    hot anchors, are equal if their 128-bit hashes are, and texts if their SHA-256 is.
     """
     gram = max(2, span // 5) if gram is None else gram
     if span < 2 * WORD or gram >= span:
@@ -425,25 +435,32 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int | None = None, m
     long = rows.where(F.col("n_bytes") >= span).withColumn("fp", F.unhex(F.sha2("text", 256)))
 
     narrow = stored(long.select("doc_id", "n_bytes", "fp"), "long")
-    copies = recurring(narrow, ["fp"], most_pieces).select(
+    copies = recurring(narrow, ["fp"], spread_rows).select(
         "doc_id", "n_bytes", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans"), F.lit(b"").alias("kept"))
 
     one = F.first(F.struct("doc_id", "text"))
-    texts = long.groupBy("fp").agg(one.alias("one"), (F.count("*") > 1).alias("twice")).select("one.doc_id", "one.text", "twice")
+    texts = long.groupBy("fp").agg(one.alias("one"), F.least(F.count("*"), F.lit(2)).alias("weight")).select("one.doc_id", "one.text", "weight")
     texts = stored(texts.withColumn("tid", F.monotonically_increasing_id()), "texts")
-    found = stored(texts.select("tid", "text").mapInArrow(partial(_anchor_rows, span=span, gram=gram), "tid long, h long, first long, last long, place long"), "anchors")
-    again = recurring(found, ["h"], most_pieces)
-    lists = again.groupBy("tid").agg(F.collect_list(F.struct("h", "first", "last", "place", "hot")).alias("found"))
-    cut = stored(texts.join(lists, "tid").select("tid", "text", "twice", "found")
+    found = texts.select("tid", "text", "weight").mapInArrow(
+        partial(_anchor_rows, span=span, gram=gram), "tid long, weight long, h long, p1 long, p2 long, first long, last long, place long")
+    again = stored(recurring(stored(found, "anchors"), ["h"], spread_rows).drop("rows_"), "again")
+
+    # equal pieces: each of their windows is repeated
+    equal = recurring(again, ["p1", "p2"], spread_rows, "weight").where("weight = 1").select("tid", "first", "last")
+    kinds = again.groupBy("p1", "p2").agg(F.first("h").alias("h"), (F.sum("weight") > 1).alias("twice"), F.min(F.struct("tid", "first", "last", "place")).alias("one"))
+    kinds = stored(kinds.select("h", "twice", "one.*"), "kinds")
+    merged = recurring(kinds, ["h"], spread_rows).withColumn("hot", F.col("rows_") > most_pieces)
+    lists = merged.groupBy("tid").agg(F.collect_list(F.struct("h", "first", "last", "place", "twice", "hot")).alias("found"))
+    cut = stored(texts.select("tid", "text").join(lists, "tid").select("tid", "text", "found")
                  .mapInArrow(partial(_pieces, span=span), "k1 long, k2 long, tid long, first long, place long, twice boolean, piece binary"), "pieces")
 
     runs = (cut.where("piece is not null").repartition("k1").sortWithinPartitions("k1").select("k1", "tid", "first", "place", "twice", "piece")
-            .mapInArrow(partial(_merged, span=span, chunk=chunk_bytes), "tid long, first long, last long"))
+            .mapInArrow(partial(_merged, span=span, chunk=chunk_bytes), "tid long, first long, last long")).unionByName(equal)
     single = cut.where("piece is null").select("k1", "k2", "tid", "first", "twice", F.when(F.col("twice"), 2).otherwise(1).alias("weight"))
     if not single.isEmpty():
-        seen = recurring(stored(single, "windows"), ["k1", "k2"], most_pieces, "weight")
+        seen = recurring(stored(single, "windows"), ["k1", "k2"], spread_rows, "weight")
         runs = runs.unionByName(seen.where("not twice").select("tid", "first", F.col("first").alias("last")))
     marked = runs.groupBy("tid").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    single_texts = texts.where("not twice").join(marked, "tid", "left").select("doc_id", "text", "runs")
+    single_texts = texts.where("weight = 1").join(marked, "tid", "left").select("doc_id", "text", "runs")
     rest = single_texts.mapInArrow(partial(_kept, span=span), f"doc_id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return short.unionByName(copies).unionByName(rest)

@@ -94,13 +94,13 @@ def made(rng, n=120):
     return texts
 
 
-@pytest.mark.parametrize("most, chunk", [(4096, 1 << 21), (3, 2000)])
-def test_against_counting_all_windows(spark, most, chunk):
+@pytest.mark.parametrize("most, chunk, spread", [(4096, 1 << 21, 1000), (3, 2000, 4)])
+def test_against_counting_all_windows(spark, most, chunk, spread):
     rng = random.Random(most)
     texts = made(rng)
     rows = [(i if i else None, t, [i], "x") for i, t in enumerate(texts)] + [(5, texts[5], [0], "x")]
     df = spark.createDataFrame(rows, "doc_id int, text string, spans array<int>, kept string")
-    got = repeats.remove_repeats(df, most_pieces=most, chunk_bytes=chunk).collect()
+    got = repeats.remove_repeats(df, most_pieces=most, chunk_bytes=chunk, spread_rows=spread).collect()
     data = [(t or "").encode() for _, t, *_ in rows]
     want = brute(data, 200)
     key = lambda r: (r[0] is None, r[0] or 0)
