@@ -75,50 +75,42 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
 
 
 def neighbour_pairs(turns: DataFrame) -> DataFrame:
-    """Preference pairs from plain conversations: chosen, the conversation up to its last trained turn;
-    rejected, the same with that turn's text replaced by the last reply of the neighbour (conv_id with its
-    last bit flipped), or cut before it if the neighbour has none.  Conversations without a trained turn
-    have nothing to prefer and give no pair."""
+    """Preference pairs from plain conversations, one for each, with all its turns: chosen, the conversation;
+    rejected, its first k turns and then those that its neighbour (conv_id with its last bit flipped) has from
+    there on, k being conv_id modulo the number of turns.  Without a neighbour, or with a shorter one, the rejected
+    side ends after k turns."""
     convs = gather(turns.select("conv_id", "turn", "role", "text"))
-    last = F.size("turns") - F.array_position(F.transform(F.reverse("turns"), lambda t: (t["role"] == TRAINED_ROLE).cast("string")), "true").cast("int") + 1
-    has = F.exists("turns", lambda t: t["role"] == TRAINED_ROLE)
-    chosen = convs.where(has).select("pair_id", F.slice("turns", F.lit(1), last).alias("chosen"))
-    mine = (F.struct(F.col("turn").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
-    replies = (turns.where(F.col("conv_id").isNotNull() & (F.col("role") == TRAINED_ROLE))
-               .groupBy(F.col("conv_id").cast("long").bitwiseXOR(F.lit(1)).alias("other")).agg(F.max(mine)["text"].alias("reply")))
-    paired = chosen.join(replies, F.col("pair_id").cast("long") == F.col("other"), "left")
-    lead = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
-    answer = F.array(F.struct(F.lit(TRAINED_ROLE).alias("role"), F.col("reply").alias("text")))
-    return paired.select("pair_id", "chosen", F.when(F.col("reply").isNull(), lead).otherwise(F.concat(lead, answer)).alias("rejected"))
-
-
-#: The query over the whole table, for DuckDB.  Pairs differ in their last turn at most.
+    other = convs.select(F.col("pair_id").cast("long").bitwiseXOR(F.lit(1)).alias("other"), F.col("turns").alias("theirs"))
+    k = F.pmod(F.col("pair_id").cast("long"), F.size("turns")).cast("int")
+    both = convs.join(other, F.col("pair_id").cast("long") == F.col("other"), "left").withColumn("k", k)
+    tail = F.coalesce(rest(F.col("theirs"), F.col("k")), F.array().cast("array<struct<role:string,text:string>>"))
+    return both.select("pair_id", F.col("turns").alias("chosen"), F.concat(F.slice("turns", F.lit(1), F.col("k")), tail).alias("rejected"))
+
+
+#: The query over the whole table, for DuckDB: turns of both sides are compared one by one.
 SQL = r"""
 with t as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, count(*) over (partition by conv_id) as n,
          row_number() over (partition by conv_id order by turn nulls first, encode(coalesce(role, '')), encode(coalesce(text, ''))) as i
   from conversations where conv_id is not null),
-ends as (select conv_id, max(i) filter (role = 'assistant') as last from t group by conv_id having max(i) filter (role = 'assistant') is not null),
-reply as (
-  select conv_id, text as reply from (
-    select conv_id, text, row_number() over (partition by conv_id order by turn desc nulls last, encode(text) desc) as back from t where role = 'assistant')
-  where back = 1),
-final as (
-  select e.conv_id, e.last, x.text as answer, r.reply
-  from ends e join t x on x.conv_id = e.conv_id and x.i = e.last left join reply r on r.conv_id = xor(e.conv_id, 1)),
-lead as (
-  select f.conv_id, coalesce(string_agg('<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10), '' order by t.i), '') as lead
-  from final f left join t on t.conv_id = f.conv_id and t.i < f.last group by f.conv_id),
-done as (
-  select f.*, l.lead, f.reply is not null and f.reply = f.answer as same,
-         '<|assistant|>' || chr(10) || f.answer || '<|end|>' || chr(10) as a,
-         '<|assistant|>' || chr(10) || f.reply || '<|end|>' || chr(10) as b
-  from final f join lead l using (conv_id))
-select conv_id as pair_id, cast(case when same then last else last - 1 end as integer) as prompt_turns,
-       case when same then lead || a else lead end as prompt,
-       case when same then '' else a end as chosen,
-       case when same or reply is null then '' else b end as rejected,
-       case when same then '' else '14:' || cast(length(a) as varchar) end as chosen_spans,
-       case when same or reply is null then '' else '14:' || cast(length(b) as varchar) end as rejected_spans
-from done
+ends as (select distinct conv_id, (conv_id % n + n) % n as k from t),
+other as (
+  select t.conv_id, i, role, text from t join ends using (conv_id) where i <= k
+  union all select e.conv_id, t.i, t.role, t.text from ends e join t on t.conv_id = xor(e.conv_id, 1) where t.i > e.k),
+pre as (
+  select coalesce(a.conv_id, b.conv_id) as conv_id,
+         coalesce(min(coalesce(a.i, b.i)) filter ((a.role = b.role and a.text = b.text) is not true) - 1, max(coalesce(a.i, b.i))) as p
+  from t a full join other b on a.conv_id = b.conv_id and a.i = b.i group by 1),
+line as (
+  select side, conv_id, i, p, role, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as line
+  from (select 'c' as side, conv_id, i, role, text from t union all select 'r', conv_id, i, role, text from other) join pre using (conv_id)),
+placed as (
+  select *, coalesce(sum(length(line)) over (partition by side, conv_id, i > p order by i rows between unbounded preceding and 1 preceding), 0) as head from line),
+text as (
+  select side, conv_id, string_agg(line, '' order by i) filter (i <= p) as prompt, string_agg(line, '' order by i) filter (i > p) as rest,
+         string_agg(cast(head + 5 + length(role) as bigint) || ':' || cast(head + length(line) as bigint), ';' order by i) filter (i > p and role = 'assistant') as spans
+  from placed group by all)
+select pre.conv_id as pair_id, cast(p as integer) as prompt_turns, coalesce(c.prompt, '') as prompt, coalesce(c.rest, '') as chosen,
+       coalesce(r.rest, '') as rejected, coalesce(c.spans, '') as chosen_spans, coalesce(r.spans, '') as rejected_spans
+from pre left join text c on c.side = 'c' and c.conv_id = pre.conv_id left join text r on r.side = 'r' and r.conv_id = pre.conv_id
 """

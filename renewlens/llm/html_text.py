@@ -10,11 +10,11 @@ elements and class names, since they vary too.
 
 from __future__ import annotations
 
-import bisect
 import html as htmllib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -36,14 +36,19 @@ ENDED_BY = {
 SCOPES = frozenset("article aside body button caption footer form header html main nav section table td th".split())
 
 # What is never article text: elements, and names (class, id and role).
-DROPPED = frozenset("head script style noscript template title nav menu aside footer form button select option textarea input fieldset iframe object embed applet svg math canvas audio video dialog map".split())
+DROPPED = frozenset("head script style noscript template title nav menu aside footer form button select option textarea input iframe object embed applet svg canvas audio video dialog map".split())
 DROPPED_WORDS = frozenset("ad ads adv advert advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager paywall popup promo promotion recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget complementary contentinfo".split())
 #: Beside such words a name of several parts still means what DROPPED_WORDS say ("site-footer", "ad-box") ...
-PLACES = frozenset("site top bottom left right primary secondary global box bar block area container wrapper wrap list item items link links buttons slot unit inner outer text bottombar topbar".split())
+PLACES = frozenset("site main top bottom left right primary secondary global box bar block area container wrapper wrap list item items link links buttons slot unit inner outer text bottombar topbar".split())
 #: ... and beside these, the words that can't be the article's own head or body ("post-comments").
 OF_ARTICLE = frozenset("post posts article articles entry page".split())
 AROUND = frozenset("ad ads advert advertisement comments commentlist share sharing related recommended respond navigation nav pagination social sidebar".split())
 MAIN = frozenset(["article", "main"])
+#: A whole class, id or role that marks the main part of a page.
+MAIN_NAMES = frozenset(["main", "main-content"])
+#: Names that a text element of an article may have as well.
+SOFT = frozenset(["recommended", "search", "social"])
+TEXT = frozenset("p blockquote q pre h1 h2 h3 h4 h5 h6 li dd dt figure figcaption fieldset".split())
 #: Never dropped by their names.
 KEPT = frozenset(["html", "body", "main", "article"])
 
@@ -52,7 +57,7 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 _NAMING = frozenset(["class", "id", "role"])
 _DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!|;|$)", re.I)
 _WORD = re.compile(r"[a-z]+|\d+")
-#: Pairs of siblings up to which the best alignment is computed; beyond it siblings are aligned in order.
+#: Pairs of siblings beyond which the best alignment is computed by whole rows, keeping two bits a pair.
 BEST_PAIRS = 40_000
 #: A page whose blocks outside the common ones hold less than this share of its text is a copy of a common
 #: article: of what is inside article or main, and of pages without such blocks, where template is text too.
@@ -62,11 +67,12 @@ OWN_SHARE_MAIN, OWN_SHARE = 0.5, 0.2
 class Node:
     """An element: label (tag and class words), children (elements and strings), elements, slot once aligned."""
 
-    __slots__ = ("tag", "label", "words", "hidden", "named", "children", "elements", "slot")
+    __slots__ = ("tag", "label", "words", "hidden", "named", "soft", "main", "children", "elements", "slot", "shape")
 
     def __init__(self, tag: str, attributes: str = ""):
         self.tag, self.children, self.elements, self.slot = tag, [], [], 0
-        self.words, self.hidden, self.named = frozenset(), False, False
+        self.words, self.hidden, self.named, self.soft, self.shape = frozenset(), False, False, False, 0
+        self.main = 2 if tag == "main" else int(tag == "article")
         names = ""
         if attributes and not attributes.isspace():
             found = []
@@ -83,7 +89,13 @@ class Node:
             if found:
                 names = " ".join(found).lower()
                 self.words = frozenset(_WORD.findall(names))
-                self.named = bool(self.words & DROPPED_WORDS) and tag not in KEPT and any(map(surrounding, names.split()))
+                whole = names.split()
+                if not MAIN_NAMES.isdisjoint(whole):
+                    self.main = 2
+                if self.words & DROPPED_WORDS and tag not in KEPT:
+                    bad = [name for name in whole if surrounding(name)]
+                    self.named = bool(bad)
+                    self.soft = tag in TEXT and SOFT.issuperset(bad)
         self.label = f"{tag} {names}" if names else tag
 
 
@@ -183,7 +195,7 @@ def _weight(a: Node, b: Node, known: dict[tuple[int, int], int]) -> int:
         missing: list[tuple[Node, Node]] = []
         if key not in known:
             if len(x.elements) * len(y.elements) > BEST_PAIRS:
-                w = 1 + sum(_known(x.elements[i], y.elements[j], known, missing) for i, j in _in_order(x.elements, y.elements).items())
+                w = 1 + _by_rows(x.elements, y.elements, known, missing)[0]
             else:
                 w = 1 + _best(x.elements, y.elements, known, missing)[0][0]
             if not missing:
@@ -225,17 +237,54 @@ def _best(x: list[Node], y: list[Node], known: dict[tuple[int, int], int], missi
     return best
 
 
-def _in_order(x: list[Node], y: list[Node]) -> dict[int, int]:
-    out, j = {}, 0
-    places: dict[str, list[int]] = {}
-    for k, d in enumerate(y):
-        places.setdefault(d.label, []).append(k)
-    for i, c in enumerate(x):
-        later = places.get(c.label, ())
-        k = bisect.bisect_left(later, j)
-        if k < len(later):
-            out[i], j = later[k], later[k] + 1
-    return out
+def _shape(node: Node) -> int:
+    """A hash of the node's labels all the way down: nodes of one shape weigh the same against any other."""
+    order = [node]
+    for n in order:
+        order.extend(c for c in n.elements if not c.shape)
+    for n in reversed(order):
+        n.shape = xxhash.xxh3_64_intdigest(n.label + "".join(f" {c.shape}" for c in n.elements)) | 1
+    return node.shape
+
+
+def _by_rows(x: list[Node], y: list[Node], known: dict[tuple[int, int], int], missing: list[tuple[Node, Node]]) -> tuple[int, dict[int, int]]:
+    """Weight and pairs of the best alignment of many siblings, as ``_best`` and ``_matched`` have them, if nothing
+    is missing.  A row of the table is computed at once, each shape is weighed once, and of a pair only the way
+    on is kept."""
+    sx, sy = [_shape(c) for c in x], [_shape(d) for d in y]
+    ones = dict(zip(sx, x)), dict(zip(sy, y))
+    number = {s: k for k, s in enumerate(ones[1])}
+    place = np.array([number[s] for s in sy])
+    weights = {}
+    for s, c in ones[0].items():
+        row = np.zeros(len(number), np.int64)
+        for t, d in ones[1].items():
+            if c.label == d.label:
+                row[number[t]] = _known(c, d, known, missing)
+        weights[s] = row[place]
+    if missing:
+        return 0, {}
+    below = np.zeros(len(y) + 1, np.int64)
+    ways = []
+    for s in reversed(sx):
+        w = weights[s]
+        row = np.zeros(len(y) + 1, np.int64)
+        paired = below[1:] + w
+        row[:-1] = np.maximum.accumulate(np.maximum(below[:-1], paired)[::-1])[::-1]
+        ways.append((np.packbits((w > 0) & (row[:-1] == paired)), np.packbits(row[:-1] == below[:-1])))
+        below = row
+    ways.reverse()
+    out, i, j = {}, 0, 0
+    while i < len(x) and j < len(y):
+        pair, skip = ((bits[j >> 3] >> (7 - (j & 7))) & 1 for bits in ways[i])
+        if pair:
+            out[i] = j
+            i, j = i + 1, j + 1
+        elif skip:
+            i += 1
+        else:
+            j += 1
+    return int(below[0]), out
 
 
 def _matched(x: list[Node], y: list[Node], known: dict[tuple[int, int], int]) -> dict[int, int]:
@@ -244,9 +293,14 @@ def _matched(x: list[Node], y: list[Node], known: dict[tuple[int, int], int]) ->
         return {}
     if len(x) == 1 and len(y) == 1:
         return {0: 0} if x[0].label == y[0].label else {}
-    if len(x) * len(y) > BEST_PAIRS:
-        return _in_order(x, y)
     missing: list[tuple[Node, Node]] = []
+    if len(x) * len(y) > BEST_PAIRS:
+        out = _by_rows(x, y, known, missing)[1]
+        if missing:
+            for c, d in missing:
+                _weight(c, d, known)
+            out = _by_rows(x, y, known, [])[1]
+        return out
     best = _best(x, y, known, missing)
     if missing:
         for c, d in missing:
@@ -277,8 +331,8 @@ def own_slots(node: Node, slot: int) -> None:
             stack.append((c, xxhash.xxh3_64_intdigest(f"{c.label} {k}", seed=s)))
 
 
-def dropped(node: Node, inside_main: bool) -> bool:
-    if node.hidden or node.named or node.tag in DROPPED:
+def dropped(node: Node, inside_main: int) -> bool:
+    if node.hidden or node.tag in DROPPED or (node.named and not (node.soft and inside_main)):
         return True
     return node.tag == "header" and not inside_main
 
@@ -307,12 +361,13 @@ def spare_article(root: Node) -> None:
             n.named = False
 
 
-def blocks(root: Node) -> list[tuple[int, str, bool]]:
-    """(slot, text, inside article or main) of the page's blocks in order, without what is never article text."""
+def blocks(root: Node) -> list[tuple[int, str, int]]:
+    """(slot, text, 2 inside the main part, 1 inside an article, else 0) of the page's blocks in order, without what is
+    never article text."""
     spare_article(root)
-    out: list[tuple[int, str, bool]] = []
+    out: list[tuple[int, str, int]] = []
     parts: list[str] = []
-    owner = [root.slot, False]
+    owner = [root.slot, 0]
 
     def end() -> None:
         text = " ".join(htmllib.unescape("".join(parts)).split())
@@ -321,14 +376,14 @@ def blocks(root: Node) -> list[tuple[int, str, bool]]:
             out.append((owner[0], text, owner[1]))
 
     # an explicit stack: pages may nest deeper than Python's
-    stack: list[tuple] = [(root, False, iter(root.children), None)]
+    stack: list[tuple] = [(root, 0, iter(root.children), None)]
     while stack:
         node, main, children, before = stack[-1]
         for c in children:
             if isinstance(c, str):
                 parts.append(c)
                 continue
-            in_main = main or c.tag in MAIN or "main" in c.words
+            in_main = max(main, c.main)
             if dropped(c, in_main):
                 if c.tag in BLOCKS:
                     end()
@@ -353,7 +408,7 @@ def signature(slot: int, text: str) -> int:
     return xxhash.xxh3_64_intdigest(text, seed=slot) >> 1
 
 
-def page_blocks(page: str | None, skeleton: Node | None) -> list[tuple[int, str, bool]]:
+def page_blocks(page: str | None, skeleton: Node | None) -> list[tuple[int, str, int]]:
     if not page:
         return []
     root = parse(page)
@@ -364,10 +419,16 @@ def page_blocks(page: str | None, skeleton: Node | None) -> list[tuple[int, str,
     return blocks(root)
 
 
-def main_text(found: list[tuple[int, str, bool]], template: frozenset[int]) -> str:
-    """The varying blocks; only those inside an article or main element if the page has such blocks."""
-    inside = [b for b in found if b[2]]
-    return "\n".join(text for slot, text, _ in inside or found if signature(slot, text) not in template)
+def main_text(found: list[tuple[int, str, int]], template: frozenset[int]) -> str:
+    """The varying blocks; only those inside a main element, or inside articles, if the page has such blocks.
+    Articles that hold less text than what is around them are cards, and all varying blocks count."""
+    varying = [(text, main) for slot, text, main in found if signature(slot, text) not in template]
+    inside = [text for text, main in varying if main]
+    if any(main for *_, main in found) and not any(main == 2 for *_, main in found):
+        around = sum(len(text) for text, main in varying if not main)
+        if sum(map(len, inside)) < around:
+            return "\n".join(text for text, _ in varying)
+    return "\n".join(inside if any(main for *_, main in found) else [text for text, _ in varying])
 
 
 class _Skeletons(dict):
@@ -391,7 +452,7 @@ def _page_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             signs: dict[int, dict] = {}
             for slot, text, main in page_blocks(page, skeletons[skeleton] if skeleton else None):
                 s = signature(slot, text)
-                signs.setdefault(s, {"sign": s, "size": len(text), "main": main})
+                signs.setdefault(s, {"sign": s, "size": len(text), "main": main > 0})
             if signs:
                 hosts.append(host)
                 keys.append(xxhash.xxh3_64_intdigest(" ".join(map(str, signs))) >> 1)

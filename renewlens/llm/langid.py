@@ -122,21 +122,21 @@ class Model:
     limits: Limits | None = None
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its calibrated probability; (und, 0) without a letter or if rejected."""
+        """The likeliest language and its calibrated probability; (und, 0) without a letter, or without a learned language."""
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """``predict`` and whether the limits let the text be of that language."""
         ids, counts = grams(text)
-        if not len(ids):
-            return UNDETERMINED, 0.0
-        if not self.classes:
-            return UNDETERMINED, 0.0
+        if not len(ids) or not self.classes:
+            return UNDETERMINED, 0.0, False
         z = (tfidf(counts, self.idf[ids]) @ self.weights[ids] + self.bias) / self.temperature
         z = np.exp(z - z.max())
         i = int(z.argmax())
         p = float(z[i] / z.sum())
-        if self.limits is not None:
-            n = int(counts.sum())
-            if self.limits.reject(float(counts @ self.surprise[ids, i]) / n, n, i, p):
-                return UNDETERMINED, 0.0
-        return self.classes[i], p
+        n = int(counts.sum())
+        usual = self.limits is None or not self.limits.reject(float(counts @ self.surprise[ids, i]) / n, n, i, p)
+        return self.classes[i], p, usual
 
 
 def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, k: int, alpha: float, beta: float, l1: float, l2: float, epochs: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -210,8 +210,8 @@ def fit(docs: DataFrame, rows_per_language: int = 2000, alpha: float = 1.0, beta
 
     At most about ``rows_per_language`` rows of each language are fitted on, chosen by a hash of the
     id; the driver gets their n-gram counts, one row per language and the document frequencies
-    (2**16 numbers at most).  Without a training row the model predicts ``und``.  It also does for texts
-    unlike their likeliest language; the limits lose about ``loss`` of the rows that are kept out of the fit.
+    (2**16 numbers at most).  Without a training row the model predicts ``und``.  The limits of ``identified``
+    lose about ``loss`` of the rows that are kept out of the fit.
     """
     train = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & (crc_of_id() % 4 != 2))
     per = stored(train.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
@@ -255,21 +255,23 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row of ``docs``; ``und`` with score 0 if the text is null, has
-    no letter or is unlike every learned language.  Repeated rows give repeated results; other columns aren't read; no rows in, none out."""
+    """doc_id, held_out, lang_pred, score for every row of ``docs``: a learned language, however unlike it the text
+    may be; ``und`` with score 0 only if the text is null or has no letter.  Repeated rows give repeated results;
+    other columns aren't read; no rows in, none out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(partial(_predict, model=model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def _kept(batches: Iterator[pa.RecordBatch], model: Model, at: int, least: float) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
-        got = [model.predict(t) for t in batch.column(at).to_pylist()]
-        yield batch.filter(pa.array([lang != UNDETERMINED and p >= least for lang, p in got], pa.bool_()))
+        got = [model.judge(t) for t in batch.column(at).to_pylist()]
+        yield batch.filter(pa.array([usual and p >= least for _, p, usual in got], pa.bool_()))
 
 
 def identified(docs: DataFrame, model: Model, least_score: float = 0.0) -> DataFrame:
     """Rows of ``docs`` whose language is determined, with a probability of ``least_score`` or more, all columns.
 
-    By default the model's own limits decide: what it calls ``und`` goes, short texts may have a low probability.
+    By default the model's own limits decide: texts without a letter and those unlike their likeliest language go,
+    short texts may have a low probability.  Null texts go; repeated rows stay or go together; no rows in, none out.
     """
     return docs.mapInArrow(partial(_kept, model=model, at=docs.columns.index("text"), least=least_score), docs.schema)

@@ -29,7 +29,11 @@ def test_texts_of_no_learned_language_go_and_short_clean_ones_stay(spark):
     assert {20_000 + i for i in range(len(short))} <= kept
     assert len(kept & {i for i, *_ in known}) >= 0.99 * len(known)
     got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
-    assert kept == {i for i, r in got.items() if r.lang_pred != "und"} and got[10_000].score == 0
+    # rejected or not, a text with letters is predicted to be of a learned language
+    assert {r.lang_pred for r in got.values()} == set(WORDS) and all(0 < r.score <= 1 for r in got.values())
+    bare = spark.createDataFrame([(1, None, None), (2, "", None), (3, "12 + 34!", None), (4, "42 ж", None)], docs.schema)
+    assert {r.doc_id: (r.lang_pred in WORDS, r.score > 0) for r in langid.predict(bare, model).collect()} == {1: (False, False), 2: (False, False), 3: (False, False), 4: (True, True)}
+    assert [r.doc_id for r in langid.identified(bare, model).collect() if r.doc_id < 4] == []
 
 
 def test_the_probability_decides_on_long_texts_and_allows_for_short_ones():

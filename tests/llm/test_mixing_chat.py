@@ -55,6 +55,9 @@ TURNS = [(0, 0, "user", "hi"), (0, 1, "assistant", "one"), (0, 2, "user", "more"
 TURNS += [(20, i, ("user", "assistant")[i % 2], f"turn {i} " * 30) for i in range(400)]
 
 
+TURNS += [(c, i, ("user", "assistant")[i % 2], f"{c // 2 if i < 5 else c} {i}") for c in range(30, 50) for i in range(c % 7 + 1)]
+
+
 def test_preference_pairs_equal_sql(spark):
     df = spark.createDataFrame([(*t, "x") for t in TURNS], "conv_id long, turn long, role string, text string, pair_id string")
     got = chat.format_preferences(chat.neighbour_pairs(df))
@@ -62,7 +65,9 @@ def test_preference_pairs_equal_sql(spark):
     con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
     con.executemany("insert into conversations values (?, ?, ?, ?)", TURNS)
     want = con.execute(chat.SQL).fetchall()
-    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
+    rows = got.collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in rows)
+    assert {r.pair_id for r in rows} == {c for c, *_ in TURNS if c is not None} and len({r.prompt_turns for r in rows}) > 2
     plan = got._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
     assert chat.format_preferences(chat.neighbour_pairs(df.limit(0))).collect() == []
