@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from renewlens import config
 from renewlens.functions.bands import band_below
+from renewlens.sources.sinks import store
 
 
 def risk_band(p) -> F.Column:
@@ -37,7 +38,7 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def train_baseline(df: DataFrame, features: Sequence[str], label: str = "label", folds: int = 5, seed: int = 7,
-                   key: str = "period_id", max_iter: int = 50):
+                   key: str = "period_id", max_iter: int = 200):
     """Logistic regression with k-fold cross-validation over the regularisation grid.
 
     A row's fold is a hash of its ``key``, so it stays in it when a task is repeated.
@@ -48,25 +49,74 @@ def train_baseline(df: DataFrame, features: Sequence[str], label: str = "label",
 
     fold = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(folds)).cast("int").alias("fold")
     data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"), fold)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, tol=1e-8)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
                         numFolds=folds, foldCol="fold", seed=seed, parallelism=4)
     return cv.fit(data).bestModel
 
 
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """How many rounds of an ensemble to keep, and whether that is settled: the first round with the least loss before
+    ``patience`` rounds in a row bring none lower.  Not settled if the losses end before that."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
 def train_trees(df: DataFrame, features: Sequence[str], label: str = "label", max_depth: int = 6,
                 step_size: float = 0.01, max_iter: int = 500, validation_fraction: float = 0.2, seed: int = 7,
-                key: str = "period_id"):
-    """Gradient-boosted trees (depth 6, learning rate 0.01, 500 rounds) with early stopping on a
-    held-out validation split (MLlib stops when validation loss stops improving by validationTol)."""
+                key: str = "period_id", patience: int = 50):
+    """Gradient-boosted trees, as many rounds as the validation part asks for: (model, losses by round).
+
+    The validation part (a hash of ``key``, stored) is never fitted on.  After a fit its loss is taken after each round;
+    rounds are added, twice as many each time and ``max_iter`` at most, until ``patience`` of them in a row
+    bring no lower loss.  The model is the prefix of the ensemble with the least loss, fitted anew with that many
+    rounds: rounds depend on those before them alone.  Without validation rows all rounds are kept.
+    """
     from pyspark.ml.classification import GBTClassifier
 
     held = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1000)) < validation_fraction * 1000
-    data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"), held.alias("is_val"))
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=max_depth, stepSize=step_size,
-                        maxIter=max_iter, validationIndicatorCol="is_val", seed=seed)
-    return gbt.fit(data)
+    data = store(assemble(df, features).select("features", F.col(label).cast("double").alias("label"), held.alias("is_val")), "trees")
+    fitted, checked = data.filter("not is_val").drop("is_val"), data.filter("is_val").drop("is_val")
+
+    def fit(rounds: int):
+        return GBTClassifier(featuresCol="features", labelCol="label", maxDepth=max_depth, stepSize=step_size, maxIter=rounds, seed=seed,
+                             maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=20).fit(fitted)
+
+    if checked.isEmpty():
+        return fit(max_iter), []
+    rounds = min(max_iter, 2 * patience)
+    while True:
+        model = fit(rounds)
+        losses = model.evaluateEachIteration(checked)
+        best, settled = best_round(losses, patience)
+        if settled or rounds == max_iter:
+            break
+        rounds = min(max_iter, 2 * rounds)
+    return (model if best == rounds else fit(best)), losses
+
+
+def save_model(model, path: str, version: str) -> None:
+    """Save a fitted model under a version (written once) and publish the version."""
+    from pyspark.sql import SparkSession
+
+    model.write().save(f"{path}/version={version}")
+    done = SparkSession.active().createDataFrame([(version,)], "version string").coalesce(1)
+    done.write.mode("append").parquet(f"{path}/_versions")
+
+
+def load_model(spark, path: str, kind, version: str | None = None):
+    """The model of ``kind`` (a model class of MLlib) saved under ``version``, or the newest one completed."""
+    if version is None:
+        version = spark.read.schema("version string").parquet(f"{path}/_versions").agg(F.max("version")).first()[0]
+        if version is None:
+            raise ValueError(f"no model under {path}")
+    return kind.load(f"{path}/version={version}")
 
 
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
@@ -74,17 +124,30 @@ def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
 
 
+def logistic_gradient(model, df: DataFrame, features: Sequence[str], label: str, reg: float) -> dict[str, float]:
+    """Gradient of the fitted objective (mean log loss and the penalty on standardised coefficients), per coefficient:
+    all zero at the optimum, and only there."""
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(assemble(df, features))
+    off = vector_to_array(F.col("probability"))[1] - F.col(label).cast("double")
+    row = scored.agg(F.avg(off).alias("intercept"), *(F.avg(off * F.col(f)).alias(f"g_{f}") for f in features),
+                     *(F.var_samp(f).alias(f"v_{f}") for f in features)).first()
+    out = {f: row[f"g_{f}"] + reg * float(c) * row[f"v_{f}"] for f, c in zip(features, model.coefficients)}
+    return out | {"intercept": row["intercept"]}
+
+
 def survival_training_frame(intervals: DataFrame) -> DataFrame:
     """Pooled discrete-time hazard rows: one row per (period, week), event at the last week."""
     return intervals.withColumn("label", F.col("event").cast("double"))
 
 
-def train_survival(intervals: DataFrame, features: Sequence[str], reg: float = 0.1, max_iter: int = 50):
+def train_survival(intervals: DataFrame, features: Sequence[str], reg: float = 0.1, max_iter: int = 200):
     """Pooled logistic hazard (discrete-time survival) with L2 penalty ``reg``; Cox PH is not in MLlib."""
     from pyspark.ml.classification import LogisticRegression
 
     data = assemble(survival_training_frame(intervals), features)
-    return LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter).fit(data)
+    return LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter, tol=1e-8).fit(data)
 
 
 def train_aft(spells: DataFrame, features: Sequence[str], duration: str, event: str, max_iter: int = 200):

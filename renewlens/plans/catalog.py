@@ -13,16 +13,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
-
-
 def tables_for(spark: SparkSession, sf_dir: str) -> Tables:
-    """One ``Tables`` (and its lazily built adapters) per session and folder."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    t = _TABLES.get(key)
-    if t is None:
-        t = _TABLES[key] = Tables(spark, sf_dir)
-    return t
+    """One ``Tables`` (and its lazily built adapters) per folder, kept on the session: it goes with it."""
+    kept = vars(spark).setdefault("_renewlens_tables", {})
+    key = sf_dir.rstrip("/")
+    if key not in kept:
+        kept[key] = Tables(spark, sf_dir)
+    return kept[key]
 
 
 def register(name: str, sql: str | None = None):

@@ -77,22 +77,25 @@ def renewal_fields(df: DataFrame) -> DataFrame:
 
 
 def paid_periods_with_facility(periods: DataFrame, plans: DataFrame, members: DataFrame, facilities: DataFrame,
-                               rules: DataFrame, paid: Sequence[str]) -> DataFrame:
+                               rules: DataFrame, paid: Sequence[str], spread_null_members: bool = True) -> DataFrame:
     fac = facilities.groupBy("facility_id").agg(F.min("name").alias("name"))
     p = periods.join(paid_plans(plans, paid), "plan_id")
     p = p.join(fac.withColumnRenamed("name", "p_fac"), "facility_id", "left")
+    home = members.select("user_id", F.col("facility_id").alias("m_fid"))
     # a member with many periods is left to AQE; periods without a member are spread
-    p = (left_join(p, members.select("user_id", F.col("facility_id").alias("m_fid")), "user_id", ["period_id"])
-         .join(fac.select(F.col("facility_id").alias("m_fid"), F.col("name").alias("m_fac")), "m_fid", "left"))
+    p = left_join(p, home, "user_id", ["period_id"]) if spread_null_members else p.join(home, "user_id", "left")
+    p = (p.join(fac.select(F.col("facility_id").alias("m_fid"), F.col("name").alias("m_fac")), "m_fid", "left"))
     p = p.withColumn("fac_name", F.coalesce("p_fac", "m_fac"))
     return correct_facility(p, "fac_name", "start_date", rules, "facility_corr")
 
 
 def period_mart(periods: DataFrame, plans: DataFrame, freezes: DataFrame, members: DataFrame,
-                facilities: DataFrame, rules: DataFrame, paid: Sequence[str], merge_overlaps: bool = False) -> DataFrame:
+                facilities: DataFrame, rules: DataFrame, paid: Sequence[str], merge_overlaps: bool = False,
+                spread_null_members: bool = True) -> DataFrame:
     """One row per paid period.  ``merge_overlaps`` counts each frozen day of the period once; else the lengths of
-    its freezes are added up, as they are."""
-    p = paid_periods_with_facility(periods, plans, members, facilities, rules, paid)
+    its freezes are added up, as they are.  Without ``spread_null_members`` periods and members join on the
+    member alone, which tables bucketed by it do without an exchange."""
+    p = paid_periods_with_facility(periods, plans, members, facilities, rules, paid, spread_null_members)
     frozen = freeze_days_merged(freezes, periods) if merge_overlaps else freeze_days(freezes)
     p = (p.join(frozen, ["user_id", "period_id"], "left")
          .withColumn("freeze_days", F.coalesce("freeze_days", F.lit(0))))

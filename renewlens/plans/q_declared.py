@@ -3,6 +3,7 @@ calibration, risk bands and model training / scoring."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from renewlens.plans.catalog import register
 from renewlens.session import scratch_path
 from renewlens.plans.oracle import with_adapters
 from renewlens.plans.q_periods import MART_WITH, mart
+from renewlens.sources.snapshots import version
 
 ALPHA = 0.3      # EWMA smoothing (a parameter; the docs name EWMA without a value)
 AS_OF = config.ACTIVITY_AS_OF
@@ -315,38 +317,81 @@ FEATURES = ["length_days", "freeze_days", "start_month"]
 
 def _period_features(t):
     """Features and label (null while its window is open) of every paid period, from one mart, written once."""
-    m = mart(t)
-    f = m.select("period_id", "user_id", F.col("length_days").cast("double").alias("length_days"),
-                 F.col("freeze_days").cast("double").alias("freeze_days"),
-                 F.month("start_date").cast("double").alias("start_month"),
-                 P.renewed_within(config.PERIOD_AS_OF, 30).alias("label"))
-    path = scratch_path(t.spark, "training", uuid.uuid4().hex)
-    f.write.parquet(path)
-    return t.spark.read.schema(f.schema).parquet(path)
+    kind = "period_id long, user_id long, length_days double, freeze_days double, start_month double, label boolean"
+    if "training" not in t.saved:
+        m = mart(t)
+        f = m.select("period_id", "user_id", F.col("length_days").cast("double").alias("length_days"),
+                     F.col("freeze_days").cast("double").alias("freeze_days"),
+                     F.month("start_date").cast("double").alias("start_month"),
+                     P.renewed_within(config.PERIOD_AS_OF, 30).alias("label"))
+        path = scratch_path(t.spark, "training", uuid.uuid4().hex)
+        f.write.parquet(path)
+        t.saved["training"] = path
+    return t.spark.read.schema(kind).parquet(t.saved["training"])
+
+
+def _saved(t, name: str, kind, fit):
+    """The model ``name`` of these tables: fitted and saved by the first query that asks, loaded by all."""
+    if name not in t.saved:
+        path = scratch_path(t.spark, "models", name, uuid.uuid4().hex)
+        S.save_model(fit(), path, version())
+        t.saved[name] = path
+    return S.load_model(t.spark, t.saved[name], kind)
+
+
+def _baseline(t):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    return _saved(t, "baseline", LogisticRegressionModel,
+                  lambda: S.train_baseline(_period_features(t).filter("label is not null"), FEATURES, "label", key="period_id"))
+
+
+def _trees(t):
+    """The boosted trees, and their losses by round on the validation part."""
+    from pyspark.ml.classification import GBTClassificationModel
+
+    def fit():
+        model, losses = S.train_trees(_period_features(t).filter("label is not null"), FEATURES, "label", key="period_id")
+        t.saved["losses"] = json.dumps(list(losses))
+        return model
+
+    return _saved(t, "trees", GBTClassificationModel, fit), json.loads(t.saved["losses"])
+
+
+def _hazard(t):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    return _saved(t, "hazard", LogisticRegressionModel, lambda: S.train_survival(_intervals(t), ["week_index"], reg=0.1))
+
+
+def _intervals(t):
+    if "intervals" not in t.saved:
+        iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).select(F.col("week_index").cast("double").alias("week_index"), "event")
+        path = scratch_path(t.spark, "training", uuid.uuid4().hex)
+        iv.write.parquet(path)
+        t.saved["intervals"] = path
+    return t.spark.read.schema("week_index double, event boolean").parquet(t.saved["intervals"])
 
 
 @register("train_baseline")
 def train_baseline(t):
     """Logistic regression, 5-fold CV, on renewal labels; returns the coefficient table."""
-    feats = FEATURES
-    model = S.train_baseline(_period_features(t).filter("label is not null"), feats, "label", key="period_id")
+    model = _baseline(t)
     coef = model.coefficients.toArray().tolist()
-    return t.spark.createDataFrame([(f, float(c)) for f, c in zip(feats, coef)] + [("intercept", model.intercept)],
+    return t.spark.createDataFrame([(f, float(c)) for f, c in zip(FEATURES, coef)] + [("intercept", model.intercept)],
                                    "feature string, coefficient double")
 
 
 @register("train_trees")
 def train_trees(t):
-    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping); returns feature importances."""
-    model = S.train_trees(_period_features(t).filter("label is not null"), FEATURES, "label", key="period_id")
-    return S.feature_importance(model, FEATURES, t.spark)
+    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, patience 50); returns feature importances."""
+    return S.feature_importance(_trees(t)[0], FEATURES, t.spark)
 
 
 @register("train_survival")
 def train_survival(t):
     """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals; coefficient table."""
-    iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).withColumn("week_index", F.col("week_index").cast("double"))
-    model = S.train_survival(iv, ["week_index"], reg=0.1)
+    model = _hazard(t)
     return t.spark.createDataFrame([("week_index", float(model.coefficients[0])), ("intercept", model.intercept)],
                                    "feature string, coefficient double")
 
@@ -381,15 +426,15 @@ def _residual(scored, label):
 def train_baseline_fit(t):
     """Logistic regression, 5-fold CV, on renewal labels: rows, positives, residual of the intercept's condition."""
     df = _period_features(t).filter("label is not null")
-    model = S.train_baseline(df, FEATURES, "label", key="period_id")
+    model = _baseline(t)
     return _residual(model.transform(S.assemble(df, FEATURES)), F.col("label").cast("double"))
 
 
 @register("train_trees_fit", LABELLED_SQL + f"SELECT {COUNTS}, 1.0::DOUBLE AS importance FROM lab WHERE label IS NOT NULL")
 def train_trees_fit(t):
-    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, early stopping): rows, positives, sum of importances."""
+    """Boosted trees (depth 6, lr 0.01, up to 500 rounds, patience 50): rows, positives, sum of importances."""
     df = _period_features(t).filter("label is not null")
-    model = S.train_trees(df, FEATURES, "label", key="period_id")
+    model, _ = _trees(t)
     total = round(float(model.featureImportances.toArray().sum()), 6)
     return df.agg(*_counts(F.col("label")), F.lit(total).alias("importance"))
 
@@ -397,14 +442,46 @@ def train_trees_fit(t):
 @register("train_survival_fit", SPELL_SQL + "SELECT sum(weeks)::BIGINT AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
 def train_survival_fit(t):
     """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals: rows, events, residual."""
-    iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).select(F.col("week_index").cast("double").alias("week_index"), "event")
-    path = scratch_path(t.spark, "training", uuid.uuid4().hex)
-    iv.write.parquet(path)
-    iv = t.spark.read.schema(iv.schema).parquet(path)
-    model = S.train_survival(iv, ["week_index"], reg=0.1)
+    iv, model = _intervals(t), _hazard(t)
     return _residual(model.transform(S.assemble(iv, ["week_index"])), F.col("event").cast("double"))
 
 
+def _gradient_sql(source: str, rows: str, positives: str, features) -> str:
+    """A row a coefficient: its gradient is zero."""
+    names = ", ".join(f"('{f}')" for f in [*features, "intercept"])
+    return f"{source} SELECT n.feature, 0.0::DOUBLE AS gradient, {rows} AS rows, {positives} AS positives FROM {{}}, (VALUES {names}) n(feature) {{}} GROUP BY n.feature"
+
+
+def _gradient_rows(t, df, model, features, label, reg):
+    g = S.logistic_gradient(model, df, features, label, reg)
+    n = df.agg(F.count("*"), F.count_if(F.col(label))).first()
+    return t.spark.createDataFrame([(f, abs(round(v, 5)), *n) for f, v in g.items()], "feature string, gradient double, rows long, positives long")
+
+
+@register("train_baseline_gradient", _gradient_sql(LABELLED_SQL, "count(*)", "count(*) FILTER (label)", FEATURES).format("lab", "WHERE label IS NOT NULL"))
+def train_baseline_gradient(t):
+    """Every component of the logistic regression's gradient at the fitted coefficients: zero at the optimum only."""
+    model = _baseline(t)
+    return _gradient_rows(t, _period_features(t).filter("label is not null"), model, FEATURES, "label", model.getRegParam())
+
+
+@register("train_survival_gradient", _gradient_sql(SPELL_SQL, "sum(weeks)::BIGINT", "count(*) FILTER (churned)", ["week_index"]).format("spell", ""))
+def train_survival_gradient(t):
+    """Every component of the pooled hazard's gradient at the fitted coefficients."""
+    return _gradient_rows(t, _intervals(t), _hazard(t), ["week_index"], "event", 0.1)
+
+
+@register("train_trees_patience", LABELLED_SQL + """SELECT count(*) AS rows, true AS least_loss, true AS patient FROM lab WHERE label IS NOT NULL""")
+def train_trees_patience(t):
+    """Rounds of the boosted trees: those kept have the least validation loss of all fitted, and 50 more (or the limit
+    of 500) brought no lower one."""
+    model, losses = _trees(t)
+    kept = model.getNumTrees
+    least = bool(losses) and abs(losses[kept - 1] - min(losses)) < 1e-12
+    patient = len(losses) >= min(500, kept + 50)
+    return _period_features(t).filter("label is not null").agg(F.count("*").alias("rows"), F.lit(least).alias("least_loss"), F.lit(patient).alias("patient"))
+
+
 @register("train_aft_fit", SPELL_SQL + "SELECT count(*) AS rows, count(*) FILTER (churned) AS positives, 0.0::DOUBLE AS residual FROM spell")
 def train_aft_fit(t):
     """Accelerated failure time (Weibull) on weeks held by season of the start: rows, events, residual of the intercept."""
@@ -420,14 +497,12 @@ def train_aft_fit(t):
 
 
 def _scores(t):
-    df = _period_features(t)
-    model = S.train_baseline(df.filter("label is not null"), FEATURES, "label", key="period_id")
-    return S.batch_score(model, df, FEATURES, "period_id", config.PERIOD_AS_OF)
+    return S.batch_score(_baseline(t), _period_features(t), FEATURES, "period_id", config.PERIOD_AS_OF)
 
 
 @register("batch_score")
 def batch_score(t):
-    """Score every paid period, open ones included, with the model fitted on the labelled ones;
+    """Score every paid period, open ones included, with the saved model fitted on the labelled ones;
     probability, band, score date."""
     return _scores(t)
 

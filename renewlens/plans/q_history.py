@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from renewlens.config import DRIVER_CONFIG as CFG
+from renewlens.operators import norm_state as N
+from renewlens.operators import weekly as W
 from renewlens.operators.asof import asof_join
 from renewlens.operators.intervals import merged_intervals
 from renewlens.plans import periods as P
 from renewlens.plans.catalog import register
 from renewlens.plans.oracle import with_adapters
+from renewlens.plans.q_declared import ALPHA, EWMA_CTES
 from renewlens.plans.q_periods import MART_WITH, mart
+from renewlens.session import scratch_path
+from renewlens.sources.partitioned import read_table, upsert_partitions, write_bucketed
+from renewlens.sources.sinks import store
+from renewlens.sources.tables import scan_between
 
 
 @register("activity_period", MART_WITH + """
@@ -59,3 +70,87 @@ FROM mart m LEFT JOIN days d ON d.user_id = m.user_id AND d.period_id = m.period
 def period_mart_merged(t):
     """The period mart with each frozen day of a period counted once."""
     return mart(t, merge_overlaps=True).select("period_id", "user_id", "freeze_days", "end_corrected", "next_start")
+
+
+NORMS = StructType().add("user_id", "long").add("sessions", "double").add("sessions_ewma", "double").add("week", "date")
+
+
+@register("ewma_norm_incremental", EWMA_CTES + "SELECT user_id, week, CAST(sessions AS DOUBLE) AS sessions, round(ewma, 6) AS sessions_ewma FROM e")
+def ewma_norm_incremental(t):
+    """Norms kept by state: three runs, each of what arrived since the last (some of it for weeks long past), equal one run
+    over all activity."""
+    a = t.adapters.activity
+    late = F.col("activity_id") % 11 == 0
+    batches = [a.filter("ts < timestamp_ntz'2024-01-12'").filter(~late),
+               a.filter("ts >= timestamp_ntz'2024-01-12' and ts < timestamp_ntz'2024-01-20'"),
+               a.filter("ts >= timestamp_ntz'2024-01-20'").unionByName(a.filter("ts < timestamp_ntz'2024-01-12'").filter(late))]
+    path = scratch_path(t.spark, "norms", uuid.uuid4().hex)
+    state = t.spark.createDataFrame([], N.STATE)
+    for i, batch in enumerate(batches):
+        arrived = batch.groupBy("user_id", W.week_start("ts").alias("week")).agg(F.count("*").alias("sessions"))
+        norms = read_table(t.spark, path, NORMS, "week")
+        state, changed = N.advance(state, norms, arrived, "sessions", ALPHA)
+        state = store(state, "norm-state")
+        upsert_partitions(store(changed.select(*NORMS.fieldNames()), "norm-changes"), path, ["user_id", "week"], "week", f"{i:04d}")
+    return read_table(t.spark, path, NORMS, "week").withColumn("sessions_ewma", F.round("sessions_ewma", 6))
+
+
+PERIODS = StructType().add("period_id", "long").add("user_id", "long").add("plan_id", "string").add("end_date", "date").add("year", "integer")
+
+
+@register("upsert_partitioned", with_adapters("periods") + """
+, old AS (SELECT period_id, user_id, plan_id, end_date, year(start_date) AS year FROM periods WHERE period_id % 3 <> 0),
+new AS (SELECT period_id, user_id, 'changed' AS plan_id, end_date + 1 AS end_date, year(start_date) AS year FROM periods
+        WHERE year(start_date) = (SELECT max(year(start_date)) FROM periods) AND period_id % 2 = 0)
+SELECT COALESCE(o.period_id, n.period_id) AS period_id, COALESCE(o.user_id, n.user_id) AS user_id,
+       COALESCE(n.plan_id, o.plan_id) AS plan_id, COALESCE(o.end_date, n.end_date) AS end_date, CAST(COALESCE(o.year, n.year) AS INTEGER) AS year
+FROM old o FULL JOIN new n ON n.period_id = o.period_id AND n.year = o.year""")
+def upsert_partitioned(t):
+    """Copy-on-write upsert: periods by year, the last year's rewritten, the others carried over by the manifest."""
+    path = scratch_path(t.spark, "periods", uuid.uuid4().hex)
+    p = t.adapters.periods.withColumn("year", F.year("start_date"))
+    cols = PERIODS.fieldNames()
+    upsert_partitions(p.filter("period_id % 3 <> 0").select(*cols), path, ["period_id", "year"], "year", "0001")
+    last = p.agg(F.max("year")).scalar()
+    changed = (p.filter((F.col("year") == last) & (F.col("period_id") % 2 == 0))
+               .withColumn("plan_id", F.lit("changed")).withColumn("end_date", F.date_add("end_date", 1)).select(*cols))
+    upsert_partitions(store(changed, "changed"), path, ["period_id", "year"], "year", "0002", update_cols=["plan_id"])
+    return read_table(t.spark, path, PERIODS, "year")
+
+
+#: Buckets of the laid-out tables; a cluster takes some thousands, the same for all tables of a member.
+BUCKETS = 8
+
+
+def _laid_out(t, name: str, df, by=("user_id",), partition_by=()):
+    """``df`` as a bucketed table of this session, written by the first query that asks."""
+    key = f"table {name}"
+    if key not in t.saved:
+        tag = uuid.uuid4().hex
+        write_bucketed(df, f"renewlens_{name}_{tag}", scratch_path(t.spark, "tables", name, tag), BUCKETS, by, partition_by)
+        t.saved[key] = f"renewlens_{name}_{tag}"
+    return t.spark.table(t.saved[key])
+
+
+@register("scan_sessions_partitioned", with_adapters("activity") + """
+SELECT activity_id, user_id, ts, CAST(ts AS DATE) AS day FROM activity WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
+  AND event_type = 'purchase'""")
+def scan_sessions_partitioned(t):
+    """Activity laid out by day and bucketed by member: a range of days lists their folders only."""
+    a = t.adapters.activity
+    laid = _laid_out(t, "activity", a.withColumn("day", F.to_date("ts")), partition_by=["day"])
+    days = scan_between(laid, "day", F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"), where=F.col("event_type") == "purchase")
+    return days.select("activity_id", "user_id", "ts", "day")
+
+
+@register("period_mart_bucketed", MART_WITH + "SELECT * FROM mart")
+def period_mart_bucketed(t):
+    """The period mart over tables bucketed by member: its joins on the member need no exchange."""
+    return bucketed_mart(t)
+
+
+def bucketed_mart(t):
+    a = t.adapters
+    plans = F.broadcast(a.plans)    # five rows, by construction
+    return P.period_mart(_laid_out(t, "periods", a.periods), plans, _laid_out(t, "freezes", a.freezes), _laid_out(t, "members", a.members),
+                         a.facilities, P.rules_table(t.spark, CFG.facility_rules), CFG.paid_plans, spread_null_members=False)

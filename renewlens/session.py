@@ -15,10 +15,12 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "renewlens") -> SparkSession:
+    folder = tempfile.mkdtemp(prefix="renewlens-warehouse-")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", f"file://{folder}")
         .config("spark.ui.showConsoleProgress", "false")
         # batch runs: skip per-call Python stack capture used only for error context
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

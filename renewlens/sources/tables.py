@@ -69,28 +69,23 @@ def scan_between(df: DataFrame, date_col: str, lo=None, hi=None, where: Column |
     return df.filter(cond)
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
-
-
 class Tables:
     """Lazy handles on the driver parquet tables of one scale-factor folder.
 
-    A table's DataFrame (file listing + footer schema) is created once per session
-    and path; it stays lazy, so every query still plans its own pruned scan.
+    A table's DataFrame (file listing + footer schema) is created once; it stays lazy, so every
+    query still plans its own pruned scan.  ``saved`` names what was written for these tables (models, training rows).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.saved: dict[str, str] = {}
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        key = (id(self.spark), path)
-        df = _READ_CACHE.get(key)
-        if df is None:
-            df = self.spark.read.parquet(path)
-            _READ_CACHE[key] = df
-        return df
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:

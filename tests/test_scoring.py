@@ -26,3 +26,64 @@ def test_survival_and_trees(spark):
     assert set(surv) == {"week_index", "intercept"}
     imp = q["train_trees"](spark, SF001).collect()
     assert len(imp) == 3 and abs(sum(r.importance for r in imp) - 1.0) < 1e-6 or sum(r.importance for r in imp) == 0
+
+
+def test_scores_are_the_saved_coefficients_on_the_features(spark):
+    """What SQL would compute from the coefficients in the row."""
+    import duckdb
+
+    q = E.queries()
+    coef = {r.feature: r.coefficient for r in q["train_baseline"](spark, SF001).collect()}
+    scores = q["batch_score"](spark, SF001).toPandas()  # noqa: F841 - read by DuckDB
+    from renewlens.plans.catalog import tables_for
+    from renewlens.plans.q_declared import _period_features
+
+    rows = _period_features(tables_for(spark, SF001)).toPandas()  # noqa: F841 - read by DuckDB
+    off = duckdb.sql(f"""select count(*), max(abs(probability - 1 / (1 + exp(-({coef['intercept']} + {coef['length_days']} * length_days
+                         + {coef['freeze_days']} * freeze_days + {coef['start_month']} * start_month))))) from rows join scores using (period_id)""").fetchall()[0]
+    assert off[0] == len(rows) == len(scores) and off[1] < 1e-9
+
+
+def test_best_round_and_patience():
+    from renewlens.operators.scoring import best_round
+
+    assert best_round([3, 2, 1, 2, 2, 2], 3) == (3, True)
+    assert best_round([3, 2, 1, 2, 2], 3) == (3, False)
+    assert best_round([3, 2, 2.5, 2.5, 1, 4, 4, 4], 3) == (5, True)
+    assert best_round([3, 2, 2.5, 2.5, 2.5, 1], 3) == (2, True)    # a later minimum is beyond the patience
+    assert best_round([1], 3) == (1, False)
+
+
+def test_trees_keep_the_best_prefix(spark):
+    """Labels that the validation part contradicts: more rounds fit them better and lose on it."""
+    from pyspark.ml.classification import GBTClassifier
+
+    from renewlens.operators import scoring as S
+
+    df = (spark.range(600).withColumn("x", F.col("id") % 37).withColumn("y", F.xxhash64("id") % 11)
+          .withColumn("label", (F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(5)) < F.when(F.col("x") < 18, 3).otherwise(2))))
+    df = df.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "label")
+    model, losses = S.train_trees(df, ["x", "y"], max_depth=3, step_size=0.5, max_iter=40, patience=5, key="id")
+    best, settled = S.best_round(losses, 5)
+    assert settled and model.getNumTrees == best < len(losses) and losses[best - 1] == min(losses[: best + 5])
+    # fewer rounds are a prefix of more
+    data = S.assemble(df, ["x", "y"]).select("features", F.col("label").cast("double").alias("label"))
+    few, more = (GBTClassifier(maxIter=n, maxDepth=3, stepSize=0.5, seed=7).fit(data) for n in (3, 6))
+    assert few.evaluateEachIteration(data) == more.evaluateEachIteration(data)[:3]
+
+
+def test_models_are_loaded_by_version(spark, tmp_path):
+    import pytest
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from renewlens.operators import scoring as S
+
+    df = spark.range(100).select("id", (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 > F.col("id") % 7).alias("label"))
+    path = f"file://{tmp_path}/m"
+    models = [S.train_survival(df.withColumnRenamed("label", "event"), ["x"], reg=r) for r in (0.1, 0.5)]
+    for v, m in zip(("20240101_000000", "20240201_000000"), models):
+        S.save_model(m, path, v)
+    assert S.load_model(spark, path, LogisticRegressionModel).coefficients == models[1].coefficients
+    assert S.load_model(spark, path, LogisticRegressionModel, "20240101_000000").coefficients == models[0].coefficients
+    with pytest.raises(Exception):
+        S.save_model(models[0], path, "20240101_000000")
