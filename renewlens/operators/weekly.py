@@ -124,6 +124,24 @@ def usage_deltas(facts: DataFrame, metrics: Sequence[str] = ("sessions", "booked
     return out
 
 
+#: Usage factors, by the metric of a usage row.
+USAGE = ("time_in_app", "steps", "assessment_frequency", "hrm_usage", "weight_entries")
+
+
+def usage_factors(usage: DataFrame, metrics: Sequence[str] = USAGE) -> DataFrame:
+    """user_id, week and, per metric, its weekly amount minus the member's mean of all earlier weeks.
+
+    usage: user_id, ts, metric, amount.  Weeks run from a member's first to its last usage of any metric; a week without a
+    metric counts as 0; the first week has no norm.  Rows with a null member aren't used.
+    """
+    sums = [F.coalesce(F.sum(F.when(F.col("metric") == m, F.col("amount"))), F.lit(0.0)).alias(m) for m in metrics]
+    weekly = usage.filter(F.col("user_id").isNotNull()).groupBy("user_id", week_start("ts").alias("week")).agg(*sums)
+    ends = weekly.groupBy("user_id").agg(F.min("week").alias("w0"), F.max("week").alias("w1"))
+    spine = ends.select("user_id", F.explode(F.sequence("w0", "w1", F.expr("INTERVAL 7 DAYS"))).alias("week"))
+    full = spine.join(weekly, ["user_id", "week"], "left").fillna({m: 0.0 for m in metrics})
+    return full.select("user_id", "week", *((F.col(m) - F.avg(m).over(_prev_frame())).alias(f"{m}_delta") for m in metrics))
+
+
 #: Clock time as a direction: one turn a day.
 _TURN = 2 * math.pi / 24
 #: Directions that cancel out to less than this share of their number have no mean.

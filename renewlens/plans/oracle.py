@@ -124,6 +124,12 @@ member_locations AS (
     "activity": """
 activity AS (
   SELECT event_id AS activity_id, user_id, ts, event_type, value, event_id % 7 AS trainer_id FROM events)""",
+    "usage": """
+usage AS (
+  SELECT user_id, ts, CASE event_type WHEN 'view' THEN 'time_in_app' WHEN 'click' THEN 'steps' WHEN 'signup' THEN 'assessment_frequency'
+                                      WHEN 'purchase' THEN 'hrm_usage' ELSE 'weight_entries' END AS metric,
+         CAST(CASE event_type WHEN 'view' THEN event_id % 90 WHEN 'click' THEN 10 * (event_id % 997) ELSE 1 END AS DOUBLE) AS amount
+  FROM events)""",
     "scores": """
 scores AS (
   SELECT c_custkey AS user_id, CAST(c_custkey % 101 AS DOUBLE) / 100 AS probability,

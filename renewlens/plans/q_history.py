@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from renewlens.config import DRIVER_CONFIG as CFG
 from renewlens.operators import norm_state as N
+from renewlens.operators import sketches as K
 from renewlens.operators import weekly as W
 from renewlens.operators.asof import asof_join
 from renewlens.operators.intervals import merged_intervals
@@ -18,6 +19,7 @@ from renewlens.plans.oracle import with_adapters
 from renewlens.plans.q_declared import ALPHA, EWMA_CTES
 from renewlens.plans.q_periods import MART_WITH, mart
 from renewlens.session import scratch_path
+from renewlens.sources.documents import document_profile
 from renewlens.sources.partitioned import read_table, upsert_partitions, write_bucketed
 from renewlens.sources.sinks import store
 from renewlens.sources.tables import scan_between
@@ -154,3 +156,87 @@ def bucketed_mart(t):
     plans = F.broadcast(a.plans)    # five rows, by construction
     return P.period_mart(_laid_out(t, "periods", a.periods), plans, _laid_out(t, "freezes", a.freezes), _laid_out(t, "members", a.members),
                          a.facilities, P.rules_table(t.spark, CFG.facility_rules), CFG.paid_plans, spread_null_members=False)
+
+
+_NODES = """
+m AS (SELECT c_custkey AS k, c_name, c_mktsegment, c_custkey % 97 <> 0 AND c_custkey % 89 <> 0 AS ok FROM customer),
+n(k, path, type, value, place) AS (
+  SELECT k, '$', CASE WHEN k % 97 = 0 THEN 'missing' WHEN k % 89 = 0 THEN 'invalid' ELSE 'object' END, NULL, 0 FROM m
+  UNION ALL SELECT k, '$.id', 'long', CAST(k AS VARCHAR), 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.name', 'string', c_name, 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.phone', ['long', 'string', 'null'][k % 3 + 1], [CAST(k AS VARCHAR), '+' || k, 'null'][k % 3 + 1], 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.profile', 'object', NULL, 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.profile.segment', 'string', c_mktsegment, 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.profile.scores', 'array', NULL, 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.profile.scores[]', 'long', CAST(k % 7 AS VARCHAR), 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.profile.scores[]', IF(k % 4 = 0, 'string', 'decimal'), IF(k % 4 = 0, 'n/a', k % 11 || '.5'), 1 FROM m WHERE ok
+  UNION ALL SELECT k, '$.groups', IF(k % 5 < 2, 'array', 'null'), 'null', 0 FROM m WHERE ok
+  UNION ALL SELECT k, '$.groups[]', 'object', NULL, i FROM m, range(2) r(i) WHERE ok AND k % 5 = 1
+  UNION ALL SELECT k, '$.groups[].id', 'long', CAST(k + i AS VARCHAR), i FROM m, range(2) r(i) WHERE ok AND k % 5 = 1
+  UNION ALL SELECT k, '$.groups[].role', 'string', 'admin', 0 FROM m WHERE ok AND k % 5 = 1)"""
+
+
+@register("document_profile", "WITH" + _NODES + """
+SELECT path, type, count(DISTINCT k) AS documents, count(*) AS nodes,
+       (SELECT count(DISTINCT type) FROM n o WHERE o.path = n.path AND type NOT IN ('null', 'missing')) > 1 AND type <> 'none' AS mixed,
+       CASE WHEN type NOT IN ('object', 'array', 'missing', 'invalid') THEN array_to_string(list(value ORDER BY k, place)[1:5], ' | ') END AS sample_values
+FROM n GROUP BY path, type""")
+def document_profile_q(t):
+    """Paths of JSON documents at any depth, with the types found there and first values (VARIANT, unnested)."""
+    return document_profile(t.adapters.member_documents, "doc_key", "doc")
+
+
+DRIFT_FEATURES = ("weight", "height", "fat_pct", "bmi")
+
+
+@register("feature_drift_sketch", with_adapters("body_tests") + " UNION ALL ".join(
+    f"""SELECT '{f}' AS feature, count({f}) FILTER (tested_at < TIMESTAMP '2024-01-16 00:00:00') AS baseline_rows,
+    count({f}) FILTER (tested_at >= TIMESTAMP '2024-01-16 00:00:00') AS current_rows, true AS shares_close, true AS psi_close FROM body_tests""" for f in DRIFT_FEATURES))
+def feature_drift_sketch(t):
+    """Drift of four features from stored daily sketches, one scan for all of them: each bin's share lies within the sketches'
+    bound of the rows' own, and the index is that of these shares."""
+    b = t.adapters.body_tests.filter("tested_at is not null").withColumn("day", F.to_date("tested_at"))
+    kept = store(K.feature_sketches(b, "day", DRIFT_FEATURES), "sketches")
+    d = K.sketch_drift(kept, F.col("run") < F.lit("2024-01-16").cast("date"))
+    cuts = d.select("feature", "cuts", "base_shares", "cur_shares", "psi", "baseline_rows", "current_rows")
+    long = b.select((F.col("day") < F.lit("2024-01-16").cast("date")).alias("base"), F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("x")) for f in DRIFT_FEATURES))).alias("f"))
+    bins = long.select("base", "f.*").filter("x is not null").join(F.broadcast(cuts.select("feature", "cuts")), "feature")
+    bins = bins.withColumn("bin", F.size(F.filter("cuts", lambda c: c < F.col("x"))))
+    true = bins.groupBy("feature", "bin").agg(F.count_if("base").alias("nb"), F.count_if(~F.col("base")).alias("nc"))
+    bound = K.share_error()
+    each = true.join(cuts, "feature").withColumns({"pb": F.col("nb") / F.col("baseline_rows"), "pc": F.col("nc") / F.col("current_rows")})
+    off = F.greatest(F.abs(F.col("pb") - F.col("base_shares")[F.col("bin")]), F.abs(F.col("pc") - F.col("cur_shares")[F.col("bin")]))
+    # the index is linear in small changes of the shares: each may be off by the bound
+    psi = F.sum((F.greatest("pc", F.lit(1e-4)) - F.greatest("pb", F.lit(1e-4))) * F.log(F.greatest("pc", F.lit(1e-4)) / F.greatest("pb", F.lit(1e-4))))
+    slack = F.sum(4 * bound * (F.abs(F.log(F.greatest("pc", F.lit(1e-4)) / F.greatest("pb", F.lit(1e-4)))) + F.abs(F.col("pc") - F.col("pb")) / F.greatest("pb", F.lit(1e-4)) + bound / F.greatest("pb", F.lit(1e-4))))
+    return each.groupBy("feature", "baseline_rows", "current_rows").agg(
+        (F.max(off) <= 2 * bound).alias("shares_close"), (F.abs(psi - F.first("psi")) <= slack).alias("psi_close"))
+
+
+@register("distinct_members_by_range", with_adapters("periods") + """
+, month AS (SELECT DISTINCT CAST(date_trunc('month', start_date) AS DATE) AS last_month FROM periods)
+SELECT last_month, (SELECT count(DISTINCT user_id) FROM periods p WHERE p.start_date >= last_month - INTERVAL 2 MONTH
+                      AND p.start_date < last_month + INTERVAL 1 MONTH) AS members, true AS close
+FROM month""")
+def distinct_members_by_range(t):
+    """Members who began a period within three months: exact count, and whether the estimate from monthly sketches is within 3 %."""
+    p = t.adapters.periods.withColumn("month", F.trunc("start_date", "month"))
+    kept = store(K.distinct_sketches(p, F.col("month"), "user_id"), "sketches")
+    estimate = K.distinct_over(kept, 3).withColumnRenamed("members", "estimate")
+    three = F.explode(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.add_months("month", i))).alias("last_period")
+    exact = p.select(three, "user_id").distinct().groupBy("last_period").agg(F.count("user_id").alias("members"))
+    return exact.join(estimate, "last_period").select(
+        F.col("last_period").alias("last_month"), "members", (F.abs(F.col("estimate") - F.col("members")) <= 0.03 * F.col("members")).alias("close"))
+
+
+@register("usage_factors", with_adapters("usage") + """
+, w AS (SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, metric, sum(amount) AS x FROM usage GROUP BY ALL),
+s AS (SELECT user_id, CAST(unnest(generate_series(min(week), max(week), INTERVAL 7 DAY)) AS DATE) AS week FROM w GROUP BY user_id),
+f AS (SELECT s.user_id, s.week, """ + ", ".join(f"COALESCE(sum(x) FILTER (metric = '{m}'), 0) AS {m}" for m in W.USAGE) + """
+      FROM s LEFT JOIN w ON w.user_id = s.user_id AND w.week = s.week GROUP BY ALL)
+SELECT user_id, week, """ + ", ".join(f"round({m} - avg({m}) OVER v, 6) AS {m}_delta" for m in W.USAGE) + """
+FROM f WINDOW v AS (PARTITION BY user_id ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def usage_factors(t):
+    """Time in app, steps, assessments, heart-rate monitor use and weight entries per week against the member's own mean."""
+    u = W.usage_factors(t.adapters.usage)
+    return u.select("user_id", "week", *(F.round(f"{m}_delta", 6).alias(f"{m}_delta") for m in W.USAGE))

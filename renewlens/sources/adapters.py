@@ -226,6 +226,29 @@ class Adapters:
             F.col("event_id").alias("activity_id"), "user_id", "ts", "event_type", "value",
             (F.col("event_id") % 7).alias("trainer_id"))
 
+    @cached_property
+    def usage(self) -> DataFrame:
+        """Use of the app and devices: (member, time, metric, amount)."""
+        kind = F.col("event_type")
+        metric = (F.when(kind == "view", "time_in_app").when(kind == "click", "steps").when(kind == "signup", "assessment_frequency")
+                  .when(kind == "purchase", "hrm_usage").otherwise("weight_entries"))
+        amount = F.when(kind == "view", F.col("event_id") % 90).when(kind == "click", 10 * (F.col("event_id") % 997)).otherwise(1).cast("double")
+        return self.t.events.select("user_id", "ts", metric.alias("metric"), amount.alias("amount"))
+
+    @cached_property
+    def member_documents(self) -> DataFrame:
+        """Members as JSON texts whose fields change type from document to document."""
+        k = F.col("c_custkey")
+        text = lambda c: c.cast("string")
+        quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+        phone = F.when(k % 3 == 0, text(k)).when(k % 3 == 1, quoted(F.concat(F.lit("+"), text(k)))).otherwise("null")
+        score = F.when(k % 4 == 0, F.lit('"n/a"')).otherwise(F.concat(text(k % 11), F.lit(".5")))
+        groups = F.when(k % 5 == 0, "[]").when(k % 5 == 1, F.concat(F.lit('[{"id": '), text(k), F.lit(', "role": "admin"}, {"id": '), text(k + 1), F.lit("}]"))).otherwise("null")
+        whole = F.concat(F.lit('{"id": '), text(k), F.lit(', "name": '), quoted(F.col("c_name")), F.lit(', "phone": '), phone, F.lit(', "profile": {"segment": '),
+                         quoted(F.col("c_mktsegment")), F.lit(', "scores": ['), text(k % 7), F.lit(", "), score, F.lit(']}, "groups": '), groups, F.lit("}"))
+        doc = F.when(k % 97 == 0, F.lit(None)).when(k % 89 == 0, "{broken").otherwise(whole)
+        return self.t.customer.select(k.alias("doc_key"), doc.alias("doc"))
+
     @cached_property
     def scores(self) -> DataFrame:
         k = F.col("c_custkey")
