@@ -1,7 +1,7 @@
 """Quality classifier (operator 2): positive-unlabelled learning with a non-negative risk.
 
 Trusted positives (label 1) and unlabelled texts are all the classifier sees.  With the class
-prior q, the negative risk is estimated as (unlabelled as negative) - q * (positive as
+prior q, estimated from both, the negative risk is estimated as (unlabelled as negative) - q * (positive as
 negative); it can't be below zero, so where the estimate is, the step goes the other way.
 Features are shares and ratios of the whole text, expanded by hinges at their quantiles.
 """
@@ -100,6 +100,27 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
     return model
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray, delta: float = 0.1) -> float:
+    """Share of positives among ``unlabelled``, from it and trusted positives alone.
+
+    A classifier of positives against unlabelled rows is fitted on one half of both; of the other halves, let p and u be
+    the shares with a score above a threshold.  Negatives only raise u, so u / p bounds the prior from above, most
+    tightly where few negatives score as high: the threshold with the least upper confidence bound is
+    taken.  Without rows enough for two halves, 0.5.
+    """
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    rng = np.random.default_rng(11)
+    p, u = (rng.permutation(len(x)) for x in (positive, unlabelled))
+    model = fit_pu(positive[p[::2]], unlabelled[u[::2]], 0.5, steps=300)
+    sp, su = np.sort(model.score(positive[p[1::2]])), np.sort(model.score(unlabelled[u[1::2]]))
+    above_p = 1 - np.searchsorted(sp, sp, "left") / len(sp)
+    above_u = 1 - np.searchsorted(su, sp, "left") / len(su)
+    width = np.sqrt(np.log(4 / delta) / 2) * (1 / np.sqrt(len(sp)) + 1 / np.sqrt(len(su)))
+    best = int(np.argmin((above_u + width) / above_p))
+    return float(min(max(above_u[best] / above_p[best], 0.01), 0.99))
+
+
 def held_out(col: str = "doc_id") -> Column:
     """crc32 of the id mod 3 is 1; false for a null id (which has no label)."""
     return F.coalesce(crc_of_id(col) % 3 == 1, F.lit(False))
@@ -126,25 +147,22 @@ def fit(described_docs: DataFrame, labels: DataFrame, positives: int = 10_000, u
     """Fit on trusted positives and unlabelled rows that aren't held out.
 
     At most about ``positives`` and ``unlabelled`` rows are fitted on, chosen by a hash of the id.
-    ``prior``: the share of positives; estimated from the labels that aren't held out if not given.
-    Labels with a null id or quality teach nothing; an id with several labels is positive if one is 1.
-    None if there is no trusted positive.
+    ``prior``: the share of positives; estimated from these rows if not given (``class_prior``), so labelled
+    negatives are neither needed nor used.  Labels with a null id or quality teach nothing; an id with several
+    labels is positive if one is 1.  None if there is no trusted positive.
     """
     known = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("id_")).agg(F.max("quality").alias("quality"))
              .where(~held_out("id_")))
-    count = known.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(F.col("quality") == 1, 1)), F.lit(0)).alias("ones")).first()
+    count = known.agg(F.coalesce(F.sum(F.when(F.col("quality") == 1, 1)), F.lit(0)).alias("ones")).first()
     if not count["ones"]:
         return None
-    if prior is None:
-        prior = count["ones"] / count["n"]
-    prior = min(max(prior, 0.01), 0.99)
     open_ = described_docs.where("not held_out")
     ids = known.where((F.col("quality") == 1) & hash_below(positives / count["ones"], "id_")).select("id_")
     pos = _matrix(open_.join(ids, open_["doc_id"] == ids["id_"], "left_semi"))
     some = _matrix(open_.where(hash_below(unlabelled / max(1, open_.count()), "doc_id")))
     if not len(pos) or not len(some):
         return None
-    return fit_pu(pos, some, prior)
+    return fit_pu(pos, some, class_prior(pos, some) if prior is None else min(max(prior, 0.01), 0.99))
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:

@@ -28,11 +28,11 @@ DIMS = 1 << BITS
 #: Ids from here on: bins of shares of the text, then one per earlier category's probability.
 SHARES, BINS = DIMS, 10
 EARLIER = SHARES + 4 * BINS
-#: The chain: category and how it follows from a row of ``labels``.
+#: The chain: category and how it follows from a row of ``labels``.  The last one decides, fed by those before it.
 CATEGORIES: tuple[tuple[str, str], ...] = (
-    ("toxic", "toxic = 1"),
     ("toxic_prose", "toxic = 1 and quality = 1"),
     ("toxic_junk", "toxic = 1 and quality = 0"),
+    ("toxic", "toxic = 1"),
 )
 _MASK = DIMS - 1
 _MARKS = string.punctuation + "\u00a1\u00ab\u00bb\u00bf\u2018\u2019\u201c\u201d\u201e\u2026"
@@ -231,11 +231,12 @@ def _score(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.Recor
 
 
 def flagged(chain: Chain, threshold: float) -> Column:
-    return F.col(f"p_{chain.names[0]}") >= threshold
+    """Whether the last link of the chain says so."""
+    return F.col(f"p_{chain.names[-1]}") >= threshold
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
-    """doc_id, a probability p_<category> per category and ``toxic`` (the first one's is ``threshold`` or more) for
+    """doc_id, a probability p_<category> per category and ``toxic`` (the last one's is ``threshold`` or more) for
     every row of ``docs``.  A null text counts as empty; repeated rows give repeated results; other columns aren't
     read; no rows in, none out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -246,9 +247,10 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
 def _kept(batches: Iterator[pa.RecordBatch], chain: Chain, at: int, threshold: float) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(chain)
     for batch in pieces(batches):
-        yield batch.filter(pa.array([scorer(t)[0] < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
+        yield batch.filter(pa.array([scorer(t)[-1] < threshold for t in batch.column(at).to_pylist()], pa.bool_()))
 
 
 def without_toxic(docs: DataFrame, chain: Chain, threshold: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` that aren't toxic, with all their columns."""
+    """Rows of ``docs`` that aren't toxic, with all their columns.  A null text counts as empty; repeated rows stay or
+    go together; no rows in, none out."""
     return docs.mapInArrow(partial(_kept, chain=chain, at=docs.columns.index("text"), threshold=threshold), docs.schema)

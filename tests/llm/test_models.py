@@ -87,6 +87,36 @@ def test_chain_feeds_out_of_fold_probabilities():
     assert [round(p) for p in chain.of(np.array([6]))] == [1, 0] and [round(p) for p in chain.of(np.array([5]))] == [0, 1]
 
 
+def test_the_last_link_decides_with_what_the_earlier_ones_say():
+    """Toxic is one of two kinds, each told by its own feature or by neither but the other link: the first alone is wrong."""
+    rng = np.random.default_rng(3)
+    kind = rng.integers(0, 3, 900)
+    rows = [np.unique([100 + int(k == 0), 200 + int(k == 1), 300 + int(rng.integers(0, 9))]) for k in kind]
+    labels = np.stack([kind == 0, kind == 1, kind < 2], 1).astype(float)
+    chain = toxicity.fit_chain(rows, labels, [c for c, _ in toxicity.CATEGORIES], np.arange(900) % 3)
+    assert chain.names[-1] == "toxic" and {toxicity.EARLIER, toxicity.EARLIER + 1} <= set(chain.models[2].ids.tolist())
+    p = np.array([chain.of(r) for r in rows])
+    assert ((p[:, 0] >= 0.5) != (kind < 2)).mean() > 0.2 and ((p[:, 2] >= 0.5) == (kind < 2)).all()
+    blind = toxicity.Chain(chain.names, [*chain.models[:2], toxicity.Linear(*(lambda m: (m.ids[m.ids < toxicity.EARLIER], m.weights[m.ids < toxicity.EARLIER], m.bias))(chain.models[2]))])
+    assert any(abs(blind.of(r)[2] - chain.of(r)[2]) > 0.05 for r in rows[:50])
+
+
+@pytest.mark.parametrize("prior", [0.25, 0.5, 0.75, 0.9])
+def test_class_prior_without_negatives(prior):
+    rng = np.random.default_rng(int(prior * 100))
+    n, d = 6000, quality.FEATURES
+    ones = int(n * prior)
+    unlabelled = np.concatenate((rng.normal(1, 1, (ones, d)), rng.normal(-1, 1, (n - ones, d))))
+    assert abs(quality.class_prior(rng.normal(1, 1, (3000, d)), unlabelled) - prior) < 0.06
+
+
+def test_labels_may_hold_positives_only(spark, tables):
+    docs, labels, _, known = tables
+    got = {r.doc_id: r for r in quality.score(docs, labels.where("quality = 1")).collect()}
+    held = [(q, got[i].predicted) for i, q, _ in known if i in got and q is not None and got[i].held_out]
+    assert sum(a == b for a, b in held) / len(held) > 0.95
+
+
 def test_language(spark, tables):
     docs, _, rows, _ = tables
     model = langid.fit(docs)
