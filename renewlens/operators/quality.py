@@ -157,11 +157,11 @@ def psi(df: DataFrame, col: str, is_baseline: F.Column, bins: int = 10, eps: flo
     Null where the baseline or the current side has no rows.
     """
     d = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_x"), is_baseline.alias("_base"))
-    base = d.filter("_base").select(F.lit(True).alias("_base"), "_x")
+    base = d.filter("_base").select("_base", "_x")
     cuts = exact_quantiles(base, "_base", "_x", [i / bins for i in range(1, bins)])
     cuts = cuts.agg(F.collect_list("value").alias("cuts")).scalar()
     bin_of = F.array_position(F.sort_array(F.array_append(cuts, F.col("_x"))), F.col("_x"))    # cuts below x, and one
-    counts = d.groupBy(bin_of.alias("bin")).agg(F.sum(F.col("_base").cast("long")).alias("n_base"), F.sum((~F.col("_base")).cast("long")).alias("n_cur"))
+    counts = d.withColumn("bin", bin_of).groupBy("bin").agg(F.sum(F.col("_base").cast("long")).alias("n_base"), F.sum((~F.col("_base")).cast("long")).alias("n_cur"))
     # as many rows as bins
     one = counts.agg(F.sum("n_base").alias("tb"), F.sum("n_cur").alias("tc"), F.sort_array(F.collect_list(F.struct("bin", "n_base", "n_cur"))).alias("each"))
 

@@ -135,16 +135,16 @@ def renewed_within(as_of: date, days: int) -> F.Column:
     return F.when(seen_next <= horizon, True).when(a < horizon, F.lit(None)).otherwise(False)
 
 
-def spells(mart: DataFrame, as_of: date, window_days: int = 30) -> DataFrame:
+def spells(mart: DataFrame, as_of: date, window_days: int = 30, covariates: Sequence[str] = ()) -> DataFrame:
     """Periods begun by ``as_of``: weeks held until min(corrected end, as_of), and whether the member is known
-    not to have renewed within ``window_days``."""
+    not to have renewed within ``window_days``; ``covariates`` of the mart as doubles."""
     a = F.lit(as_of)
     horizon = F.date_add("end_corrected", window_days)
     churned = (horizon <= a) & ~F.coalesce((F.col("next_start") <= horizon) & (F.col("next_start") <= a), F.lit(False))
     weeks = F.floor(F.datediff(F.least(F.col("end_corrected"), a), "start_date") / 7).cast("int") + 1
     return mart.filter(F.col("start_date") <= a).select(
-        "period_id", "user_id", F.month("start_date").cast("double").alias("start_month"), F.col("length_days").cast("double").alias("length_days"),
-        F.col("freeze_days").cast("double").alias("freeze_days"), weeks.alias("weeks"), churned.alias("churned"))
+        "period_id", "user_id", F.month("start_date").cast("double").alias("start_month"), weeks.alias("weeks"), churned.alias("churned"),
+        *(F.col(c).cast("double").alias(c) for c in covariates))
 
 
 def week_in_period(day: F.Column) -> F.Column:

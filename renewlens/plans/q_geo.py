@@ -385,13 +385,12 @@ _filter_query("exploratory", "location_sample_size > 0 AND location_data_quality
 
 @register("segment_campaign", f"""
 SELECT f.user_id, f.convenience_segment, c.criteria, c.action
-FROM ({FEATURES_SQL}) f LEFT JOIN (VALUES {", ".join(f"('{s}', '{c}', '{a}')" for s, c, a in config.CONVENIENCE_CAMPAIGNS)})
+FROM ({FEATURES_SQL}) f LEFT JOIN (VALUES {", ".join(f"('{s}', '{c}', '{a}')" for s, c, a in CFG.campaigns)})
   c(segment, criteria, action) ON f.convenience_segment = c.segment""")
 def segment_campaign(t):
-    """Segment -> campaign criteria/action lookup (broadcast literal dimension)."""
-    camp = F.broadcast(t.spark.createDataFrame(list(config.CONVENIENCE_CAMPAIGNS),
-                                               "convenience_segment string, criteria string, action string"))
-    return features(t).select("user_id", "convenience_segment").join(camp, "convenience_segment", "left")
+    """Segment -> criteria and action of the campaigns table (an input; its size decides how it is joined)."""
+    campaigns = t.spark.createDataFrame(list(CFG.campaigns), "convenience_segment string, criteria string, action string")
+    return features(t).select("user_id", "convenience_segment").join(campaigns, "convenience_segment", "left")
 
 
 CUT = "2024-01-16 00:00:00"

@@ -58,7 +58,7 @@ COX_SQL = _cox_sql(_LAST)
 
 
 def _spells(t):
-    return P.spells(mart(t), config.PERIOD_AS_OF)
+    return P.spells(mart(t), config.PERIOD_AS_OF, covariates=["length_days", "freeze_days"])
 
 
 @register("train_cox", COX_SQL + f"""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +40,3 @@ def collection_counts(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def counts_by(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.groupBy(*cols).count()

@@ -14,8 +14,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewlens.sources.sinks import write_table
-
 
 def version(at: datetime | None = None, tie: str = "") -> str:
     """YYYYMMDD_HHMMSS of ``at`` (now, if not given), with ``tie`` to tell versions of one second apart."""
@@ -48,4 +46,4 @@ def read_latest_snapshot(spark: SparkSession, path: str, schema=None) -> DataFra
     return out.select(*schema.fieldNames()) if schema is not None else out
 
 
-__all__ = ["read_latest_snapshot", "version", "write_snapshot", "write_table"]
+__all__ = ["read_latest_snapshot", "version", "write_snapshot"]
