@@ -17,16 +17,18 @@ END = "<|end|>\n"
 TRAINED_ROLE = "assistant"
 
 
-def gather(turns: DataFrame, key: str = "conv_id", name: str = "turns") -> DataFrame:
-    """One row per ``key`` with its turns in order, as an array of (role, text).
+def gather(turns: DataFrame, key: str = "conv_id", name: str = "turns", owner: str | None = None) -> DataFrame:
+    """One row per ``key`` with its turns in order, as an array of (role, text), and of the column ``owner`` first, if given.
 
     Order: turn, then role and text, so ties and repeated rows have a fixed order (all are kept).
     Null roles and texts count as empty; a null turn comes first; rows with a null key belong to no
     conversation and are left out.
     """
-    one = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    first = [F.col(owner).cast("long").alias("owner")] if owner else []
+    one = F.struct(*first, F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    kept = [*(["owner"] if owner else []), "role", "text"]
     return (turns.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("pair_id"))
-            .agg(F.transform(F.sort_array(F.collect_list(one)), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias(name)))
+            .agg(F.transform(F.sort_array(F.collect_list(one)), lambda t: F.struct(*(t[c].alias(c) for c in kept))).alias(name)))
 
 
 def common_prefix(a: Column, b: Column) -> Column:
@@ -78,13 +80,15 @@ def neighbour_pairs(turns: DataFrame) -> DataFrame:
     """Preference pairs from plain conversations, one for each, with all its turns: chosen, the conversation;
     rejected, its first k turns and then those that its neighbour (conv_id with its last bit flipped) has from
     there on, k being conv_id modulo the number of turns.  Without a neighbour, or with a shorter one, the rejected
-    side ends after k turns."""
-    convs = gather(turns.select("conv_id", "turn", "role", "text"))
-    other = convs.select(F.col("pair_id").cast("long").bitwiseXOR(F.lit(1)).alias("other"), F.col("turns").alias("theirs"))
-    k = F.pmod(F.col("pair_id").cast("long"), F.size("turns")).cast("int")
-    both = convs.join(other, F.col("pair_id").cast("long") == F.col("other"), "left").withColumn("k", k)
-    tail = F.coalesce(rest(F.col("theirs"), F.col("k")), F.array().cast("array<struct<role:string,text:string>>"))
-    return both.select("pair_id", F.col("turns").alias("chosen"), F.concat(F.slice("turns", F.lit(1), F.col("k")), tail).alias("rejected"))
+    side ends after k turns.  Both conversations of a pair are gathered at once."""
+    both = gather(turns.select(F.shiftright(F.col("conv_id").cast("long"), 1).alias("both"), "conv_id", "turn", "role", "text"), "both", owner="conv_id")
+    side = lambda bit: F.transform(F.filter("turns", lambda t: F.pmod(t["owner"], F.lit(2)) == bit), lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    pair = lambda bit, a, b: F.struct((2 * F.col("pair_id") + bit).alias("pair_id"), F.col(a).alias("turns"), F.col(b).alias("theirs"))
+    sides = both.select("pair_id", side(0).alias("even"), side(1).alias("odd"))
+    convs = sides.select(F.explode(F.array(pair(0, "even", "odd"), pair(1, "odd", "even"))).alias("p")).select("p.*").where(F.size("turns") > 0)
+    k = F.pmod(F.col("pair_id"), F.size("turns")).cast("int")
+    cut = convs.withColumn("k", k)
+    return cut.select("pair_id", F.col("turns").alias("chosen"), F.concat(F.slice("turns", F.lit(1), F.col("k")), rest(F.col("theirs"), F.col("k"))).alias("rejected"))
 
 
 #: The query over the whole table, for DuckDB: turns of both sides are compared one by one.
