@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from renewlens.llm.common import int_array, pieces, signed, stored
 
 SPAN = 200
-GRAM = 40
 #: Different pieces of one anchor that a task merges at most (some 1.5 MB).
 MOST_PIECES = 4096
 #: Bytes of pieces that a task merges at once, at least one anchor.
