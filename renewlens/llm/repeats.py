@@ -82,27 +82,28 @@ def anchors(data: np.ndarray, offsets: np.ndarray, span: int, gram: int) -> tupl
     n = len(data) - span + 1
     if n <= 0:
         return tuple(np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64))
-    at, hashes = [], []
     low = np.uint64((1 << 24) - 1)
+    before, runs = (-1, -1), []
+    # block by block, only where the anchor or the text changes is kept
     for b in range(0, n, _BLOCK - span):
         part = data[b : min(b + _BLOCK - 1, len(data))]
         g = gram_hashes(part, gram)
-        place = _least((g & ~low) | np.arange(len(g), dtype=np.uint64), span - gram + 1) & low
-        place = place[: _BLOCK - span].astype(np.int64)
-        at.append(place + b)
-        hashes.append(g[place])
-    at, hashes = np.concatenate(at), np.concatenate(hashes)
-    starts = np.arange(n)
-    text = np.searchsorted(offsets, starts, "right") - 1
-    whole = starts + span <= offsets[text + 1]
-    new = np.ones(n, bool)
-    new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new & whole)
-    # the last window of a piece is the one before the next change, be it to another anchor, text or the end of this one
-    change = np.flatnonzero(np.concatenate((new[1:] | ~whole[1:], [True])))
-    last = change[np.searchsorted(change, first)]
-    t = text[first]
-    return t, hashes[first], first - offsets[t], last - offsets[t], at[first] - first
+        place = _least((g & ~low) | np.arange(len(g), dtype=np.uint64), span - gram + 1)[: _BLOCK - span] & low
+        place = place.astype(np.int64)
+        starts = np.arange(b, b + len(place))
+        text = np.searchsorted(offsets, starts, "right") - 1
+        text[starts + span > offsets[text + 1]] = -1  # reaches into the next text
+        new = np.empty(len(place), bool)
+        new[0] = (place[0] + b, text[0]) != before
+        new[1:] = (place[1:] != place[:-1]) | (text[1:] != text[:-1])
+        before = int(place[-1]) + b, int(text[-1])
+        k = np.flatnonzero(new)
+        runs.append((starts[k], place[k] + b, text[k], g[place[k]]))
+    first, at, text, hashes = (np.concatenate(c) for c in zip(*runs))
+    last = np.append(first[1:], n) - 1
+    k = np.flatnonzero(text >= 0)
+    t, first, last = text[k], first[k], last[k]
+    return t, hashes[k], first - offsets[t], last - offsets[t], at[k] - first
 
 
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

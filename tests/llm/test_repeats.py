@@ -28,6 +28,15 @@ def laid(texts):
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
 
 
+def test_long_texts_are_cut_alike_in_blocks_of_any_size(monkeypatch):
+    rng = random.Random(9)
+    texts = [bytes(rng.choice(b"abcd") for _ in range(rng.randrange(3000))) for _ in range(8)] + [b"x" * 700]
+    data, offsets = laid(texts)
+    whole = repeats.anchors(data, offsets, 50, 10)
+    monkeypatch.setattr(repeats, "_BLOCK", 173)
+    assert all((a == b).all() for a, b in zip(whole, repeats.anchors(data, offsets, 50, 10)))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.binary(max_size=90).map(lambda b: bytes(x % 3 + 97 for x in b)), max_size=6), st.integers(16, 30))
 def test_every_window_has_one_anchor_and_equal_windows_the_same(texts, span):
