@@ -6,6 +6,8 @@ cells rolled up to the member; the member -> facility coordinates side is joined
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -137,20 +139,27 @@ def member_aggregates(cells: DataFrame) -> DataFrame:
                     (F.col("home.n_points") / F.col("sample_size") * 100.0).alias("confidence")))
 
 
+POINTS_PER_TASK = 100_000
+
+
 def geo_metrics(points: DataFrame, member_facility: DataFrame, facility_coords: DataFrame,
                 precision: int = config.COORD_PRECISION, night_weight: int = config.NIGHT_WEIGHT,
                 utc_offset_hours: int = config.LOCAL_UTC_OFFSET_HOURS) -> DataFrame:
     """The 12-column location metric table, one row per member of ``member_facility``.
 
     Home coordinates are the unrounded centroid; the mart schema (``conform``)
-    applies the column precision at the sink.  Nothing runs until the result is used.
+    applies the column precision at the sink.  Only the count of the points runs before the result is used.
 
     points:          user_id (string), latitude, longitude, created_at (non-null coords)
     member_facility: user_id (string), facility_name — the members to score
     facility_coords: facility_name, fac_lat, fac_lon (only facilities with coordinates)
     """
     mf = member_facility.join(facility_coords, "facility_name", "left")
-    # points are the big side; AQE splits a member with a large share of them
+    # points are the big side; a task's share of them is bounded by rows, as cells need far more memory than AQE sees in
+    # their shuffled bytes
+    parts = math.ceil(points.count() / POINTS_PER_TASK)
+    if parts > 8:
+        points = points.repartition(parts, "user_id")
     pts = points.join(mf.filter(F.col("fac_lat").isNotNull()).select("user_id", "fac_lat", "fac_lon"), "user_id")
     home = member_aggregates(cell_aggregates(pts, precision, night_weight, utc_offset_hours))
 

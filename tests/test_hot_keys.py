@@ -41,3 +41,17 @@ def test_member_with_all_cells_needs_no_window_over_them(spark):
 def test_equal_distances_have_no_spread(spark):
     df = _cells(spark, 50).withColumn("cell_km", F.lit(12345.678901234)).withColumn("cell_var", F.lit(0.0))
     assert L.member_aggregates(df).first().std_km < 1e-6
+
+
+def test_points_of_a_task_are_bounded(spark, monkeypatch):
+    points = spark.range(3000).select(
+        (F.col("id") % 70).cast("string").alias("user_id"), (F.col("id") % 11 * 0.001 + 43).alias("latitude"),
+        (F.col("id") % 7 * 0.001 + 76).alias("longitude"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 24 as int))").alias("created_at"))
+    members = spark.range(80).select(F.col("id").cast("string").alias("user_id"), F.concat(F.lit("f"), F.col("id") % 3).alias("facility_name"))
+    coords = spark.createDataFrame([("f0", 43.0, 76.0), ("f1", 43.1, 76.1)], "facility_name string, fac_lat double, fac_lon double")
+    few = L.geo_metrics(points, members, coords)
+    monkeypatch.setattr(L, "POINTS_PER_TASK", 100)
+    many = L.geo_metrics(points, members, coords)
+    assert "RepartitionByExpression" in many._jdf.queryExecution().analyzed().toString()
+    assert "30" in many._jdf.queryExecution().analyzed().toString().split("RepartitionByExpression")[1].split("\n")[0]
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
