@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from renewlens import config
@@ -37,21 +37,52 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
+COUNT = "n_rows"
+
+
+def equal_rows(df: DataFrame, features: Sequence[str], **others: Column) -> DataFrame:
+    """Each combination of ``features`` and ``others`` once, stored, with how many rows have it (``n_rows``).
+
+    A fit weighted by that number is the fit of all rows, and its passes grow with the combinations alone: features that
+    are whole days, weeks or months have few, however many rows there are.
+    """
+    counted = df.groupBy(*features, *(c.alias(name) for name, c in others.items())).agg(F.count("*").cast("double").alias(COUNT))
+    return store(counted, "equal_rows")
+
+
+def counted_logistic(**params):
+    """Logistic regression on ``equal_rows`` as on the rows themselves."""
+    from pyspark.ml.classification import LogisticRegression
+
+    class Counted(LogisticRegression):
+        """MLlib takes weights for reliabilities: its variances, to which the penalty refers, have the divisor
+        ``n - sum(w^2) / n`` where that of n rows is ``n - 1``.  Their ratio is the same for all features, so the
+        penalty takes it up."""
+
+        def _fit(self, dataset):
+            n, squares = dataset.agg(F.sum(COUNT), F.sum(F.col(COUNT) * F.col(COUNT))).first()
+            reg = self.getRegParam()
+            share = (n - squares / n) / (n - 1) if n and n > 1 else 1.0
+            return LogisticRegression._fit(self.copy({self.regParam: reg * share}), dataset)._set(regParam=reg)
+
+    return Counted(featuresCol="features", labelCol="label", weightCol=COUNT, **params)
+
+
 def train_baseline(df: DataFrame, features: Sequence[str], label: str = "label", folds: int = 5, seed: int = 7,
                    key: str = "period_id", max_iter: int = 200):
     """Logistic regression with k-fold cross-validation over the regularisation grid.
 
-    A row's fold is a hash of its ``key``, so it stays in it when a task is repeated.
+    A row's fold is a hash of its ``key``, so it stays in it when a task is repeated.  Equal rows of a fold are fitted
+    and evaluated as one, weighted by their number.
     """
-    from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     fold = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(folds)).cast("int").alias("fold")
-    data = assemble(df, features).select("features", F.col(label).cast("double").alias("label"), fold)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, tol=1e-8)
+    data = assemble(equal_rows(df, features, label=F.col(label).cast("double"), fold=fold), features).select("features", "label", "fold", COUNT)
+    lr = counted_logistic(maxIter=max_iter, tol=1e-8)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.1]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(weightCol=COUNT),
                         numFolds=folds, foldCol="fold", seed=seed, parallelism=4)
     return cv.fit(data).bestModel
 
@@ -126,14 +157,21 @@ def feature_importance(model, features: Sequence[str], spark) -> DataFrame:
 
 def logistic_gradient(model, df: DataFrame, features: Sequence[str], label: str, reg: float) -> dict[str, float]:
     """Gradient of the fitted objective (mean log loss and the penalty on standardised coefficients), per coefficient:
-    all zero at the optimum, and only there."""
+    all zero at the optimum, and only there.  Equal rows are scored once."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(assemble(df, features))
-    off = vector_to_array(F.col("probability"))[1] - F.col(label).cast("double")
-    row = scored.agg(F.avg(off).alias("intercept"), *(F.avg(off * F.col(f)).alias(f"g_{f}") for f in features),
-                     *(F.var_samp(f).alias(f"v_{f}") for f in features)).first()
-    out = {f: row[f"g_{f}"] + reg * float(c) * row[f"v_{f}"] for f, c in zip(features, model.coefficients)}
+    scored = model.transform(assemble(equal_rows(df, features, label=F.col(label).cast("double")), features))
+    off = vector_to_array(F.col("probability"))[1] - F.col("label")
+    n = F.col(COUNT)
+
+    def mean(c):
+        return F.sum(n * c) / F.sum(F.when(c.isNotNull(), n))
+
+    row = scored.agg(mean(off).alias("intercept"), *(mean(off * F.col(f)).alias(f"g_{f}") for f in features),
+                     *(mean(F.col(f)).alias(f"m_{f}") for f in features)).first()
+    spread = scored.agg(*((F.sum(n * F.pow(F.col(f) - F.lit(row[f"m_{f}"]), 2)) / (F.sum(F.when(F.col(f).isNotNull(), n)) - 1)).alias(f"v_{f}")
+                          for f in features)).first()
+    out = {f: row[f"g_{f}"] + reg * float(c) * spread[f"v_{f}"] for f, c in zip(features, model.coefficients)}
     return out | {"intercept": row["intercept"]}
 
 
@@ -144,10 +182,8 @@ def survival_training_frame(intervals: DataFrame) -> DataFrame:
 
 def train_survival(intervals: DataFrame, features: Sequence[str], reg: float = 0.1, max_iter: int = 200):
     """Pooled logistic hazard (discrete-time survival) with L2 penalty ``reg``; Cox PH is not in MLlib."""
-    from pyspark.ml.classification import LogisticRegression
-
-    data = assemble(survival_training_frame(intervals), features)
-    return LogisticRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter, tol=1e-8).fit(data)
+    data = assemble(equal_rows(survival_training_frame(intervals), features, label=F.col("label")), features)
+    return counted_logistic(regParam=reg, maxIter=max_iter, tol=1e-8).fit(data)
 
 
 def train_aft(spells: DataFrame, features: Sequence[str], duration: str, event: str, max_iter: int = 200):

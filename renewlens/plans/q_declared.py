@@ -365,12 +365,15 @@ def _hazard(t):
 
 
 def _intervals(t):
+    """A row a week of every period begun, from its dates in one mart, written once: the weeks themselves, some dozens a
+    period, aren't stored."""
+    dates = ["period_id", "user_id", "start_date", "end_corrected", "next_start"]
     if "intervals" not in t.saved:
-        iv = P.survival_intervals(mart(t), config.PERIOD_AS_OF).select(F.col("week_index").cast("double").alias("week_index"), "event")
         path = scratch_path(t.spark, "training", uuid.uuid4().hex)
-        iv.write.parquet(path)
+        mart(t).select(*dates).write.parquet(path)
         t.saved["intervals"] = path
-    return t.spark.read.schema("week_index double, event boolean").parquet(t.saved["intervals"])
+    m = t.spark.read.schema("period_id long, user_id long, start_date date, end_corrected date, next_start date").parquet(t.saved["intervals"])
+    return P.survival_intervals(m, config.PERIOD_AS_OF).select(F.col("week_index").cast("double").alias("week_index"), "event")
 
 
 @register("train_baseline")
@@ -414,12 +417,15 @@ def _counts(label):
     return F.count("*").alias("rows"), F.count_if(label).alias("positives")
 
 
-def _residual(scored, label):
-    """|mean probability - mean label|: zero at the optimum of a model with a free intercept."""
+def _residual(model, df, features, label):
+    """|mean probability - mean label|: zero at the optimum of a model with a free intercept.  Equal rows are scored once."""
     from pyspark.ml.functions import vector_to_array
 
-    p = vector_to_array(F.col("probability"))[1]
-    return scored.agg(*_counts(label == 1), F.abs(F.round(F.avg(p - label), 3)).alias("residual"))
+    scored = model.transform(S.assemble(S.equal_rows(df, features, label=F.col(label).cast("double")), features))
+    off, n = vector_to_array(F.col("probability"))[1] - F.col("label"), F.col(S.COUNT)
+    return scored.agg(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("rows"),
+                      F.coalesce(F.sum(F.when(F.col("label") == 1, n)), F.lit(0)).cast("long").alias("positives"),
+                      F.abs(F.round(F.sum(n * off) / F.sum(n), 3)).alias("residual"))
 
 
 @register("train_baseline_fit", LABELLED_SQL + f"SELECT {COUNTS}, 0.0::DOUBLE AS residual FROM lab WHERE label IS NOT NULL")
@@ -427,7 +433,7 @@ def train_baseline_fit(t):
     """Logistic regression, 5-fold CV, on renewal labels: rows, positives, residual of the intercept's condition."""
     df = _period_features(t).filter("label is not null")
     model = _baseline(t)
-    return _residual(model.transform(S.assemble(df, FEATURES)), F.col("label").cast("double"))
+    return _residual(model, df, FEATURES, "label")
 
 
 @register("train_trees_fit", LABELLED_SQL + f"SELECT {COUNTS}, 1.0::DOUBLE AS importance FROM lab WHERE label IS NOT NULL")
@@ -443,7 +449,7 @@ def train_trees_fit(t):
 def train_survival_fit(t):
     """Pooled discrete-time hazard (logistic, L2 0.1) on survival intervals: rows, events, residual."""
     iv, model = _intervals(t), _hazard(t)
-    return _residual(model.transform(S.assemble(iv, ["week_index"])), F.col("event").cast("double"))
+    return _residual(model, iv, ["week_index"], "event")
 
 
 def _gradient_sql(source: str, rows: str, positives: str, features) -> str:

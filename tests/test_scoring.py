@@ -87,3 +87,43 @@ def test_models_are_loaded_by_version(spark, tmp_path):
     assert S.load_model(spark, path, LogisticRegressionModel, "20240101_000000").coefficients == models[0].coefficients
     with pytest.raises(Exception):
         S.save_model(models[0], path, "20240101_000000")
+
+
+def _repeated(spark):
+    """Rows of which many are equal."""
+    i = F.col("id")
+    return spark.range(900).select("id", (i % 5).cast("double").alias("x"), (F.pmod(F.xxhash64("id"), F.lit(3)) * 2).cast("double").alias("y"),
+                                   (F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(7)) < i % 5).alias("label"))
+
+
+def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
+    """Fits see each combination once, weighted, and give what all rows give, penalty included."""
+    from pyspark.ml.classification import LogisticRegression
+
+    from renewlens.operators import scoring as S
+
+    df, sizes, real = _repeated(spark), [], S.equal_rows
+
+    def counted(*args, **others):
+        out = real(*args, **others)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "equal_rows", counted)
+    plain = S.assemble(df, ["x", "y"]).select("features", F.col("label").cast("double").alias("label"))
+    for reg in (0.0, 0.1):
+        rows = LogisticRegression(regParam=reg, maxIter=200, tol=1e-8).fit(plain)
+        ours = S.train_survival(df.withColumnRenamed("label", "event"), ["x", "y"], reg=reg)
+        assert max(abs(a - b) for a, b in zip([*rows.coefficients, rows.intercept], [*ours.coefficients, ours.intercept])) < 1e-6
+        assert ours.getRegParam() == reg and abs(ours.coefficients[0]) > 0.1
+        assert all(abs(g) < 1e-6 for g in S.logistic_gradient(ours, df, ["x", "y"], "label", reg).values())
+    assert len(sizes) == 4 and max(sizes) <= 15 * 2 * 2
+
+
+def test_saved_model_keeps_its_penalty(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    from renewlens.operators import scoring as S
+
+    S.save_model(S.train_survival(_repeated(spark).withColumnRenamed("label", "event"), ["x"], reg=0.25), f"file://{tmp_path}/m", "1")
+    assert S.load_model(spark, f"file://{tmp_path}/m", LogisticRegressionModel).getRegParam() == 0.25
