@@ -104,19 +104,19 @@ def train_trees(df: DataFrame, features: Sequence[str], label: str = "label", ma
                 key: str = "period_id", patience: int = 50):
     """Gradient-boosted trees, as many rounds as the validation part asks for: (model, losses by round).
 
-    The validation part (a hash of ``key``, stored) is never fitted on.  After a fit its loss is taken after each round;
-    rounds are added, twice as many each time and ``max_iter`` at most, until ``patience`` of them in a row
-    bring no lower loss.  The model is the prefix of the ensemble with the least loss, fitted anew with that many
+    The validation part (a hash of ``key``) is never fitted on; equal rows of a part are one, weighted by their number.
+    After a fit its loss is taken after each round; if ``patience`` rounds in a row without a lower loss are not among the
+    first ``2 * patience``, all ``max_iter`` rounds are fitted.  The model is the prefix of the ensemble with the least loss, fitted anew with that many
     rounds: rounds depend on those before them alone.  Without validation rows all rounds are kept.
     """
     from pyspark.ml.classification import GBTClassifier
 
     held = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1000)) < validation_fraction * 1000
-    data = store(assemble(df, features).select("features", F.col(label).cast("double").alias("label"), held.alias("is_val")), "trees")
+    data = assemble(equal_rows(df, features, label=F.col(label).cast("double"), is_val=held), features).select("features", "label", "is_val", COUNT)
     fitted, checked = data.filter("not is_val").drop("is_val"), data.filter("is_val").drop("is_val")
 
     def fit(rounds: int):
-        return GBTClassifier(featuresCol="features", labelCol="label", maxDepth=max_depth, stepSize=step_size, maxIter=rounds, seed=seed,
+        return GBTClassifier(featuresCol="features", labelCol="label", weightCol=COUNT, maxDepth=max_depth, stepSize=step_size, maxIter=rounds, seed=seed,
                              maxMemoryInMB=512, cacheNodeIds=True, checkpointInterval=20).fit(fitted)
 
     if checked.isEmpty():
@@ -128,7 +128,7 @@ def train_trees(df: DataFrame, features: Sequence[str], label: str = "label", ma
         best, settled = best_round(losses, patience)
         if settled or rounds == max_iter:
             break
-        rounds = min(max_iter, 2 * rounds)
+        rounds = max_iter
     return (model if best == rounds else fit(best)), losses
 
 

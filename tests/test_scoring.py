@@ -98,7 +98,7 @@ def _repeated(spark):
 
 def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
     """Fits see each combination once, weighted, and give what all rows give, penalty included."""
-    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression
 
     from renewlens.operators import scoring as S
 
@@ -117,7 +117,12 @@ def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
         assert max(abs(a - b) for a, b in zip([*rows.coefficients, rows.intercept], [*ours.coefficients, ours.intercept])) < 1e-6
         assert ours.getRegParam() == reg and abs(ours.coefficients[0]) > 0.1
         assert all(abs(g) < 1e-6 for g in S.logistic_gradient(ours, df, ["x", "y"], "label", reg).values())
-    assert len(sizes) == 4 and max(sizes) <= 15 * 2 * 2
+    trees, losses = S.train_trees(df, ["x", "y"], max_depth=3, max_iter=4, patience=2, key="id")
+    val = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1000)) < 200
+    part = lambda c: S.assemble(df.filter(c), ["x", "y"]).select("features", F.col("label").cast("double").alias("label"))
+    other = GBTClassifier(maxDepth=3, stepSize=0.01, maxIter=4, seed=7).fit(part(~val))
+    assert all(abs(a - b) < 1e-9 for a, b in zip(losses, other.evaluateEachIteration(part(val))))
+    assert len(sizes) == 5 and max(sizes) <= 15 * 2 * 2
 
 
 def test_saved_model_keeps_its_penalty(spark, tmp_path):
@@ -127,3 +132,15 @@ def test_saved_model_keeps_its_penalty(spark, tmp_path):
 
     S.save_model(S.train_survival(_repeated(spark).withColumnRenamed("label", "event"), ["x"], reg=0.25), f"file://{tmp_path}/m", "1")
     assert S.load_model(spark, f"file://{tmp_path}/m", LogisticRegressionModel).getRegParam() == 0.25
+
+
+def test_unsettled_trees_are_fitted_twice_at_most_before_the_prefix(spark, monkeypatch):
+    from pyspark.ml.classification import GBTClassifier
+
+    from renewlens.operators import scoring as S
+
+    rounds, real = [], GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, *a: rounds.append(self.getMaxIter()) or real(self, *a))
+    monkeypatch.setattr(S, "best_round", lambda losses, patience: (len(losses), False))
+    model, losses = S.train_trees(_repeated(spark), ["x", "y"], max_depth=2, max_iter=9, patience=1, key="id")
+    assert rounds == [2, 9] and model.getNumTrees == len(losses) == 9
